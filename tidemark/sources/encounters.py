@@ -1,0 +1,85 @@
+"""Clinical tables derived from the generic ``events`` and ``customer`` tables.
+
+One encounter is one user's calendar week of the month. Each clinical table is a
+projection of one event type, so its filter reaches the Parquet scan.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.predicates import choose
+from .tables import load_tables
+
+
+def encounter_events(events: DataFrame) -> DataFrame:
+    week = F.expr("(day(ts) - 1) div 7")
+    return events.select(
+        "event_id",
+        "ts",
+        "event_type",
+        "value",
+        F.col("user_id").alias("subject_id"),
+        (F.col("user_id") * 10 + week).alias("hadm_id"),
+    )
+
+
+def clinical_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    raw = load_tables(spark, sf_dir, ("events", "customer"))
+    e = encounter_events(raw["events"])
+    keys = ("subject_id", "hadm_id")
+    of_type = lambda t: e.where(F.col("event_type") == t)
+    kind = lambda values: choose("event_id", values)
+
+    born = F.date_add(
+        F.lit("1950-01-01").cast("date"), (F.col("c_custkey") * 7919 % 24000).cast("int")
+    )
+    clicks = of_type("click")
+    return {
+        "patients": raw["customer"].select(F.col("c_custkey").alias("subject_id"), born.alias("dob")),
+        "admissions": e.groupBy(*keys).agg(F.min("ts").alias("admittime")),
+        "diagnoses_icd": of_type("signup").select(
+            *keys, kind(["99591", "99592", "78552"]).alias("icd9_code")
+        ),
+        "icustays": of_type("signup")
+        .where(F.col("event_id") % 4 == 0)
+        .select(*keys, F.col("event_id").alias("icustay_id"), F.col("ts").alias("intime")),
+        "microbiologyevents": of_type("error").select(
+            *keys,
+            F.lit(70012).alias("spec_itemid"),
+            F.lit("BLOOD CULTURE").alias("spec_type_desc"),
+            F.col("ts").alias("charttime"),
+            F.col("ts").cast("date").alias("chartdate"),
+        ),
+        "prescriptions": of_type("purchase").select(
+            *keys,
+            F.lit("cefepime").alias("drug"),
+            F.lit(None).cast("string").alias("drug_name_poe"),
+            F.lit("cefepime").alias("drug_name_generic"),
+            F.col("ts").cast("date").alias("startdate"),
+            F.col("ts").alias("startts"),
+        ),
+        "labevents": of_type("view").select(
+            *keys,
+            F.col("ts").alias("charttime"),
+            F.lit(50813).alias("itemid"),
+            (F.col("value") / 25).alias("valuenum"),
+            F.lit("mmol/L").alias("valueuom"),
+            "event_id",
+        ),
+        "chartevents": clicks.select(
+            *keys,
+            F.col("ts").alias("charttime"),
+            kind([30061, 221906, 220052]).alias("itemid"),
+            F.col("value").alias("valuenum"),
+            "event_id",
+        ),
+        "weights": clicks.select(
+            *keys,
+            F.col("ts").alias("charttime"),
+            kind([226512, 226531]).alias("itemid"),
+            F.col("value").alias("valuenum"),
+            "event_id",
+        ),
+    }
