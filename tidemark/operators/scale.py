@@ -138,12 +138,11 @@ def repeat_rows(df: DataFrame, times: ColumnLike, index: str) -> DataFrame:
     Two short sequences instead of one long one keep a row with very many copies
     from needing one huge array.
     """
+    long = lambda v: F.lit(v).cast("bigint")
     block = 10_000
-    n = as_column(times)
-    start = F.explode(F.sequence(F.lit(0), n - 1, F.lit(block)))
-    rest = F.sequence(
-        F.col("_start"), F.least(F.col("_start") + (block - 1), n - 1)
-    )
+    n = as_column(times).cast("bigint")
+    start = F.explode(F.sequence(long(0), n - 1, long(block)))
+    rest = F.sequence(F.col("_start"), F.least(F.col("_start") + long(block - 1), n - 1))
     blocks = df.where(n > 0).withColumn("_start", start)
     return blocks.withColumn(index, F.explode(rest)).drop("_start")
 
