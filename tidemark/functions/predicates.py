@@ -83,11 +83,15 @@ def max_value_where(value: ColumnLike, condition: Column) -> Column:
 
 def or_zero(column: ColumnLike) -> Column:
     """Missing flag counts as 0."""
-    return F.coalesce(as_column(column), F.lit(0))
+    if isinstance(column, str):
+        return F.expr(f"coalesce({column}, 0)")
+    return F.coalesce(column, F.lit(0))
 
 
 def mask(value: ColumnLike, applies: ColumnLike) -> Column:
     """Keep the value only where the step applies, NULL elsewhere."""
+    if isinstance(value, str) and isinstance(applies, str):
+        return F.expr(f"if({applies} = 1, {value}, NULL)")
     return F.when(as_column(applies) == 1, as_column(value))
 
 

@@ -61,10 +61,12 @@ def build_cohort(
     Diagnoses are reduced to one row per admission before any join.
     """
     coded = coded_status(diagnoses.where(code_in("icd9_code", codes)), KEYS, flags, "icd9_code")
-    admitted = admissions.select(*KEYS, "admittime").distinct()
     people = patients.select("subject_id", "dob").distinct()
     age = years_by_calendar("dob", "admittime")
-    cohort = skew_join(admitted.join(coded, list(KEYS)), people, ["subject_id"])
+    # Admissions meet the codes first: most of them have none and go no further.
+    admitted = skew_join(admissions.select(*KEYS, "admittime"), coded, KEYS)
+    admitted = admitted.groupBy(*KEYS, "admittime").agg(*[F.max(f).alias(f) for f in flags])
+    cohort = skew_join(admitted, people, ["subject_id"], probe=admissions)
     return cohort.where(age >= min_age).select(
         *KEYS, "admittime", "dob", age.cast("int").alias("age_at_admission"), *flags
     )
@@ -99,7 +101,7 @@ def first_times(events: DataFrame, families: Sequence[str], keys: Sequence[str]
     one row per key and task.
     """
     return events.groupBy(*keys).agg(
-        *[F.min(F.when(F.col("family") == f, F.col("ts"))).alias(f"first_{f}") for f in families]
+        *[F.expr(f"min(ts) FILTER (WHERE family = '{f}') AS first_{f}") for f in families]
     )
 
 
@@ -138,7 +140,7 @@ def nearest_measurement(
     alias: str = "weight_kg",
     tie_break: Sequence[str] = (),
 ) -> DataFrame:
-    """Best plausible measurement for each anchor.
+    """Best plausible measurement for each anchor; ``anchors`` has one row per ``on`` key.
 
     The unit source listed first in ``factors`` wins over the others whatever its
     distance; then the distance in whole hours, then the earlier time. Values are

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.predicates import any_flag, any_of, code_in, contains_any_of, max_value_where, or_zero
+from ..functions.predicates import any_of, code_in, contains_any_of, or_zero
 from ..functions.timeops import HOUR_US, impute_time, ntz, shift_us
 from .cohort import KEYS
 from .scale import skew_join
@@ -168,8 +168,8 @@ def from_first_times(components: Sequence[WindowFlag], anchor: str) -> dict[str,
         start, to = c.span.bounds_us()
         if start is not None or c.value_below is not None or not isinstance(c, WindowFlag):
             raise ValueError(f"{c.name} needs more than the first time")
-        before = F.col(f"first_{c.family}") < shift_us(anchor, to)
-        out[c.name] = F.when(before, 1).otherwise(0)
+        limit = f"{anchor} + make_dt_interval(0, 0, 0, {to / 1_000_000:.6f})"
+        out[c.name] = F.expr(f"if(first_{c.family} < {limit}, 1, 0)")
     return out
 
 
@@ -182,35 +182,33 @@ def window_components(
 ) -> DataFrame:
     """All components per key, for keys that have at least one event.
 
-    The window limits are computed once per anchor, so an event row costs plain
+    ``anchors`` may repeat a key, always with the same anchor time. The window limits are computed once per anchor, so an event row costs plain
     time comparisons. Hot keys are split before the join; the aggregate that
     follows merges inside each task before anything is shuffled again.
     """
     bounds = [c.span.bounds_us() for c in components]
     marks = sorted({m for pair in bounds for m in pair if m is not None})
-    limits = anchors.select(
-        *keys, *[shift_us(anchor, m).alias(_bound_name(m)) for m in marks]
-    )
+    # One row per key; grouping by the keys alone keeps the partitioning the join needs.
+    zero = anchors.groupBy(*keys).agg(F.max(anchor).alias(anchor))
+    limits = zero.select(*keys, *[shift_us(anchor, m).alias(_bound_name(m)) for m in marks])
     joined = skew_join(events, limits, keys)
 
     aggregates = []
     for c, (start, to) in zip(components, bounds):
-        inside = (F.col("family") == c.family) & (F.col("ts") < F.col(_bound_name(to)))
+        inside = f"family = '{c.family}' AND ts < {_bound_name(to)}"
         if start is not None:
-            inside = inside & (F.col("ts") >= F.col(_bound_name(start)))
+            inside += f" AND ts >= {_bound_name(start)}"
         if isinstance(c, WindowFlag):
             if c.value_below is not None:
-                inside = inside & (F.col("value") < c.value_below)
-            aggregates.append(any_flag(inside).alias(c.name))
+                inside += f" AND value < {c.value_below}"
+            found = f"max(if({inside}, 1, 0))"
         elif c.agg == "max":
-            aggregates.append(max_value_where("value", inside).alias(c.name))
+            found = f"max(value) FILTER (WHERE {inside})"
         elif c.agg == "first":
-            valued = inside & F.col("value").isNotNull()
-            aggregates.append(
-                F.min_by(F.when(valued, F.col("value")), F.when(valued, F.col("ts"))).alias(c.name)
-            )
+            found = f"min_by(value, ts) FILTER (WHERE {inside} AND value IS NOT NULL)"
         else:
             raise ValueError(f"unknown aggregate {c.agg!r}")
+        aggregates.append(F.expr(found).alias(c.name))
     return joined.groupBy(*keys).agg(*aggregates)
 
 

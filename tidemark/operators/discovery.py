@@ -64,7 +64,7 @@ def admissions_by_description(
     """
     wanted = dictionary.where(contains_any(label, include))
     coded = label_codes(diagnoses.select(*keys, code), wanted, code)
-    return skew_join(coded, admissions, keys)
+    return skew_join(coded, admissions, keys, probe=diagnoses)
 
 
 def alias_inventory(

@@ -96,7 +96,11 @@ def hot_keys(df: DataFrame, keys: Sequence[str]) -> list[tuple[int, int]]:
 
 
 def skew_join(
-    facts: DataFrame, dims: DataFrame, on: Sequence[str], how: str = "inner"
+    facts: DataFrame,
+    dims: DataFrame,
+    on: Sequence[str],
+    how: str = "inner",
+    probe: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join of many ``facts`` rows per key with few ``dims`` rows per key.
 
@@ -104,13 +108,15 @@ def skew_join(
     matching ``dims`` rows are repeated once per piece, so no task receives a
     whole hot group. Small inputs, and dims that Spark broadcasts anyway, are not
     searched for hot keys. Without hot keys this is an ordinary join. ``how`` keeps or
-    tests fact rows: inner, left, left_semi or left_anti.
+    tests fact rows: inner, left, left_semi or left_anti. ``probe`` is a cheaper
+    table to search for hot keys, where ``facts`` is itself the result of a join;
+    splitting a key that turns out to be small does no harm.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"skew_join cannot preserve the dims side: {how}")
     on = list(on)
     worth_a_look = is_large(facts) and not will_broadcast(dims)
-    hot = hot_keys(facts, on) if worth_a_look else []
+    hot = hot_keys(facts if probe is None else probe, on) if worth_a_look else []
     if not hot:
         return facts.join(dims, on, how)
 

@@ -7,24 +7,21 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.predicates import mask, or_zero
+from ..functions.predicates import mask
 
 
-def all_done(*steps: str) -> Column:
-    """Every step has its flag set; a missing flag counts as not done."""
-    done = or_zero(steps[0]) == 1
-    for s in steps[1:]:
-        done = done & (or_zero(s) == 1)
-    return done
+def all_done(*steps: str) -> str:
+    """SQL condition: every step has its flag set; a missing flag counts as not done."""
+    return " AND ".join(f"coalesce({s}, 0) = 1" for s in steps)
 
 
-def by_path(rules: Sequence[tuple[str, Column]]) -> Column:
-    """1 if the rule of the first path that applies holds; 0 if it fails or no path applies."""
-    out = F.lit(0)
-    for path, rule in reversed(list(rules)):
-        passed = F.when(rule, 1).otherwise(0)
-        out = F.when(F.col(path) == 1, passed).otherwise(out)
-    return out
+def by_path(rules: Sequence[tuple[str, str]]) -> Column:
+    """1 if the rule of the first path that applies holds; 0 if it fails or no path applies.
+
+    Rules are pairs of a path column and a SQL condition.
+    """
+    branches = " ".join(f"WHEN {path} = 1 THEN if({rule}, 1, 0)" for path, rule in rules)
+    return F.expr(f"CASE {branches} ELSE 0 END")
 
 
 def mask_components(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
@@ -46,14 +43,14 @@ def reconcile_status(
     Shock is set if either source says so. Severe without shock is set by the
     base flags, or, where the base has no severe flag, by codes without shock.
     """
-    b_severe, b_shock = or_zero(severe) == 1, or_zero(shock) == 1
-    c_any, c_shock = or_zero(code_any) == 1, or_zero(code_shock) == 1
-    new_severe = (b_severe & ~b_shock) | (~b_severe & c_any & ~c_shock)
-    new_shock = b_shock | c_shock
+    says = {k: f"coalesce({c}, 0) = 1" for k, c in
+            {"severe": severe, "shock": shock, "any": code_any, "code_shock": code_shock}.items()}
+    by_base = "{severe} AND NOT {shock}"
+    by_code = "NOT {severe} AND {any} AND NOT {code_shock}"
+    new_severe = F.expr(f"if({by_base} OR {by_code}, 1, 0)".format(**says))
+    new_shock = F.expr("if({shock} OR {code_shock}, 1, 0)".format(**says))
     joined = base.join(status.select(*on, code_any, code_shock), list(on), "left")
-    return joined.withColumns(
-        {severe: F.when(new_severe, 1).otherwise(0), shock: F.when(new_shock, 1).otherwise(0)}
-    ).drop(code_any, code_shock)
+    return joined.withColumns({severe: new_severe, shock: new_shock}).drop(code_any, code_shock)
 
 
 def cohort_summary(df: DataFrame, counts: Mapping[str, Column]) -> DataFrame:

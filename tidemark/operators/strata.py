@@ -12,10 +12,14 @@ from ..functions.hashing import hash_mod, slice_of, stable_hash
 from ..functions.predicates import between, clamp, in_period
 from ..functions.timeops import boundary_diff
 from .rows import first_time, present
-from .scale import materialise, repeat_rows
+from .scale import is_large, materialise, repeat_rows, skew_join
 
-#: Slices of the hash range a stratum is ranked in; a power of two.
-SLICES = 4096
+#: Slices of the hash range in which a stratum is ranked (a power of two).
+RANK_SLICES = 4096
+#: Slices used to find a cut. One slice per stratum is sorted, so these are finer.
+CUT_SLICES = 65_536
+#: Slices for inputs too small to be uneven. The number never changes a result.
+FEW_SLICES = 16
 
 
 def period_cohort(
@@ -66,15 +70,38 @@ def stratum_rates(
     )
 
 
+def _hashed(
+    df: DataFrame, stratum: str, id_column: str, salt: int, method: str, slices: int
+) -> DataFrame:
+    """Rows with their hash and the slice of the hash range it falls in."""
+    hashed = df.withColumn("_h", stable_hash(id_column, stratum, salt, method=method))
+    return hashed.withColumn("_slice", slice_of(F.col("_h"), slices, method).cast("int"))
+
+
+def _slice_offsets(hashed: DataFrame, stratum: str) -> DataFrame:
+    """Per (stratum, slice): rows in it, rows in earlier slices, rows in the stratum.
+
+    The count is merged inside each task. The windows see one row per slice.
+    """
+    in_stratum = Window.partitionBy(stratum)
+    earlier = in_stratum.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = hashed.groupBy(stratum, "_slice").agg(F.count("*").alias("_n"))
+    return sizes.select(
+        stratum,
+        "_slice",
+        "_n",
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
+        F.sum("_n").over(in_stratum).alias("cnt"),
+    )
+
+
 def hash_rank(
     df: DataFrame,
     stratum: str,
     id_column: str,
     salt: int,
     method: str = "md5",
-    slices: int = SLICES,
-    rates: DataFrame | None = None,
-    keep: Column | None = None,
+    slices: int | None = None,
 ) -> DataFrame:
     """Rank rows of a stratum in a reproducible random order; adds ``rn`` and ``cnt``.
 
@@ -82,33 +109,14 @@ def hash_rank(
     hash range is cut into equal slices; counting them gives each slice its first
     rank, and rows are then ranked inside their (stratum, slice) only. Ids must be
     unique inside a stratum.
-
-    With ``rates`` (one row per stratum) and ``keep`` only the first ``keep`` rows
-    of each stratum are returned. ``keep`` may use the rates and ``cnt``. Slices
-    beyond it are dropped before any row is sorted.
     """
-    hashed = df.withColumn("_h", stable_hash(id_column, stratum, salt, method=method))
-    hashed = hashed.withColumn("_slice", slice_of(F.col("_h"), slices, method).cast("int"))
-    sizes = hashed.groupBy(stratum, "_slice").agg(F.count("*").alias("_n"))
-    in_stratum = Window.partitionBy(stratum)
-    earlier = in_stratum.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    # At most ``slices`` rows per stratum reach these windows.
-    offsets = sizes.select(
-        stratum,
-        "_slice",
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
-        F.sum("_n").over(in_stratum).alias("cnt"),
-    )
-    if keep is not None:
-        offsets = offsets.join(rates, stratum).withColumn("_keep", keep)
-        offsets = offsets.where(F.col("_before") < F.col("_keep"))
-        offsets = offsets.select(stratum, "_slice", "_before", "cnt", "_keep")
+    slices = slices or (RANK_SLICES if is_large(df) else FEW_SLICES)
+    hashed = _hashed(df, stratum, id_column, salt, method, slices)
+    offsets = _slice_offsets(hashed, stratum).drop("_n")
     inside = Window.partitionBy(stratum, "_slice").orderBy("_h", id_column)
     ranked = hashed.join(offsets, [stratum, "_slice"]).withColumn(
         "rn", F.col("_before") + F.row_number().over(inside)
     )
-    if keep is not None:
-        ranked = ranked.where(F.col("rn") <= F.col("_keep")).drop("_keep")
     return ranked.drop("_h", "_slice", "_before")
 
 
@@ -130,13 +138,30 @@ def select_fraction(
     salt: int,
     jitter_salt: int | None = None,
     method: str = "md5",
+    slices: int | None = None,
 ) -> DataFrame:
-    """The stratum's share of rows, chosen by hash rank; the same rows every time."""
-    return hash_rank(
-        df, stratum, id_column, salt, method,
-        rates=rates.select(stratum, rate),
-        keep=share_size(stratum, rate, jitter_salt, method=method),
+    """The stratum's share of rows with the lowest hash ranks; the same rows every time.
+
+    Slice counts tell in which slice each stratum's cut lies. Rows of earlier
+    slices are taken as they are; only the rows of that one slice are sorted.
+    ``rates`` has one row per stratum. Ids must be unique inside a stratum.
+    """
+    slices = slices or (CUT_SLICES if is_large(df) else FEW_SLICES)
+    hashed = _hashed(df, stratum, id_column, salt, method, slices)
+    sized = _slice_offsets(hashed, stratum).join(rates.select(stratum, rate), stratum)
+    sized = sized.withColumn("_keep", share_size(stratum, rate, jitter_salt, method=method))
+    holds_cut = (F.col("_before") < F.col("_keep")) & (F.col("_keep") <= F.col("_before") + F.col("_n"))
+    cuts = sized.where(holds_cut).select(
+        stratum, F.col("_slice").alias("_cut"), (F.col("_keep") - F.col("_before")).alias("_left")
+    )
+    tagged = skew_join(hashed, cuts, [stratum])
+    in_order = Window.partitionBy(stratum).orderBy("_h", id_column)
+    edge = (
+        tagged.where("_slice = _cut")
+        .withColumn("_rn", F.row_number().over(in_order))
+        .where("_rn <= _left")
     )
+    return tagged.where("_slice < _cut").select(*df.columns).unionByName(edge.select(*df.columns))
 
 
 def select_nested(

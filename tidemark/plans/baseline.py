@@ -70,8 +70,8 @@ def with_components(tables: Tables, anchored: DataFrame, spec: MeasureSpec = SEP
         events = event_relation(
             tables, [spec.family(n) for n in names], value_below=family_value_limits(rest)
         )
-        anchors = anchored.select(*KEYS, spec.anchor).distinct()
-        out = attach_components(out, window_components(events, anchors, rest, spec.anchor), rest)
+        found = window_components(events, anchored, rest, spec.anchor)
+        out = attach_components(out, found, rest)
     return out.drop(*[f"first_{f}" for f in spec.onset])
 
 

@@ -35,24 +35,25 @@ def composite_6h(gate_on: str | None = None) -> Column:
     vasopressor, with low pressure or high lactate. ``gate_on`` names a flag that
     has to be set as well.
     """
-    lactate = F.col("initial_lactate_value")
-    no_repeat_needed = F.coalesce(lactate <= codes.LACTATE_REPEAT_ABOVE, F.lit(True))
-    high = F.coalesce(lactate >= codes.LACTATE_HIGH, F.lit(False))
+    no_repeat_needed = f"coalesce(initial_lactate_value <= {codes.LACTATE_REPEAT_ABOVE}, true)"
+    high = f"coalesce(initial_lactate_value >= {codes.LACTATE_HIGH}, false)"
+    repeated = all_done("repeat_lactate_6h")
+    low_pressure = all_done("persistent_hypotension_6h")
     complete = by_path(
         [
-            ("severe_sepsis", no_repeat_needed | all_done("repeat_lactate_6h")),
+            ("severe_sepsis", f"{no_repeat_needed} OR {repeated}"),
             (
                 "septic_shock",
-                all_done("vasopressors_administered_6h")
-                & (all_done("persistent_hypotension_6h") | high),
+                f"{all_done('vasopressors_administered_6h')} AND ({low_pressure} OR {high})",
             ),
         ]
     )
-    return complete if gate_on is None else F.when(all_done(gate_on), complete).otherwise(0)
+    return complete if gate_on is None else F.when(F.expr(all_done(gate_on)), complete).otherwise(0)
 
 
 def composite_overall() -> Column:
-    return F.when(all_done("bundle_complete_3h", "bundle_complete_6h"), 1).otherwise(0)
+    both = all_done("bundle_complete_3h", "bundle_complete_6h")
+    return F.expr(f"if({both}, 1, 0)")
 
 
 def add_composites(df: DataFrame, gate_6h_on_3h: bool = False) -> DataFrame:

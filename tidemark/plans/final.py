@@ -15,8 +15,10 @@ from ..operators.components import (
     window_components,
 )
 from ..operators.status import mask_components, reconcile_status
+from ..operators.scale import is_large, materialise
 from ..functions.predicates import or_zero
 from . import codes
+from .baseline import baseline_flags
 from .bundles import OUTPUT_COLUMNS, add_composites
 from .spec import SEPSIS, MeasureSpec
 
@@ -35,7 +37,7 @@ def antibiotic_within_3h(
     """Per admission: an antibiotic started at or after time zero and less than 3 hours later."""
     step = WindowFlag("antibiotics_3h", "antibiotic", Span(3, lo=0, mode="half_open"))
     events = event_relation({"prescriptions": prescriptions}, [antibiotic_starts(time_column)])
-    return window_components(events, base.select(*KEYS, anchor).distinct(), [step], anchor)
+    return window_components(events, base, [step], anchor)
 
 
 def corrected_base(
@@ -65,3 +67,15 @@ def final_flags(
     """The table reports read. The 6-hour bundle needs the 3-hour bundle here."""
     fixed = corrected_base(base, prescriptions, diagnoses, spec, time_column)
     return add_composites(fixed, gate_6h_on_3h=True).select(*OUTPUT_COLUMNS)
+
+
+def measure(
+    tables: Mapping[str, DataFrame], spec: MeasureSpec = SEPSIS, time_column: str = "startdate"
+) -> DataFrame:
+    """Baseline and correction in one go. On large inputs the base table is written in between."""
+    base = baseline_flags(tables, spec)
+    if is_large(*[tables[n] for n in spec.tables()]):
+        base = materialise(base, "base")
+    return final_flags(
+        base, tables["prescriptions"], tables["diagnoses_icd"], spec, time_column
+    )

@@ -130,7 +130,7 @@ _RATES = f"""ra AS (
 
 def _chosen(name: str, source: str, rate: str, salt: int, jitter: int) -> str:
     return f"""{name} AS (
-  SELECT o_orderkey, month_key, rn, cnt
+  SELECT o_orderkey, month_key
   FROM (SELECT o_orderkey, month_key,
                row_number() OVER (PARTITION BY month_key
                  ORDER BY {_md5('o_orderkey', 'month_key', str(salt))}, o_orderkey) AS rn,
@@ -193,7 +193,8 @@ w AS (SELECT hadm_id, ts, event_id, event_id % 2 AS lb,
              CASE event_id % 2 WHEN 0 THEN v ELSE v * 0.453592 END AS kg FROM chart)
 SELECT subject_id, hadm_id, icustay_id, intime, ts AS charttime,
        round(kg::DECIMAL(18, 8), 1)::DOUBLE AS weight_kg
-FROM stay JOIN w USING (hadm_id) WHERE kg >= 30 AND kg <= 300
+FROM (FROM stay QUALIFY row_number() OVER (PARTITION BY hadm_id ORDER BY intime, icustay_id) = 1)
+JOIN w USING (hadm_id) WHERE kg >= 30 AND kg <= 300
 QUALIFY row_number() OVER (PARTITION BY icustay_id
   ORDER BY lb, abs(date_sub('hour', intime, ts)), ts, w.event_id) = 1""",
     "adult_cohort": f"""

@@ -157,9 +157,11 @@ def first_event_top(spark, sf_dir):
 
 @query
 def nearest_measurement(spark, sf_dir):
+    """Weight next to the start of each encounter's first ICU stay."""
     tables = clinical_tables(spark, sf_dir)
+    firsts = tables["icustays"].groupBy(*KEYS).agg(F.min(F.struct("intime", "icustay_id")).alias("s"))
     best = cohort.nearest_measurement(
-        tables["icustays"],
+        firsts.select(*KEYS, "s.*"),
         tables["weights"].drop("subject_id"),
         on=["hadm_id"], partition=["icustay_id"], anchor_ts="intime", event_ts="charttime",
         factors={codes.WEIGHT_KG: 1, codes.WEIGHT_LB: codes.KG_PER_LB},
@@ -290,11 +292,7 @@ def baseline_flags_by_admission(spark, sf_dir):
 
 
 def _final(spark, sf_dir):
-    tables = clinical_tables(spark, sf_dir)
-    base = baseline.baseline_flags(tables, BY_ADMISSION)
-    return final.final_flags(
-        base, tables["prescriptions"], tables["diagnoses_icd"], time_column="startts"
-    )
+    return final.measure(clinical_tables(spark, sf_dir), BY_ADMISSION, time_column="startts")
 
 
 @query
@@ -367,17 +365,16 @@ def _selected_shock(by_month):
 
 @query
 def select_fraction(spark, sf_dir):
-    return _selected_shock(_orders_by_month(spark, sf_dir)).select("o_orderkey", "month_key", "rn", "cnt")
+    return _selected_shock(_orders_by_month(spark, sf_dir))
 
 
 @query
 def select_nested(spark, sf_dir):
     by_month = _orders_by_month(spark, sf_dir)
-    chosen = strata.select_nested(
+    return strata.select_nested(
         by_month, _selected_shock(by_month), "month_key", "o_orderkey", _rates(by_month), "p_pass6",
         99999, jitter_salt=13,
     )
-    return chosen.select("o_orderkey", "month_key", "rn", "cnt")
 
 
 @query

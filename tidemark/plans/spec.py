@@ -28,6 +28,11 @@ class MeasureSpec:
     def family(self, name: str) -> EventFamily:
         return next(f for f in self.families if f.name == name)
 
+    def tables(self) -> list[str]:
+        """Input tables of the measure."""
+        fixed = ["admissions", "patients", "diagnoses_icd", "icustays"]
+        return list(dict.fromkeys([*fixed, *(f.table for f in self.families)]))
+
     def with_(self, **changes) -> "MeasureSpec":
         return replace(self, **changes)
 

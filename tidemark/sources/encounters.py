@@ -6,80 +6,99 @@ projection of one event type, so its filter reaches the Parquet scan.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ..functions.predicates import choose
 from .tables import load_tables
 
+KEYS = ("subject_id", "hadm_id")
 
-def encounter_events(events: DataFrame) -> DataFrame:
-    week = F.expr("(day(ts) - 1) div 7")
-    return events.select(
+
+class LazyTables(dict):
+    """Tables by name, each planned when it is first asked for."""
+
+    def __init__(self, makers: dict[str, Callable[[], DataFrame]]):
+        super().__init__()
+        self._makers = makers
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = self._makers[name]()
+        return self[name]
+
+
+#: Per table: its event type and its columns besides the keys.
+PROJECTIONS = {
+    "diagnoses_icd": (
+        "signup",
+        "element_at(array('99591', '99592', '78552'), int(event_id % 3) + 1) AS icd9_code",
+    ),
+    "icustays": ("signup", "event_id AS icustay_id", "ts AS intime"),
+    "microbiologyevents": (
+        "error",
+        "70012 AS spec_itemid",
+        "'BLOOD CULTURE' AS spec_type_desc",
+        "ts AS charttime",
+        "date(ts) AS chartdate",
+    ),
+    "prescriptions": (
+        "purchase",
+        "'cefepime' AS drug",
+        "string(NULL) AS drug_name_poe",
+        "'cefepime' AS drug_name_generic",
+        "date(ts) AS startdate",
+        "ts AS startts",
+    ),
+    "labevents": (
+        "view",
+        "ts AS charttime",
+        "50813 AS itemid",
+        "value / 25 AS valuenum",
+        "'mmol/L' AS valueuom",
+        "event_id",
+    ),
+    "chartevents": (
+        "click",
+        "ts AS charttime",
+        "CASE event_id % 3 WHEN 0 THEN 30061 WHEN 1 THEN 221906 ELSE 220052 END AS itemid",
+        "value AS valuenum",
         "event_id",
-        "ts",
-        "event_type",
-        "value",
-        F.col("user_id").alias("subject_id"),
-        (F.col("user_id") * 10 + week).alias("hadm_id"),
+    ),
+    "weights": (
+        "click",
+        "ts AS charttime",
+        "CASE event_id % 2 WHEN 0 THEN 226512 ELSE 226531 END AS itemid",
+        "value AS valuenum",
+        "event_id",
+    ),
+}
+
+
+def encounter_events(events: DataFrame) -> DataFrame:
+    return events.selectExpr(
+        "event_id", "ts", "event_type", "value", "user_id AS subject_id",
+        "user_id * 10 + (day(ts) - 1) div 7 AS hadm_id",
     )
 
 
-def clinical_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    raw = load_tables(spark, sf_dir, ("events", "customer"))
-    e = encounter_events(raw["events"])
-    keys = ("subject_id", "hadm_id")
-    of_type = lambda t: e.where(F.col("event_type") == t)
-    kind = lambda values: choose("event_id", values)
+def clinical_tables(spark: SparkSession, sf_dir: str) -> LazyTables:
+    raw = LazyTables(
+        {n: lambda n=n: load_tables(spark, sf_dir, [n])[n] for n in ("events", "customer")}
+    )
+
+    def projected(name: str) -> DataFrame:
+        event_type, *columns = PROJECTIONS[name]
+        chosen = encounter_events(raw["events"]).where(f"event_type = '{event_type}'")
+        if name == "icustays":
+            chosen = chosen.where("event_id % 4 = 0")
+        return chosen.selectExpr(*KEYS, *columns)
 
-    born = F.date_add(
-        F.lit("1950-01-01").cast("date"), (F.col("c_custkey") * 7919 % 24000).cast("int")
+    makers = {n: lambda n=n: projected(n) for n in PROJECTIONS}
+    makers["patients"] = lambda: raw["customer"].selectExpr(
+        "c_custkey AS subject_id",
+        "date_add(DATE '1950-01-01', int(c_custkey * 7919 % 24000)) AS dob",
+    )
+    makers["admissions"] = lambda: (
+        encounter_events(raw["events"]).groupBy(*KEYS).agg({"ts": "min"}).toDF(*KEYS, "admittime")
     )
-    clicks = of_type("click")
-    return {
-        "patients": raw["customer"].select(F.col("c_custkey").alias("subject_id"), born.alias("dob")),
-        "admissions": e.groupBy(*keys).agg(F.min("ts").alias("admittime")),
-        "diagnoses_icd": of_type("signup").select(
-            *keys, kind(["99591", "99592", "78552"]).alias("icd9_code")
-        ),
-        "icustays": of_type("signup")
-        .where(F.col("event_id") % 4 == 0)
-        .select(*keys, F.col("event_id").alias("icustay_id"), F.col("ts").alias("intime")),
-        "microbiologyevents": of_type("error").select(
-            *keys,
-            F.lit(70012).alias("spec_itemid"),
-            F.lit("BLOOD CULTURE").alias("spec_type_desc"),
-            F.col("ts").alias("charttime"),
-            F.col("ts").cast("date").alias("chartdate"),
-        ),
-        "prescriptions": of_type("purchase").select(
-            *keys,
-            F.lit("cefepime").alias("drug"),
-            F.lit(None).cast("string").alias("drug_name_poe"),
-            F.lit("cefepime").alias("drug_name_generic"),
-            F.col("ts").cast("date").alias("startdate"),
-            F.col("ts").alias("startts"),
-        ),
-        "labevents": of_type("view").select(
-            *keys,
-            F.col("ts").alias("charttime"),
-            F.lit(50813).alias("itemid"),
-            (F.col("value") / 25).alias("valuenum"),
-            F.lit("mmol/L").alias("valueuom"),
-            "event_id",
-        ),
-        "chartevents": clicks.select(
-            *keys,
-            F.col("ts").alias("charttime"),
-            kind([30061, 221906, 220052]).alias("itemid"),
-            F.col("value").alias("valuenum"),
-            "event_id",
-        ),
-        "weights": clicks.select(
-            *keys,
-            F.col("ts").alias("charttime"),
-            kind([226512, 226531]).alias("itemid"),
-            F.col("value").alias("valuenum"),
-            "event_id",
-        ),
-    }
+    return LazyTables(makers)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +23,18 @@ INPUT_COLUMNS = {
     "icustays": ("subject_id", "hadm_id", "icustay_id", "intime"),
 }
 
+#: Schemas of the generic test tables the queries read.
+TEST_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
+
 
 def normalise(df: DataFrame) -> DataFrame:
     """Lower-case column names; timestamps without time zone. A no-op projection is skipped."""
@@ -39,12 +51,25 @@ def normalise(df: DataFrame) -> DataFrame:
 
 
 def load_tables(
-    spark: SparkSession, path: str, names: Iterable[str], fmt: str = "parquet", **options
+    spark: SparkSession,
+    path: str,
+    names: Iterable[str],
+    fmt: str = "parquet",
+    schemas: Mapping[str, str] = TEST_SCHEMAS,
+    **options,
 ) -> dict[str, DataFrame]:
-    """Read ``path/name`` (or ``path/name.parquet``) for each name, lazily."""
-    reader = spark.read.format(fmt).options(**options)
-    suffix = ".parquet" if fmt == "parquet" else f".{fmt}"
-    return {n: normalise(reader.load(f"{path.rstrip('/')}/{n}{suffix}")) for n in names}
+    """Read ``path/name.fmt`` for each name, lazily.
+
+    A table whose schema is given is planned without a look into its files; this
+    matters when a table has very many of them.
+    """
+    tables = {}
+    for n in names:
+        reader = spark.read.format(fmt).options(**options)
+        if n in schemas:
+            reader = reader.schema(schemas[n])
+        tables[n] = normalise(reader.load(f"{path.rstrip('/')}/{n}.{fmt}"))
+    return tables
 
 
 def load_catalog_tables(spark: SparkSession, schema: str, names: Iterable[str]) -> dict[str, DataFrame]:
