@@ -20,6 +20,24 @@ def as_column(c: ColumnLike) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def sql_literal(value) -> str:
+    """A Python value as SQL text."""
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return repr(value)
+
+
+def in_sql(column: str, codes: Sequence) -> str:
+    """Code list membership as SQL text."""
+    return f"{column} IN ({', '.join(map(sql_literal, codes))})" if codes else "false"
+
+
+def like_any_sql(columns: Sequence[str], patterns: Sequence[str]) -> str:
+    """Any pattern in any of the text columns, ignoring case, as SQL text."""
+    tests = [f"lower({c}) LIKE {sql_literal(f'%{q.lower()}%')}" for q in patterns for c in columns]
+    return f"({' OR '.join(tests)})" if tests else "false"
+
+
 def any_of(conditions: Sequence[Column]) -> Column:
     """OR over conditions; an empty list matches nothing."""
     return reduce(or_, conditions) if conditions else F.lit(False)
@@ -48,6 +66,8 @@ def include_exclude(column: ColumnLike, include: Sequence[str], exclude: Sequenc
 
 def code_in(column: ColumnLike, codes: Sequence) -> Column:
     """Code list membership; reaches Parquet as an ``In`` filter."""
+    if isinstance(column, str):
+        return F.expr(in_sql(column, codes))
     return as_column(column).isin(list(codes))
 
 
@@ -96,10 +116,11 @@ def mask(value: ColumnLike, applies: ColumnLike) -> Column:
 
 
 def clamp(value: ColumnLike, low, high) -> Column:
-    """Limit a value to ``[low, high]``."""
+    """Limit a value to ``[low, high]``; NULL stays NULL."""
     low = low if isinstance(low, Column) else F.lit(low)
     high = high if isinstance(high, Column) else F.lit(high)
-    return F.greatest(low, F.least(as_column(value), high))
+    v = as_column(value)
+    return F.when(v.isNotNull(), F.greatest(low, F.least(v, high)))
 
 
 def choose(selector: ColumnLike, values: Sequence) -> Column:

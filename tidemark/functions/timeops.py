@@ -52,18 +52,33 @@ def boundary_diff(unit: str, start: ColumnLike, end: ColumnLike) -> Column:
 
 def years_by_calendar(earlier: ColumnLike, later: ColumnLike) -> Column:
     """Age rule: difference of the calendar years, whatever the month and day."""
+    if isinstance(earlier, str) and isinstance(later, str):
+        return F.expr(years_by_calendar_sql(earlier, later))
     return F.year(as_column(later)) - F.year(as_column(earlier))
 
 
+def years_by_calendar_sql(earlier: str, later: str) -> str:
+    return f"(year({later}) - year({earlier}))"
+
+
 def shift(column: ColumnLike, amount: Column | int, unit: str) -> Column:
     """Move a timestamp by ``amount`` units; the amount may be a column."""
     amount = amount if isinstance(amount, Column) else F.lit(amount)
     return F.timestamp_add(unit, amount, as_column(column))
 
 
+def after_sql(column: str, micros: int) -> str:
+    """``column`` moved by a constant number of microseconds, as SQL text."""
+    sign = "-" if micros < 0 else ""
+    seconds, rest = divmod(abs(micros), 1_000_000)
+    return f"{column} + make_dt_interval(0, 0, 0, {sign}{seconds}.{rest:06d})"
+
+
 def shift_us(column: ColumnLike, micros: int) -> Column:
     """Move a timestamp by a constant number of microseconds."""
-    return as_column(column) + F.expr(f"make_dt_interval(0, 0, 0, {micros / 1_000_000:.6f})")
+    if isinstance(column, str):
+        return F.expr(after_sql(column, micros))
+    return column + F.expr(after_sql("", micros).removeprefix(" + "))
 
 
 def slot_start(column: ColumnLike, width_us: int) -> Column:

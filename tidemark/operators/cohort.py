@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from ..functions.predicates import (
     ColumnLike,
-    any_flag,
     as_column,
     between,
     code_in,
+    in_sql,
     normalise_units,
     source_priority,
 )
-from ..functions.timeops import earliest, ntz, sentinel, whole_hours, years_by_calendar
+from ..functions.timeops import earliest, ntz, sentinel, whole_hours, years_by_calendar_sql
 from .rows import best_row, top_k
 from .scale import repeat_rows, skew_join
 
@@ -44,7 +44,7 @@ def coded_status(
 ) -> DataFrame:
     """One row per key with a 0/1 column per rule: does any code of the list occur?"""
     return diagnoses.groupBy(*keys).agg(
-        *[any_flag(code_in(code, codes)).alias(name) for name, codes in rules.items()]
+        *[F.expr(f"max(if({in_sql(code, codes)}, 1, 0)) AS {name}") for name, codes in rules.items()]
     )
 
 
@@ -62,13 +62,13 @@ def build_cohort(
     """
     coded = coded_status(diagnoses.where(code_in("icd9_code", codes)), KEYS, flags, "icd9_code")
     people = patients.select("subject_id", "dob").distinct()
-    age = years_by_calendar("dob", "admittime")
+    age = years_by_calendar_sql("dob", "admittime")
     # Admissions meet the codes first: most of them have none and go no further.
     admitted = skew_join(admissions.select(*KEYS, "admittime"), coded, KEYS)
-    admitted = admitted.groupBy(*KEYS, "admittime").agg(*[F.max(f).alias(f) for f in flags])
+    admitted = admitted.groupBy(*KEYS, "admittime").agg(*[F.expr(f"max({f}) AS {f}") for f in flags])
     cohort = skew_join(admitted, people, ["subject_id"], probe=admissions)
-    return cohort.where(age >= min_age).select(
-        *KEYS, "admittime", "dob", age.cast("int").alias("age_at_admission"), *flags
+    return cohort.where(f"{age} >= {min_age}").selectExpr(
+        *KEYS, "admittime", "dob", f"{age} AS age_at_admission", *flags
     )
 
 
@@ -86,12 +86,10 @@ def with_stays(cohort: DataFrame, icustays: DataFrame, grain: str = "icustay") -
     )
     known = cohort.join(counted, list(KEYS), "left")
     if grain == "admission":
-        in_icu = F.coalesce(F.col("_stays"), F.lit(0)) > 0
-        return known.withColumn("in_icu", F.when(in_icu, 1).otherwise(0)).drop("_stays", "_all")
+        return known.withColumn("in_icu", F.expr("if(_stays > 0, 1, 0)")).drop("_stays", "_all")
     # The stays of an admission differ in nothing that is returned, so their number is enough.
-    copies = repeat_rows(known, F.coalesce(F.col("_all"), F.lit(1)), "_copy")
-    in_icu = F.col("_copy") < F.col("_stays")
-    return copies.withColumn("in_icu", F.when(in_icu, 1).otherwise(0)).drop("_stays", "_all", "_copy")
+    copies = repeat_rows(known, F.expr("coalesce(_all, 1)"), "_copy")
+    return copies.withColumn("in_icu", F.expr("if(_copy < _stays, 1, 0)")).drop("_stays", "_all", "_copy")
 
 
 def first_times(events: DataFrame, families: Sequence[str], keys: Sequence[str] = KEYS) -> DataFrame:

@@ -12,8 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.predicates import any_of, code_in, contains_any_of, or_zero
-from ..functions.timeops import HOUR_US, impute_time, ntz, shift_us
+from ..functions.predicates import in_sql, like_any_sql, or_zero, sql_literal
+from ..functions.timeops import HOUR_US, after_sql
 from .cohort import KEYS
 from .scale import skew_join
 
@@ -36,18 +36,20 @@ class EventFamily:
     value_column: str | None = None
     noon_hours: int | None = None
 
-    def where(self) -> Column:
+    def where(self) -> str:
+        """Condition that picks the family's rows, as SQL text."""
         if self.code_column:
-            return code_in(self.code_column, self.codes)
-        return contains_any_of(self.text_columns, self.patterns)
+            return in_sql(self.code_column, self.codes)
+        return like_any_sql(self.text_columns, self.patterns)
 
-    def time(self) -> Column:
-        if self.noon_hours is not None:
-            return impute_time(self.time_column, self.noon_hours)
-        return ntz(self.time_column)
+    def time(self) -> str:
+        moment = f"cast({self.time_column} AS timestamp_ntz)"
+        if self.noon_hours:
+            moment += f" + make_dt_interval(0, {self.noon_hours})"
+        return moment
 
-    def value(self) -> Column:
-        return F.col(self.value_column).cast("double") if self.value_column else F.lit(None).cast("double")
+    def value(self) -> str:
+        return f"cast({self.value_column or 'NULL'} AS double)"
 
     def source(self) -> tuple:
         """Families with the same source can be read in one scan."""
@@ -116,9 +118,9 @@ def event_relation(
     """
     value_below = value_below or {}
 
-    def chosen(f: EventFamily) -> Column:
+    def chosen(f: EventFamily) -> str:
         limit = value_below.get(f.name)
-        return f.where() if limit is None else f.where() & (f.value() < limit)
+        return f.where() if limit is None else f"({f.where()} AND {f.value()} < {limit})"
 
     parts: list[list[EventFamily]] = []
     for f in families:
@@ -132,12 +134,13 @@ def event_relation(
 
     relation = None
     for part in parts:
-        head = part[0]
-        name = F.lit(head.name)
-        for f in part[1:]:
-            name = F.when(f.where(), F.lit(f.name)).otherwise(name)
-        rows = tables[head.table].where(any_of([chosen(f) for f in part])).select(
-            *keys, name.alias("family"), head.time().alias("ts"), head.value().alias("value")
+        head, *others = part
+        name = sql_literal(head.name)
+        for f in others:
+            name = f"if({f.where()}, {sql_literal(f.name)}, {name})"
+        rows = tables[head.table].where(" OR ".join(chosen(f) for f in part))
+        rows = rows.selectExpr(
+            *keys, f"{name} AS family", f"{head.time()} AS ts", f"{head.value()} AS value"
         )
         relation = rows if relation is None else relation.unionByName(rows)
     return relation
@@ -168,8 +171,7 @@ def from_first_times(components: Sequence[WindowFlag], anchor: str) -> dict[str,
         start, to = c.span.bounds_us()
         if start is not None or c.value_below is not None or not isinstance(c, WindowFlag):
             raise ValueError(f"{c.name} needs more than the first time")
-        limit = f"{anchor} + make_dt_interval(0, 0, 0, {to / 1_000_000:.6f})"
-        out[c.name] = F.expr(f"if(first_{c.family} < {limit}, 1, 0)")
+        out[c.name] = F.expr(f"if(first_{c.family} < {after_sql(anchor, to)}, 1, 0)")
     return out
 
 
@@ -190,7 +192,7 @@ def window_components(
     marks = sorted({m for pair in bounds for m in pair if m is not None})
     # One row per key; grouping by the keys alone keeps the partitioning the join needs.
     zero = anchors.groupBy(*keys).agg(F.max(anchor).alias(anchor))
-    limits = zero.select(*keys, *[shift_us(anchor, m).alias(_bound_name(m)) for m in marks])
+    limits = zero.select(*keys, *[F.expr(f"{after_sql(anchor, m)} AS {_bound_name(m)}") for m in marks])
     joined = skew_join(events, limits, keys)
 
     aggregates = []

@@ -144,13 +144,11 @@ def repeat_rows(df: DataFrame, times: ColumnLike, index: str) -> DataFrame:
     Two short sequences instead of one long one keep a row with very many copies
     from needing one huge array.
     """
-    long = lambda v: F.lit(v).cast("bigint")
     block = 10_000
-    n = as_column(times).cast("bigint")
-    start = F.explode(F.sequence(long(0), n - 1, long(block)))
-    rest = F.sequence(F.col("_start"), F.least(F.col("_start") + long(block - 1), n - 1))
-    blocks = df.where(n > 0).withColumn("_start", start)
-    return blocks.withColumn(index, F.explode(rest)).drop("_start")
+    starts = F.expr(f"explode(sequence(0L, _times - 1L, {block}L))")
+    rest = F.expr(f"explode(sequence(_start, least(_start + {block - 1}L, _times - 1L)))")
+    counted = df.withColumn("_times", as_column(times).cast("bigint")).where("_times > 0")
+    return counted.withColumn("_start", starts).withColumn(index, rest).drop("_start", "_times")
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -158,14 +156,14 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local session may fall back to a temporary folder of its own.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+    return context.getCheckpointDir()
 
 
 def materialise(df: DataFrame, name: str = "table") -> DataFrame:
