@@ -51,6 +51,20 @@ def test_hot_group_is_dealt_out_evenly(spark, uneven, settings):
     assert len(spread) > 1 and max(r["count"] for r in spread) < in_hot
 
 
+def test_pieces_survive_a_rerun(spark, uneven):
+    """Rows from files are numbered; rows from a shuffle are dealt by content, whatever their order."""
+    scanned = spark.read.parquet("/root/testdata/sf0.001/events.parquet").where("value > 1")
+    assert scale.order_is_fixed(scanned.unionByName(scanned).select("user_id", "value"))
+    for shuffled in (scanned.distinct(), scanned.orderBy("ts"), scanned.repartition(3), scanned.limit(5)):
+        assert not scale.order_is_fixed(shuffled)
+    uneven(rows_per_piece=10)
+    users = scanned.select("user_id").distinct()
+    joined = plan_text(scale.skew_join(scanned.repartition(3), users, ["user_id"]))
+    assert "monotonically_increasing_id" not in joined and "_hot_piece" in joined
+    numbers = lambda d: sorted(r[0] for r in d.select(scale.spread_number(d)).collect())
+    assert numbers(scanned.repartition(3)) == numbers(scanned.repartition(5))
+
+
 def test_small_inputs_are_not_searched(spark):
     joined = scale.skew_join(facts(spark), dims(spark), ["k"])
     assert "_hot_piece" not in plan_text(joined)

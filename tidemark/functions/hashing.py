@@ -21,7 +21,9 @@ def stable_hash(*parts: ColumnLike | int, method: str = "md5") -> Column:
     cols = [F.lit(p) if isinstance(p, int) else as_column(p) for p in parts]
     if method == "md5":
         text = F.concat_ws("|", *[c.cast("string") for c in cols])
-        return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+        number = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+        # Never NULL; saying so spares Spark a second hash for a NULL test before joins.
+        return F.coalesce(number, F.lit(0).cast("bigint"))
     if method == "xxhash64":
         return F.xxhash64(*cols).bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF))
     raise ValueError(f"unknown hash method {method!r}")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.predicates import ColumnLike, as_column, contains_any, include_exclude
 from .rows import top_k
-from .scale import skew_join
+from .scale import skew_join, spread_number
 
 
 def find_concepts(
@@ -63,8 +63,10 @@ def admissions_by_description(
     The text search runs on the dictionary only.
     """
     wanted = dictionary.where(contains_any(label, include))
-    coded = label_codes(diagnoses.select(*keys, code), wanted, code)
-    return skew_join(coded, admissions, keys, probe=diagnoses)
+    numbered = diagnoses.select(*keys, code)
+    numbered = numbered.withColumn("_row", spread_number(numbered))
+    coded = label_codes(numbered, wanted, code)
+    return skew_join(coded, admissions, keys, probe=diagnoses, spread="_row").drop("_row")
 
 
 def alias_inventory(

@@ -30,7 +30,7 @@ SAMPLE_DEFAULT = 0.01
 MAX_HOT_KEYS = 4096
 MAX_PIECES = 16_384
 
-_KEY, _PIECES, _PIECE = "_hot_key", "_hot_pieces", "_hot_piece"
+_KEY, _PIECES, _PIECE, _ROW = "_hot_key", "_hot_pieces", "_hot_piece", "_hot_row"
 
 
 def _setting(spark: SparkSession, name: str, default):
@@ -95,12 +95,47 @@ def hot_keys(df: DataFrame, keys: Sequence[str]) -> list[tuple[int, int]]:
     ]
 
 
+#: Plan steps that pass rows on in the order in which they were read.
+_KEEPS_ORDER = {"Project", "Filter", "Union", "SubqueryAlias", "View", "Generate"}
+
+
+def order_is_fixed(df: DataFrame) -> bool:
+    """Whether a lost task would read the same rows in the same order again.
+
+    True for rows straight from files; false once they went through a shuffle.
+    """
+    try:
+        todo = [df._jdf.queryExecution().analyzed()]
+        while todo:
+            node = todo.pop()
+            below = node.children()
+            leaf = below.size() == 0
+            if node.nodeName() == "InMemoryRelation" or not (leaf or node.nodeName() in _KEEPS_ORDER):
+                return False
+            todo += [below.apply(i) for i in range(below.size())]
+        return True
+    except AttributeError:
+        return False
+
+
+def spread_number(df: DataFrame) -> Column:
+    """A number per row that is the same when a lost task runs again.
+
+    Rows straight from files are numbered, which tells exact copies apart. Rows
+    from a shuffle may come in another order next time, so their content counts.
+    """
+    if order_is_fixed(df):
+        return F.monotonically_increasing_id()
+    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def skew_join(
     facts: DataFrame,
     dims: DataFrame,
     on: Sequence[str],
     how: str = "inner",
     probe: DataFrame | None = None,
+    spread: str | None = None,
 ) -> DataFrame:
     """Equi-join of many ``facts`` rows per key with few ``dims`` rows per key.
 
@@ -110,7 +145,9 @@ def skew_join(
     searched for hot keys. Without hot keys this is an ordinary join. ``how`` keeps or
     tests fact rows: inner, left, left_semi or left_anti. ``probe`` is a cheaper
     table to search for hot keys, where ``facts`` is itself the result of a join;
-    splitting a key that turns out to be small does no harm.
+    splitting a key that turns out to be small does no harm. ``spread`` names a
+    column of row numbers taken at the scan, for facts that may hold many exact
+    copies and went through a shuffle since.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"skew_join cannot preserve the dims side: {how}")
@@ -127,10 +164,10 @@ def skew_join(
     # At most MAX_HOT_KEYS rows of two numbers.
     listed = F.broadcast(facts.sparkSession.createDataFrame(hot, schema))
     tagged = lambda d: d.withColumn(_KEY, _key_hash(d, on, types)).join(listed, _KEY, "left")
-    piece = F.when(
-        F.col(_PIECES).isNotNull(), F.pmod(F.monotonically_increasing_id(), F.col(_PIECES))
-    ).otherwise(0)
-    dealt = tagged(facts).withColumn(_PIECE, piece.cast("int")).drop(_KEY, _PIECES)
+    number = F.col(spread) if spread else spread_number(facts)
+    piece = F.when(F.col(_PIECES).isNotNull(), F.pmod(F.col(_ROW), F.col(_PIECES))).otherwise(0)
+    numbered = tagged(facts.withColumn(_ROW, number))
+    dealt = numbered.withColumn(_PIECE, piece.cast("int")).drop(_KEY, _PIECES, _ROW)
     last = F.coalesce(F.col(_PIECES), F.lit(1)) - 1
     repeated = (
         tagged(dims).withColumn(_PIECE, F.explode(F.sequence(F.lit(0), last))).drop(_KEY, _PIECES)

@@ -83,12 +83,15 @@ def encounter_events(events: DataFrame) -> DataFrame:
 
 def clinical_tables(spark: SparkSession, sf_dir: str) -> LazyTables:
     raw = LazyTables(
-        {n: lambda n=n: load_tables(spark, sf_dir, [n])[n] for n in ("events", "customer")}
+        {
+            "events": lambda: encounter_events(load_tables(spark, sf_dir, ["events"])["events"]),
+            "customer": lambda: load_tables(spark, sf_dir, ["customer"])["customer"],
+        }
     )
 
     def projected(name: str) -> DataFrame:
         event_type, *columns = PROJECTIONS[name]
-        chosen = encounter_events(raw["events"]).where(f"event_type = '{event_type}'")
+        chosen = raw["events"].where(f"event_type = '{event_type}'")
         if name == "icustays":
             chosen = chosen.where("event_id % 4 = 0")
         return chosen.selectExpr(*KEYS, *columns)
@@ -99,6 +102,6 @@ def clinical_tables(spark: SparkSession, sf_dir: str) -> LazyTables:
         "date_add(DATE '1950-01-01', int(c_custkey * 7919 % 24000)) AS dob",
     )
     makers["admissions"] = lambda: (
-        encounter_events(raw["events"]).groupBy(*KEYS).agg({"ts": "min"}).toDF(*KEYS, "admittime")
+        raw["events"].groupBy(*KEYS).agg({"ts": "min"}).toDF(*KEYS, "admittime")
     )
     return LazyTables(makers)
