@@ -106,6 +106,31 @@ def test_materialise_uses_the_shared_folder(spark):
     assert "Range" not in plan_text(written)
 
 
+class _Session:
+    """Just enough of a session to ask for its shared folder."""
+
+    def __init__(self, master):
+        self.conf = {}
+        self.sparkContext = self
+        self.master, self.folder = master, None
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_only_a_local_session_gets_a_folder_of_its_own():
+    local = _Session("local[2]")
+    assert scale.shared_folder(local) == scale.shared_folder(local) == local.folder
+    cluster = _Session("yarn")
+    with pytest.raises(ValueError):
+        scale.shared_folder(cluster)
+    cluster.conf["spark.checkpoint.dir"] = "/shared/x/"
+    assert scale.shared_folder(cluster) == "/shared/x"
+
+
 def test_input_bytes_counts_what_is_read(spark):
     path = "/root/testdata/sf0.001/events.parquet"
     events = spark.read.parquet(path)

@@ -139,6 +139,10 @@ def skew_join(
 ) -> DataFrame:
     """Equi-join of many ``facts`` rows per key with few ``dims`` rows per key.
 
+    Adaptive execution splits a skewed join only where both sides come straight
+    from a shuffle; here one side is mostly an aggregate, so hot keys are split
+    in the plan itself.
+
     Rows of a hot key on the facts side are dealt out to several pieces and the
     matching ``dims`` rows are repeated once per piece, so no task receives a
     whole hot group. Small inputs, and dims that Spark broadcasts anyway, are not

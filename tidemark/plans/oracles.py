@@ -141,6 +141,12 @@ def _chosen(name: str, source: str, rate: str, salt: int, jitter: int) -> str:
 
 
 _SHOCK_CHOICE = _chosen("sh", "om", "p_shock", 424242, 11)
+_GROUPS = f"""{_MONTHS}, {_RATES}, {_SHOCK_CHOICE}, {_chosen('p3', 'om', 'p_pass3', 424242, 7)},
+{_chosen('p6', 'sh', 'p_pass6', 99999, 13)}"""
+_MEMBER = ", ".join(
+    f"(o_orderkey IN (SELECT o_orderkey FROM {t}))::INT AS {name}"
+    for name, t in {"pass3": "p3", "shock": "sh", "pass6": "p6"}.items()
+)
 _PATTERNS = "n LIKE '%economy%' OR n LIKE '%brand#1%' OR n LIKE '%red%' OR n LIKE '%large%' OR n LIKE '%s%g%'"
 _NAMES = "SELECT lower(unnest([p_name, p_type, p_brand])) AS n FROM part"
 _DAY_LABS = """dl AS (SELECT event_id, hadm_id, ts::DATE AS chartday,
@@ -269,6 +275,11 @@ WITH {_MONTHS} SELECT o_orderkey, month_key,
   count(*) OVER (PARTITION BY month_key) AS cnt FROM om""",
     "select_fraction": f"WITH {_MONTHS}, {_RATES}, {_SHOCK_CHOICE} FROM sh",
     "select_nested": f"WITH {_MONTHS}, {_RATES}, {_SHOCK_CHOICE}, {_chosen('p6', 'sh', 'p_pass6', 99999, 13)} FROM p6",
+    "group_flags": f"WITH {_GROUPS} SELECT o_orderkey, month_key, {_MEMBER} FROM om",
+    "group_summary": f"""
+WITH {_GROUPS}, m AS (SELECT {_MEMBER} FROM om)
+SELECT count(*)::BIGINT AS cohort, sum(pass3)::BIGINT AS pass3, sum(shock)::BIGINT AS shock,
+  sum(pass6)::BIGINT AS pass6 FROM m""",
     "surrogate_ids": """
 SELECT o_orderkey, (SELECT max(o_orderkey) + 100 FROM orders)
   + row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS new_id FROM orders""",
@@ -302,6 +313,9 @@ SELECT subject_id, hadm_id, admittime + to_minutes((70 + {_md5('hadm_id', '24')}
        (30061 + {_md5('hadm_id', '25')} % 3)::INT, 1000.0::DOUBLE
 FROM adm WHERE NOT EXISTS (FROM chart WHERE chart.hadm_id = adm.hadm_id AND item = 30061
   AND ts BETWEEN admittime - INTERVAL 1 HOUR AND admittime + INTERVAL 6 HOUR)""",
+    "drug_names": f"WITH {_CLINICAL} SELECT 'cefepime' AS name, 2 * count(*) AS cnt FROM rx",
+    "blood_specimens": f"""
+WITH {_CLINICAL} SELECT DISTINCT 70012::INT AS spec_itemid, 'BLOOD CULTURE' AS spec_type_desc FROM cul""",
     "append_rows": f"""
 WITH {_CLINICAL}
 SELECT subject_id, hadm_id, ts AS charttime, 50813::INT AS itemid, v AS valuenum, 'mmol/L' AS valueuom

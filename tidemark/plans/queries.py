@@ -27,7 +27,8 @@ from ..sources.tables import (
     read_snapshot,
 )
 from ..operators.scale import materialise, shared_folder
-from . import baseline, bundles, codes, final
+from . import baseline, bundles, codes, explore, final
+from .groups import Group, choose_groups, mark_groups
 from .spec import SEPSIS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -377,6 +378,31 @@ def select_nested(spark, sf_dir):
     )
 
 
+# Two groups share a salt, so one is part of the other within a month.
+GROUPS = {
+    "pass3": Group("p_pass3", 424242, 7),
+    "shock": Group("p_shock", 424242, 11),
+    "pass6": Group("p_pass6", 99999, 13, within="shock"),
+}
+
+
+def _grouped(spark, sf_dir):
+    by_month = _orders_by_month(spark, sf_dir)
+    chosen = choose_groups(by_month, "month_key", "o_orderkey", _rates(by_month), GROUPS)
+    return mark_groups(by_month, "o_orderkey", chosen)
+
+
+@query
+def group_flags(spark, sf_dir):
+    return _grouped(spark, sf_dir)
+
+
+@query
+def group_summary(spark, sf_dir):
+    """Size of the cohort and of its groups, in one row."""
+    return status.cohort_summary(_grouped(spark, sf_dir), {g: F.col(g) == 1 for g in GROUPS})
+
+
 @query
 def surrogate_ids(spark, sf_dir):
     (orders,) = _raw(spark, sf_dir, "orders")
@@ -453,6 +479,17 @@ def append_absent_range(spark, sf_dir):
     )
 
 
+@query
+def drug_names(spark, sf_dir):
+    """Antibiotic spellings in all prescriptions, with the number of times each occurs."""
+    return explore.antibiotic_names(clinical_tables(spark, sf_dir), dedup=False)
+
+
+@query
+def blood_specimens(spark, sf_dir):
+    return explore.blood_specimens(clinical_tables(spark, sf_dir))
+
+
 @query
 def append_rows(spark, sf_dir):
     """Two tables of different width as one."""

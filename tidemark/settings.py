@@ -11,9 +11,8 @@ CLUSTER_SETTINGS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     # Start with many shuffle partitions; adaptive execution merges small ones.
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16384",
-    # Split uneven partitions even where this costs another exchange.
+    # Split uneven partitions of joins whose sides both come straight from a shuffle.
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Let a small cohort filter event scans before their shuffle.
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.files.maxPartitionBytes": "256m",
