@@ -177,11 +177,9 @@ def select_nested(
 ) -> DataFrame:
     """A share of the rows whose id is in ``subset``; ranks and sizes count only those.
 
-    The rows of the subset are read three times; large ones are written once before.
+    The rows of the subset are read three times, so they are written once before.
     """
-    inner = present(df, subset, [id_column])
-    if is_large(df, subset):
-        inner = materialise(inner, "subset")
+    inner = materialise(present(df, subset, [id_column]), "subset")
     return select_fraction(inner, stratum, id_column, rates, rate, salt, jitter_salt, method)
 
 

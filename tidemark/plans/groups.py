@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.scale import is_large, materialise
+from ..operators.scale import materialise
 from ..operators.strata import select_fraction, select_nested
 
 
@@ -34,7 +34,7 @@ def choose_groups(
     groups: Mapping[str, Group],
     method: str = "md5",
 ) -> dict[str, DataFrame]:
-    """Rows of each group. A group named in ``within`` has to come first."""
+    """Rows of each group. A group named in ``within`` has to come first; it is written once."""
     chosen: dict[str, DataFrame] = {}
     used = {g.within for g in groups.values()}
     for name, g in groups.items():
@@ -43,7 +43,7 @@ def choose_groups(
             rows = select_fraction(cohort, *args)
         else:
             rows = select_nested(cohort, chosen[g.within], *args)
-        if name in used and is_large(cohort):
+        if name in used:
             rows = materialise(rows, name)
         chosen[name] = rows
     return chosen
