@@ -306,7 +306,7 @@ def test_append_absent_twice_is_once(spark):
 
 def test_update_from(spark, uneven):
     base = spark.createDataFrame([(1, "x", 10), (1, "y", 10), (2, "x", 10), (3, "x", None)], "k int, s string, v int")
-    new = spark.createDataFrame([(1, 77), (3, 99)], "k int, nv int")
+    new = spark.createDataFrame([(1, 78), (1, 77), (3, 99)], "k int, nv int")
     want = {(1, "x", 77), (1, "y", 10), (2, "x", 10), (3, "x", 99)}
     update = lambda: changes.update_from(base, new, ["k"], {"v": F.col("nv")}, F.col("s") == "x")
     assert as_set(update()) == want

@@ -82,6 +82,25 @@ def test_sampling_only_decides_the_split(spark, uneven, settings):
     assert scale.skew_join(facts(spark), dims(spark), ["k"]).count() == facts(spark).join(dims(spark), "k").count()
 
 
+def test_large_files_are_sampled_by_file(spark, uneven, settings, tmp_path):
+    path = str(tmp_path / "facts")
+    facts(spark, 6000).repartition(60).write.parquet(path)
+    read = spark.read.parquet(path).where("v >= 0")
+    uneven(rows_per_piece=100)
+    settings(spark__tidemark__fileSampleBytes=0)
+    some, weight = scale._sampled(read.select("k"), 1.0)
+    assert weight == scale.FILE_STEP and 0 < some.count() < 1500
+    assert "file_path" in plan_text(some)
+    both = scale.hot_keys([read.select("k"), read.select("k")], ["k"])
+    one = scale.hot_keys(read.select("k"), ["k"])
+    assert both[0][0] == one[0][0] and 1 < one[0][1] < both[0][1]
+    # Without files to choose from, rows are sampled instead.
+    assert scale._sampled(facts(spark), 1.0)[1] == 1
+    assert scale._sampled(read.unionByName(read), 1.0)[1] == 1
+    want = sorted(map(str, read.join(dims(spark), "k").collect()))
+    assert sorted(map(str, scale.skew_join(read, dims(spark), ["k"]).collect())) == want
+
+
 def test_dims_cannot_be_preserved(spark):
     with pytest.raises(ValueError):
         scale.skew_join(facts(spark), dims(spark), ["k"], "right")

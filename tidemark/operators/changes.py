@@ -65,10 +65,13 @@ def update_from(
 ) -> DataFrame:
     """Base with columns replaced in rows that have a partner in updates and pass ``where``.
 
-    ``values`` may use columns of both sides. Updates must have one row per key.
+    ``values`` may use columns of both sides. Where updates repeat a key, the row
+    with the smallest values counts, so that base rows are never multiplied.
     """
     columns = base.columns
-    marked = updates.withColumn("_hit", F.lit(True))
+    others = [c for c in updates.columns if c not in on]
+    single = updates.groupBy(*on).agg(F.min(F.struct(F.lit(True).alias("_hit"), *others)).alias("_u"))
+    marked = single.select(*on, "_u.*")
     joined = skew_join(base, marked, on, "left")
     hit = F.col("_hit").isNotNull()
     hit = hit if where is None else hit & where

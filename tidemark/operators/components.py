@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -105,13 +106,13 @@ class WindowValue:
 Component = WindowFlag | WindowValue
 
 
-def event_relation(
+def event_parts(
     tables: Mapping[str, DataFrame],
     families: Sequence[EventFamily],
     keys: Sequence[str] = KEYS,
     value_below: Mapping[str, float] | None = None,
-) -> DataFrame:
-    """All events of the families as rows (keys, family, ts, value).
+) -> list[DataFrame]:
+    """Events of the families as rows (keys, family, ts, value), one DataFrame per scan.
 
     Families that share a table and use separate codes are read in one scan;
     their filters, value limits included, go down to the scan.
@@ -132,7 +133,7 @@ def event_relation(
         else:
             parts.append([f])
 
-    relation = None
+    scans = []
     for part in parts:
         head, *others = part
         name = sql_literal(head.name)
@@ -142,8 +143,18 @@ def event_relation(
         rows = rows.selectExpr(
             *keys, f"{name} AS family", f"{head.time()} AS ts", f"{head.value()} AS value"
         )
-        relation = rows if relation is None else relation.unionByName(rows)
-    return relation
+        scans.append(rows)
+    return scans
+
+
+def event_relation(
+    tables: Mapping[str, DataFrame],
+    families: Sequence[EventFamily],
+    keys: Sequence[str] = KEYS,
+    value_below: Mapping[str, float] | None = None,
+) -> DataFrame:
+    """All events of the families in one DataFrame."""
+    return reduce(DataFrame.unionByName, event_parts(tables, families, keys, value_below))
 
 
 def _limit(c: Component) -> float | None:
@@ -176,7 +187,7 @@ def from_first_times(components: Sequence[WindowFlag], anchor: str) -> dict[str,
 
 
 def window_components(
-    events: DataFrame,
+    events: DataFrame | Sequence[DataFrame],
     anchors: DataFrame,
     components: Sequence[Component],
     anchor: str,
@@ -184,16 +195,21 @@ def window_components(
 ) -> DataFrame:
     """All components per key, for keys that have at least one event.
 
-    ``anchors`` may repeat a key, always with the same anchor time. The window limits are computed once per anchor, so an event row costs plain
-    time comparisons. Hot keys are split before the join; the aggregate that
-    follows merges inside each task before anything is shuffled again.
+    ``events`` may be one table or the parts of it. ``anchors`` may repeat a key,
+    always with the same anchor time. The window limits are computed once per
+    anchor, so an event row costs plain time comparisons. Hot keys are split before
+    the join; the aggregate that follows merges inside each task before anything is
+    shuffled again.
     """
+    parts = [events] if isinstance(events, DataFrame) else list(events)
     bounds = [c.span.bounds_us() for c in components]
     marks = sorted({m for pair in bounds for m in pair if m is not None})
     # One row per key; grouping by the keys alone keeps the partitioning the join needs.
     zero = anchors.groupBy(*keys).agg(F.max(anchor).alias(anchor))
-    limits = zero.select(*keys, *[F.expr(f"{after_sql(anchor, m)} AS {_bound_name(m)}") for m in marks])
-    joined = skew_join(events, limits, keys)
+    limits = zero.selectExpr(
+        *keys, *[f"{after_sql(anchor, m)} AS {_bound_name(m)}" for m in marks]
+    )
+    joined = skew_join(reduce(DataFrame.unionByName, parts), limits, keys, probe=parts)
 
     aggregates = []
     for c, (start, to) in zip(components, bounds):
@@ -207,7 +223,7 @@ def window_components(
         elif c.agg == "max":
             found = f"max(value) FILTER (WHERE {inside})"
         elif c.agg == "first":
-            found = f"min_by(value, ts) FILTER (WHERE {inside} AND value IS NOT NULL)"
+            found = f"min_by(value, struct(ts, value)) FILTER (WHERE {inside} AND value IS NOT NULL)"
         else:
             raise ValueError(f"unknown aggregate {c.agg!r}")
         aggregates.append(F.expr(found).alias(c.name))

@@ -2,8 +2,9 @@
 
 Nothing here hints a broadcast of data without a bound: joins carry no hint, so
 Spark broadcasts a side only after checking its size against
-``spark.sql.autoBroadcastJoinThreshold``. The one explicit broadcast is the list
-of hot keys, which has at most ``MAX_HOT_KEYS`` rows.
+``spark.sql.autoBroadcastJoinThreshold``. The explicit broadcasts are the list of
+hot keys, which has at most ``MAX_HOT_KEYS`` rows, and in ``surrogate_ids`` one row
+per partition.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +29,10 @@ ROWS_PER_PIECE_DEFAULT = 5_000_000
 #: Session setting: share of the rows looked at when searching hot keys.
 SAMPLE_CONF = "spark.tidemark.hotKeySample"
 SAMPLE_DEFAULT = 0.01
+#: Session setting: inputs from this size on are sampled by file, so most files stay closed.
+FILE_SAMPLE_CONF = "spark.tidemark.fileSampleBytes"
+FILE_SAMPLE_DEFAULT = 1 << 40
+FILE_STEP = 20
 MAX_HOT_KEYS = 4096
 MAX_PIECES = 16_384
 
@@ -67,32 +73,49 @@ def _key_hash(df: DataFrame, keys: Sequence[str], types: Sequence[T.DataType]) -
     return F.xxhash64(*[df[k].cast(t) for k, t in zip(keys, types)])
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str]) -> list[tuple[int, int]]:
-    """Hashes of the keys that hold too many rows for one task, with a piece count.
+def _sampled(df: DataFrame, share: float) -> tuple[DataFrame, float]:
+    """About ``share`` of the rows, and the weight of each.
 
-    Keys are counted on a sample. The sample decides only how the work is split,
-    never which rows take part. The list is bounded: if more than
-    ``MAX_HOT_KEYS`` keys qualify, each one left out holds a smaller share of the
-    rows than 1 / ``MAX_HOT_KEYS``.
+    Of very large inputs only every ``FILE_STEP``-th file is opened, and more of
+    its rows are taken. Plans that do not show their files are sampled by row.
     """
     spark = df.sparkSession
+    if input_bytes(df) >= _setting(spark, FILE_SAMPLE_CONF, FILE_SAMPLE_DEFAULT):
+        try:
+            some = df.where(f"pmod(xxhash64(_metadata.file_path), {FILE_STEP}) = 0")
+            of_file = min(1.0, share * FILE_STEP)
+            return some.sample(of_file, seed=7), FILE_STEP / of_file
+        except AnalysisException:
+            pass
+    return (df.sample(share, seed=7) if share < 1 else df), 1 / share
+
+
+def hot_keys(dfs: DataFrame | Sequence[DataFrame], keys: Sequence[str]) -> list[tuple[int, int]]:
+    """Hashes of the keys that hold too many rows for one task, with a piece count.
+
+    Keys are counted on a sample of the tables together. The sample decides only
+    how the work is split, never which rows take part. The list is bounded: if more
+    than ``MAX_HOT_KEYS`` keys qualify, each one left out holds a smaller share of
+    the rows than 1 / ``MAX_HOT_KEYS``.
+    """
+    dfs = [dfs] if isinstance(dfs, DataFrame) else list(dfs)
+    spark = dfs[0].sparkSession
     share = _setting(spark, SAMPLE_CONF, SAMPLE_DEFAULT)
     per_piece = _setting(spark, ROWS_PER_PIECE_CONF, ROWS_PER_PIECE_DEFAULT)
-    types = [df.schema[k].dataType for k in keys]
-    hashed = df.select(_key_hash(df, keys, types).alias(_KEY))
-    if share < 1:
-        hashed = hashed.sample(share, seed=7)
+    types = [dfs[0].schema[k].dataType for k in keys]
+    hashed = None
+    for df in dfs:
+        some, weight = _sampled(df, share)
+        part = some.select(_key_hash(some, keys, types).alias(_KEY), F.lit(float(weight)).alias("w"))
+        hashed = part if hashed is None else hashed.unionByName(part)
     counted = (
         hashed.groupBy(_KEY)
-        .agg(F.count("*").alias("n"))
-        .where(F.col("n") > per_piece * share)
+        .agg(F.sum("w").alias("n"))
+        .where(F.col("n") > per_piece)
         .orderBy(F.desc("n"), _KEY)
         .limit(MAX_HOT_KEYS)
     )
-    return [
-        (row[0], min(MAX_PIECES, int(row[1] / share / per_piece) + 1))
-        for row in counted.collect()
-    ]
+    return [(row[0], min(MAX_PIECES, int(row[1] / per_piece) + 1)) for row in counted.collect()]
 
 
 #: Plan steps that pass rows on in the order in which they were read.
@@ -134,7 +157,7 @@ def skew_join(
     dims: DataFrame,
     on: Sequence[str],
     how: str = "inner",
-    probe: DataFrame | None = None,
+    probe: DataFrame | Sequence[DataFrame] | None = None,
     spread: str | None = None,
 ) -> DataFrame:
     """Equi-join of many ``facts`` rows per key with few ``dims`` rows per key.
@@ -147,8 +170,8 @@ def skew_join(
     matching ``dims`` rows are repeated once per piece, so no task receives a
     whole hot group. Small inputs, and dims that Spark broadcasts anyway, are not
     searched for hot keys. Without hot keys this is an ordinary join. ``how`` keeps or
-    tests fact rows: inner, left, left_semi or left_anti. ``probe`` is a cheaper
-    table to search for hot keys, where ``facts`` is itself the result of a join;
+    tests fact rows: inner, left, left_semi or left_anti. ``probe`` names cheaper
+    tables to search for hot keys, where ``facts`` is itself the result of a join;
     splitting a key that turns out to be small does no harm. ``spread`` names a
     column of row numbers taken at the scan, for facts that may hold many exact
     copies and went through a shuffle since.

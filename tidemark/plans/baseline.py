@@ -6,10 +6,11 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
-from ..operators.cohort import KEYS, build_cohort, first_times, time_zero, with_stays
+from ..operators.cohort import build_cohort, first_times, time_zero, with_stays
 from ..operators.components import (
     WindowFlag,
     attach_components,
+    event_parts,
     event_relation,
     family_value_limits,
     from_first_times,
@@ -67,7 +68,7 @@ def with_components(tables: Tables, anchored: DataFrame, spec: MeasureSpec = SEP
     out = anchored.withColumns(from_first_times(early, spec.anchor)) if early else anchored
     if rest:
         names = list(dict.fromkeys(c.family for c in rest))
-        events = event_relation(
+        events = event_parts(
             tables, [spec.family(n) for n in names], value_below=family_value_limits(rest)
         )
         found = window_components(events, anchored, rest, spec.anchor)

@@ -11,7 +11,7 @@ from ..operators.components import (
     EventFamily,
     Span,
     WindowFlag,
-    event_relation,
+    event_parts,
     window_components,
 )
 from ..operators.status import mask_components, reconcile_status
@@ -36,7 +36,7 @@ def antibiotic_within_3h(
 ) -> DataFrame:
     """Per admission: an antibiotic started at or after time zero and less than 3 hours later."""
     step = WindowFlag("antibiotics_3h", "antibiotic", Span(3, lo=0, mode="half_open"))
-    events = event_relation({"prescriptions": prescriptions}, [antibiotic_starts(time_column)])
+    events = event_parts({"prescriptions": prescriptions}, [antibiotic_starts(time_column)])
     return window_components(events, base, [step], anchor)
 
 

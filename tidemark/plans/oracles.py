@@ -220,7 +220,7 @@ WITH {_STEPS} SELECT subject_id, hadm_id, lactate_measured_3h, initial_lactate_v
   blood_culture_3h, antibiotics_3h, fluids_administered_3h, repeat_lactate_6h,
   vasopressors_administered_6h, persistent_hypotension_6h FROM st""",
     "window_values": f"""
-WITH {_COHORT} SELECT z.subject_id, z.hadm_id, max(x.v) AS max_lactate, arg_min(x.v, x.ts) AS first_lactate
+WITH {_COHORT} SELECT z.subject_id, z.hadm_id, max(x.v) AS max_lactate, first(x.v ORDER BY x.ts, x.v) AS first_lactate
 FROM z LEFT JOIN lab x ON x.hadm_id = z.hadm_id AND {_H} <= 3 GROUP BY ALL""",
     "half_open_flags": f"""
 WITH {_COHORT} SELECT subject_id, hadm_id, (hadm_id IN (SELECT rx.hadm_id FROM rx
