@@ -65,6 +65,18 @@ def test_best_row_is_cut_before_the_shuffle(spark):
     assert as_set(best) == {(0, 0), (1, 1), (2, 2)}
 
 
+def test_sort_splits_a_value_that_most_rows_share(spark, settings):
+    settings(spark__sql__adaptive__enabled="false")
+    df = spark.range(3000, numPartitions=4).selectExpr("id", "if(id % 3 < 2, 5, id) AS v")
+    got = rows.sort_output(df, "v")
+    parts = got.where("v = 5").groupBy(F.spark_partition_id()).count()
+    assert got.columns == ["id", "v"] and parts.count() > 1
+    values = [r.v for r in got.collect()]
+    assert values == sorted(values) and len(values) == 3000
+    down = [r.v for r in rows.sort_output(df, "v", descending=True).collect()]
+    assert down == values[::-1]
+
+
 def test_top_k_does_not_sort_everything(spark):
     assert "TakeOrderedAndProject" in plan_text(rows.top_k(spark.range(100), 3, "id"))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.predicates import ColumnLike, as_column
 from ..functions.timeops import shift_us, slot_start
-from .scale import skew_join
+from .scale import skew_join, spread_number
 
 
 def distinct_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -18,8 +18,13 @@ def distinct_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
 
 
 def sort_output(df: DataFrame, *by: str, descending: bool = False) -> DataFrame:
-    """Global sort for the final reader; NULLs come first when ascending."""
-    return df.orderBy(*[F.desc(c) if descending else F.asc(c) for c in by])
+    """Global sort for the final reader; NULLs come first when ascending.
+
+    Rows with equal sort values are told apart by a number, so that a value that
+    very many rows share is still sorted by several tasks.
+    """
+    order = [F.desc(c) if descending else F.asc(c) for c in by]
+    return df.withColumn("_tie", spread_number(df)).orderBy(*order, "_tie").drop("_tie")
 
 
 def top_k(df: DataFrame, k: int, *order: ColumnLike) -> DataFrame:
