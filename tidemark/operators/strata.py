@@ -12,7 +12,7 @@ from ..functions.hashing import hash_mod, slice_of, stable_hash
 from ..functions.predicates import between, clamp, in_period
 from ..functions.timeops import boundary_diff
 from .rows import first_time, present
-from .scale import is_large, materialise, repeat_rows, skew_join
+from .scale import is_large, materialise, repeat_rows
 
 #: Slices of the hash range in which a stratum is ranked (a power of two).
 RANK_SLICES = 4096
@@ -150,18 +150,20 @@ def select_fraction(
     hashed = _hashed(df, stratum, id_column, salt, method, slices)
     sized = _slice_offsets(hashed, stratum).join(rates.select(stratum, rate), stratum)
     sized = sized.withColumn("_keep", share_size(stratum, rate, jitter_salt, method=method))
-    holds_cut = (F.col("_before") < F.col("_keep")) & (F.col("_keep") <= F.col("_before") + F.col("_n"))
-    cuts = sized.where(holds_cut).select(
-        stratum, F.col("_slice").alias("_cut"), (F.col("_keep") - F.col("_before")).alias("_left")
+    # ``_left``: rows to take from the slice with the cut; NULL where the slice is taken whole.
+    taken = sized.where("_before < _keep").selectExpr(
+        stratum, "_slice", "if(_before + _n > _keep, _keep - _before, NULL) AS _left"
     )
-    tagged = skew_join(hashed, cuts, [stratum])
-    in_order = Window.partitionBy(stratum).orderBy("_h", id_column)
+    # Joined by slice as well, so even a stratum with most of the rows is spread evenly.
+    tagged = hashed.join(taken, [stratum, "_slice"])
+    in_order = Window.partitionBy(stratum, "_slice").orderBy("_h", id_column)
     edge = (
-        tagged.where("_slice = _cut")
+        tagged.where("_left IS NOT NULL")
         .withColumn("_rn", F.row_number().over(in_order))
         .where("_rn <= _left")
     )
-    return tagged.where("_slice < _cut").select(*df.columns).unionByName(edge.select(*df.columns))
+    whole = tagged.where("_left IS NULL")
+    return whole.select(*df.columns).unionByName(edge.select(*df.columns))
 
 
 def select_nested(
