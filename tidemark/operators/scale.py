@@ -9,7 +9,6 @@ per partition.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -216,18 +215,13 @@ def repeat_rows(df: DataFrame, times: ColumnLike, index: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder for intermediate tables: the cluster's ``spark.checkpoint.dir``.
+    """Folder for intermediate tables that every executor can reach.
 
-    Only a local session may fall back to a temporary folder of its own.
+    The cluster's ``spark.checkpoint.dir``; where that is unset, a folder in the session's
+    warehouse, which executors share as well.
     """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
-    return context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/tidemark-scratch").rstrip("/")
 
 
 def materialise(df: DataFrame, name: str = "table") -> DataFrame:
