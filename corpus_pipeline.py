@@ -10,7 +10,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, mixing, rule_ledger, token_files
+from tidemark.llm import decontaminate, mixing, ngram_join, rule_ledger, token_files
 from tidemark.llm.common import read
 from tidemark.operators.scale import shared_folder
 
@@ -20,6 +20,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rule_ledger.keep_good(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar ones, the one with the smallest id."""
+    return ngram_join.keep_one(docs)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth of the words lies in windows of benchmark items."""
     return decontaminate.keep_clean(docs, read(spark, sf_dir, "benchmark"))
@@ -39,6 +44,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality_rules", quality),
+    ("ngram_join", near_duplicates),
     ("decontamination", decontamination),
     ("mixing", mix),
     ("token_files", tokens),

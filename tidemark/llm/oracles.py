@@ -86,4 +86,19 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN n USING (r) LEFT JOIN it USING (r)
 """
 
-ORACLES = {"op2_mixing": OP2, "op4_rule_ledger": OP4, "op10_decontamination": OP10}
+OP1 = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all({FOLD.format("coalesce(text, '')")}, '{WORD}') AS ws FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS g
+  FROM (SELECT doc_id, ws, unnest(generate_series(1, greatest(len(ws) - 4, 1))) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y FROM pairs JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * shared >= 80 * (a.n + b.n - shared)),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM w UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, (SELECT min(y) FROM reach r WHERE r.x = w.doc_id) AS component_id
+FROM w LEFT JOIN n USING (doc_id)
+"""
+
+ORACLES = {"op1_ngram_join": OP1, "op2_mixing": OP2, "op4_rule_ledger": OP4, "op10_decontamination": OP10}

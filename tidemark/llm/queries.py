@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, rule_ledger, token_files
+from . import decontaminate, mixing, ngram_join, rule_ledger, token_files
 from .common import read
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(read(spark, sf_dir, "documents"))
 
@@ -34,4 +38,4 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.drop("hit_spans")
 
 
-REGISTRY = {f.__name__: f for f in (op2_mixing, op4_rule_ledger, op9_token_files, op10_decontamination)}
+REGISTRY = {f.__name__: f for f in (op1_ngram_join, op2_mixing, op4_rule_ledger, op9_token_files, op10_decontamination)}
