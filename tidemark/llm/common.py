@@ -94,13 +94,21 @@ def map_batches(
 ) -> DataFrame:
     """``mapInArrow`` over slices; ``make`` runs once per task and returns the function for a slice."""
 
-    # Python workers of a local session may start in another folder than the driver.
-    df.sparkSession.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
             for piece in in_slices(batch):
                 yield from work(piece)
 
+    return map_task(df, run, schema)
+
+
+def map_task(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
+    """``mapInArrow`` for functions over all batches of a task."""
+    find_package(df.sparkSession)
     return df.mapInArrow(run, schema)
+
+
+def find_package(spark: SparkSession) -> None:
+    """Python workers of a local session may start in another folder than the driver."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)

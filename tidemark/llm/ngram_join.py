@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, map_batches, mix64, shared_table, shingle_hashes, text_bytes
+from .common import WordHashes, map_batches, map_task, mix64, shared_table, shingle_hashes, text_bytes
 from .components import components
 
 WORDS = 5
@@ -145,7 +145,7 @@ def _pairs_of_blocks(rows: DataFrame, nearest: bool) -> DataFrame:
             yield from _compare(rest, nearest)
 
     schema = T.StructType([T.StructField("x", T.LongType()), T.StructField("y", T.LongType())])
-    return rows.select(*names).mapInArrow(run, schema)
+    return map_task(rows.select(*names), run, schema)
 
 
 def _last_group(table: pa.Table) -> int:

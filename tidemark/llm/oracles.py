@@ -47,16 +47,19 @@ k AS (SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup FR
 m AS (
   SELECT doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS chars,
          len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(n_lines, 0)::BIGINT AS n_lines,
+         len(regexp_extract_all(text, '\p{{Lu}}'))::BIGINT AS n_upper, len(regexp_extract_all(text, '!'))::BIGINT AS n_exclamations,
          coalesce(n_dup, 0)::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words
   FROM w LEFT JOIN c USING (r) LEFT JOIN k USING (r)),
 f AS (
   SELECT *, coalesce(chars, 0)::BIGINT AS word_chars,
          (CASE WHEN n_words < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END
-          + CASE WHEN n_symbols > n_words THEN 4 ELSE 0 END + CASE WHEN 100 * n_dup_lines > 50 * n_lines THEN 8 ELSE 0 END
+          + CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END + CASE WHEN 100 * n_dup_lines > 50 * n_lines THEN 8 ELSE 0 END
           + CASE WHEN coalesce(chars, 0) > 25 * n_words THEN 16 ELSE 0 END
-          + CASE WHEN coalesce(chars, 0) < 2 * n_words THEN 32 ELSE 0 END)::BIGINT AS fail_bits
+          + CASE WHEN coalesce(chars, 0) < 2 * n_words THEN 32 ELSE 0 END
+          + CASE WHEN 10 * n_upper > 3 * coalesce(chars, 0) THEN 64 ELSE 0 END
+          + CASE WHEN 10 * n_exclamations > n_words THEN 128 ELSE 0 END)::BIGINT AS fail_bits
   FROM m)
-SELECT doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, fail_bits,
+SELECT doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, n_upper, n_exclamations, fail_bits,
        fail_bits & 3 <> 0 AS base_failed, fail_bits = 0 AS kept
 FROM f
 """

@@ -16,9 +16,6 @@ from pyspark.sql import functions as F
 
 from .common import words
 
-SYMBOLS = "#*$%&|<>"
-
-
 @dataclass(frozen=True)
 class Rule:
     """A rule fails where ``fails``, SQL over the measurements, is true."""
@@ -31,10 +28,12 @@ class Rule:
 RULES = (
     Rule("few_words", "n_words < 50"),
     Rule("repeated_windows", "100 * n_repeat_words > 50 * n_words"),
-    Rule("many_symbols", "n_symbols > n_words"),
+    Rule("many_symbols", "10 * n_symbols > n_words"),
     Rule("duplicate_lines", "100 * n_dup_lines > 50 * n_lines"),
     Rule("long_words", "word_chars > 25 * n_words"),
     Rule("short_words", "word_chars < 2 * n_words"),
+    Rule("shouting", "10 * n_upper > 3 * word_chars"),
+    Rule("exclamations", "10 * n_exclamations > n_words"),
 )
 
 
@@ -51,7 +50,7 @@ class Policy:
 BASE = Policy("base", ("few_words", "repeated_windows"))
 STANDARD = Policy("standard-1", tuple(rule.name for rule in RULES))
 
-MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_upper", "n_exclamations")
 
 
 def _repeat_words(listed: Column) -> Column:
@@ -93,7 +92,7 @@ def measure(text: Column) -> Column:
     """Struct of the measurements of one text; null counts as a text without words."""
     safe = F.coalesce(text, F.lit(""))
     lines = F.filter(F.split(safe, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
-    symbols = F.length(F.regexp_replace(safe, r"[^#*$%&|<>]+", ""))
+    only = lambda kept: F.length(F.regexp_replace(safe, f"[^{kept}]+", "")).cast("long")
     by_words = _let(
         words(text),
         lambda w: F.struct(
@@ -108,7 +107,9 @@ def measure(text: Column) -> Column:
             F.size(kept).cast("long").alias("n_lines"), (F.size(kept) - F.size(F.array_distinct(kept))).cast("long").alias("n_dup_lines")
         ),
     )
-    return F.struct(by_words.alias("w"), by_lines.alias("l"), symbols.cast("long").alias("n_symbols"))
+    return F.struct(
+        by_words.alias("w"), by_lines.alias("l"), only("#*$%&|<>").alias("n_symbols"), only(r"\p{Lu}").alias("n_upper"), only("!").alias("n_exclamations")
+    )
 
 
 def ledger(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text_col: str = "text") -> DataFrame:
@@ -128,6 +129,8 @@ def ledger(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text_col: str = "
             F.col("__m.l.n_lines").alias("n_lines"),
             F.col("__m.l.n_dup_lines").alias("n_dup_lines"),
             F.col("__m.w.n_repeat_words").alias("n_repeat_words"),
+            F.col("__m.n_upper").alias("n_upper"),
+            F.col("__m.n_exclamations").alias("n_exclamations"),
         ).alias("__m"),
     )
     return flat.withColumn("__bits", _fail_bits("__m"))
