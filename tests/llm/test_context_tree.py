@@ -1,0 +1,106 @@
+import math
+import zlib
+from collections import Counter, defaultdict
+from functools import cache
+
+import numpy as np
+import pytest
+from llm_tools import SF, documents, odd_rows
+from tidemark.llm import context_tree
+
+
+def lower(text):
+    return (text or "").encode().lower()
+
+
+class Brute:
+    """Context-tree weighting with plain dictionaries."""
+
+    def __init__(self, texts):
+        self.n = defaultdict(lambda: [0, 0])
+        for text in texts:
+            padded = b"\0\0" + text
+            for i in range(len(text)):
+                for node, bit in self.path(*padded[i : i + 3]):
+                    self.n[node][bit] += 1
+        self.below = defaultdict(set)
+        for context, bits in list(self.n):
+            if context:
+                self.below[context[1:], bits].add(context)
+        self.weighted = cache(self.weighted)
+
+    @staticmethod
+    def path(a, b, byte):
+        bits = 1
+        for place in range(7, -1, -1):
+            bit = byte >> place & 1
+            for context in ((a, b), (b,), ()):
+                yield (context, bits), bit
+            bits = 2 * bits + bit
+
+    def estimate(self, node):
+        a, b = self.n.get(node, (0, 0))
+        return math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.lgamma(a + b + 1) - math.log(math.pi)
+
+    def weighted(self, context, bits):
+        own = self.estimate((context, bits))
+        if len(context) == 2:
+            return own
+        return np.logaddexp(own, sum(self.weighted(c, bits) for c in self.below.get((context, bits), ()))) - math.log(2)
+
+    def score(self, text):
+        total, padded = 0.0, b"\0\0" + text
+        for i in range(len(text)):
+            p = 0.5
+            for (context, bits), bit in self.path(*padded[i : i + 3]):
+                seen = self.n.get((context, bits), (0, 0))
+                k = (seen[bit] + 0.5) / (sum(seen) + 1)
+                if len(context) == 2:
+                    p = k
+                else:
+                    stop = math.exp(self.estimate((context, bits)) - math.log(2) - self.weighted(context, bits))
+                    p = stop * k + (1 - stop) * p
+                if not context:
+                    total += math.log10(p)
+        return total
+
+
+def expected(rows):
+    train = [lower(t) for i, t, _ in rows if zlib.crc32(str("" if i is None else i).encode()) % 5 != 1]
+    counts = Counter(w for t in train for w in [*t.split(), None])
+    total, distinct, model = sum(counts.values()), len(counts), Brute(train)
+    out = []
+    for i, t, _ in rows:
+        words = [*lower(t).split(), None]
+        base = sum(math.log10((counts[w] + 0.5) / (total + 0.5 * (distinct + 1))) for w in words)
+        held = zlib.crc32(str("" if i is None else i).encode()) % 5 == 1
+        out.append((i, held, len(words), sum(counts[w] > 0 for w in words), total, base, model.score(lower(t))))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("batch_bytes", [1 << 24, 2000])
+def test_scores_equal_plain_python(spark, monkeypatch, batch_bytes):
+    monkeypatch.setattr(context_tree, "BATCH_BYTES", batch_bytes)
+    texts = [r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(40).collect()]
+    rows = [r for r in odd_rows() if len(r[1] or "") < 5000] + [(50 + i, t[:600], None) for i, t in enumerate(texts)]
+    got = sorted((tuple(r)[:7] for r in context_tree.score(documents(spark, rows)).collect()), key=str)
+    for one, other in zip(got, expected(rows), strict=True):
+        assert one[:5] == other[:5] and one[5:] == pytest.approx(other[5:], rel=1e-5, abs=1e-6)
+
+
+def test_very_long_texts_and_no_training_documents(spark):
+    assert context_tree.score(documents(spark, odd_rows())).count() == len(odd_rows())
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 5 == 1)
+    row = context_tree.score(documents(spark, [(held, "abc", None)])).first()
+    assert row["held_out"] and row["train_tokens"] == 0 and row["n_known"] == 0
+    assert row["score"] == pytest.approx(3 * 8 * math.log10(0.5))
+
+
+def test_held_out_texts_cost_fewer_bits_than_noise(spark):
+    texts = [r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(100).collect()]
+    noise = "".join(chr(33 + (i * 7919 + i * i) % 90) for i in range(500))
+    held = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5 == 1][:2]
+    rest = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5 != 1]
+    rows = [(i, t, None) for i, t in zip(rest, texts[1:])] + [(held[0], texts[0], None), (held[1], noise, None)]
+    bits = {r["doc_id"]: r["bits_per_byte"] for r in context_tree.score(documents(spark, rows)).collect()}
+    assert bits[held[0]] < 4 < bits[held[1]]

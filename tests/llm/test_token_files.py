@@ -1,0 +1,64 @@
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pyarrow.parquet as pq
+from llm_tools import documents, odd_rows, sentence
+from tidemark.llm import token_files
+from tokenizers import Tokenizer
+
+TOKENIZER = Tokenizer.from_file(public_tokenizers.path(token_files.VOCABULARY))
+ODD = ["a<|endoftext|> b", "it's we'll I'D", "Σας ΣΑΣ É é ́", "ﬁ½Ⅳ 12345 a1b2", "x\u00a0y\u2028z\x85 \x1c", "...,,, (a) a.b. c., d,", "İstanbul ẞ", "\n\n\t", "日本語 текст"]
+
+
+def ids_of(text):
+    return TOKENIZER.encode(text or "", add_special_tokens=False).ids
+
+
+def test_pieces_give_the_ids_of_whole_texts():
+    rng = random.Random(1)
+    encoder = token_files.Encoder()
+    alphabet = "abcXYZ é.,'!<|>09ß\n\t-"
+    texts = ODD + ["".join(rng.choice(alphabet) for _ in range(200)) for _ in range(200)]
+    for text in texts:
+        assert np.frombuffer(encoder.text(text), "<u4").tolist() == ids_of(text)
+
+
+def test_files_read_back(spark, tmp_path):
+    rng = random.Random(2)
+    rows = [*odd_rows(), *((100 + i, t, None) for i, t in enumerate(ODD)), *((1000 + i, sentence(rng, rng.randrange(300)), None) for i in range(300))]
+    rng.shuffle(rows)
+    folder = str(tmp_path / "tokens")
+    token_files.write_tokens(documents(spark, rows).repartition(5), folder)
+    got = [tuple(r) for r in token_files.checksums(token_files.read_tokens(spark, folder)).orderBy("start").collect()]
+    assert [r[0] for r in got] == sorted((r[0] for r in rows), key=lambda i: (i is not None, i))
+    start = 0
+    expect = {}
+    for doc, text, _ in rows:
+        ids = [*ids_of(text), 2]
+        expect.setdefault(doc, []).append((len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+    for doc, begin, n, crc in got:
+        assert begin == start
+        start += n
+        expect[doc].remove((n, crc))
+    assert not any(expect.values())
+
+
+def test_file_layout(spark, tmp_path):
+    rng = random.Random(3)
+    folder = tmp_path / "tokens"
+    rows = [(i, sentence(rng, 60), None) for i in range(6000)]
+    token_files.write_tokens(documents(spark, rows), str(folder))
+    kinds = {}
+    for file in folder.glob("*.parquet"):
+        group = pq.ParquetFile(file).metadata.row_group(0)
+        for i in range(group.num_columns):
+            column = group.column(i)
+            kinds.setdefault(column.path_in_schema, set()).update(column.encodings)
+            assert column.has_offset_index
+    assert "RLE_DICTIONARY" in kinds["ids.list.element"] or "PLAIN_DICTIONARY" in kinds["ids.list.element"]
+    assert "DELTA_BINARY_PACKED" in kinds["doc_id"] and "DELTA_BINARY_PACKED" in kinds["start_in_shard"]
+    chosen = token_files.read_tokens(spark, str(folder)).select("doc_id", "n_tokens").where("doc_id between 10 and 20")
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(doc_id,10)" in plan and chosen.count() == 11

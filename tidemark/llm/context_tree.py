@@ -54,6 +54,8 @@ def _with_ends(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def _cells(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Context and byte of every byte, as one 24-bit number, and where each text begins."""
+    if not texts:
+        return np.zeros(0, np.uint32), np.zeros(1, np.int64)
     joined = np.frombuffer(b"\0\0" + b"\0\0".join(t.lower() for t in texts) + b"\0\0", np.uint8).astype(np.uint32)
     cell = (joined[:-2] << 16) | (joined[1:-1] << 8) | joined[2:]
     lengths = np.array([len(t) for t in texts], np.int64)

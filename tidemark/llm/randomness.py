@@ -115,7 +115,7 @@ def score(run: str) -> float:
 def place(run: str) -> int:
     """Length class and score bin of a run as one number; bins follow the logarithm of the score."""
     size = sum(len(run) >= low for low in LENGTHS) - 1
-    level = max(0, min(BINS - 1, BINS - 1 + math.floor(2 * math.log10(max(score(run), 1e-300)))))
+    level = max(0, min(BINS - 1, BINS - 1 + math.floor(4 * math.log10(max(score(run), 1e-300)))))
     return size * BINS + level
 
 
