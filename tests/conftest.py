@@ -49,14 +49,16 @@ def settings(spark):
 
 @pytest.fixture
 def uneven(settings):
-    """Treat every input as large, every key of a few rows as hot, and broadcast nothing."""
+    """Broadcast nothing, and let adaptive execution treat every partition above the median as skewed."""
 
-    def on(rows_per_piece=3):
+    def on():
         settings(
-            spark__tidemark__largeBytes=0,
-            spark__tidemark__rowsPerPiece=rows_per_piece,
-            spark__tidemark__hotKeySample=1.0,
             spark__sql__autoBroadcastJoinThreshold=-1,
+            spark__sql__adaptive__autoBroadcastJoinThreshold=-1,
+            spark__sql__adaptive__coalescePartitions__enabled="false",
+            spark__sql__adaptive__advisoryPartitionSizeInBytes=64,
+            spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes=64,
+            spark__sql__adaptive__skewJoin__skewedPartitionFactor=1.0,
         )
 
     return on

@@ -107,7 +107,7 @@ def test_antibiotic_spellings(tables):
 @pytest.mark.parametrize("hot", [False, True])
 def test_groups(spark, uneven, hot):
     if hot:
-        uneven(rows_per_piece=20)
+        uneven()
     cohort = spark.range(600).selectExpr("id", "if(id % 3 < 2, 'big', concat('s', id % 7)) AS stratum")
     specs = [strata.RateSpec("few", 20, 1, 1), strata.RateSpec("many", 50, 1, 1)]
     rates = strata.stratum_rates(cohort, "stratum", specs)

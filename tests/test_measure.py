@@ -37,7 +37,7 @@ def test_baseline_equals_definition(spark, seed):
 
 def test_baseline_equals_definition_when_all_keys_are_hot(spark, uneven):
     c = random_clinic(4)
-    uneven(rows_per_piece=1)
+    uneven()
     assert ordered(baseline_flags(c.tables(spark)).collect()) == ordered(baseline_rows(c))
 
 

@@ -186,12 +186,12 @@ def brute_selection(rows_, rate, salt, jitter_salt):
     return chosen
 
 
-@pytest.mark.parametrize("slices", [None, 2, 1024])
+@pytest.mark.parametrize("per_slice", [250_000, 1000, 2])
 @pytest.mark.parametrize("percent", [0, 37, 100])
-def test_selection_equals_brute_force(spark, slices, percent):
+def test_selection_equals_brute_force(spark, per_slice, percent):
     df = uneven_strata(spark)
     rates = strata.stratum_rates(df, "stratum", [strata.RateSpec("p", percent, 1, 5)])
-    got = strata.select_fraction(df, "stratum", "id", rates, "p", 42, jitter_salt=7, slices=slices)
+    got = strata.select_fraction(df, "stratum", "id", rates, "p", 42, jitter_salt=7, rows_per_slice=per_slice)
     plain = [(r.id, r.stratum) for r in df.collect()]
     rate = {r.stratum: r.p for r in rates.collect()}
     assert set(rate.values()) == {percent / 100}
@@ -202,7 +202,7 @@ def test_selection_on_large_input_settings(spark, uneven):
     df = uneven_strata(spark)
     rates = strata.stratum_rates(df, "stratum", [strata.RateSpec("p", 30, 20, 5)])
     want = as_set(strata.select_fraction(df, "stratum", "id", rates, "p", 1), "id")
-    uneven(rows_per_piece=50)
+    uneven()
     assert as_set(strata.select_fraction(df, "stratum", "id", rates, "p", 1), "id") == want
 
 
@@ -223,7 +223,7 @@ def test_ranks_are_dense_and_independent_of_the_slices(spark, method):
     ranked = strata.hash_rank(df, "stratum", "id", 3, method)
     for r in ranked.groupBy("stratum", "cnt").agg(F.sort_array(F.collect_list("rn")).alias("r")).collect():
         assert r.r == list(range(1, r.cnt + 1))
-    other = strata.hash_rank(df, "stratum", "id", 3, method, slices=256)
+    other = strata.hash_rank(df, "stratum", "id", 3, method, rows_per_slice=8)
     assert as_set(ranked, "id", "rn") == as_set(other, "id", "rn")
 
 
@@ -233,6 +233,22 @@ def test_ranking_never_sorts_a_whole_stratum(spark):
     assert windows and all("_slice" in line for line in windows)
 
 
+def test_a_null_stratum_is_ranked_like_any_other(spark):
+    df = spark.range(60).selectExpr("id", "if(id % 3 = 0, NULL, concat('s', id % 2)) AS stratum")
+    ranked = strata.hash_rank(df, "stratum", "id", 3, rows_per_slice=4)
+    assert sorted(r.rn for r in ranked.where("stratum IS NULL").collect()) == list(range(1, 21))
+    rates = strata.stratum_rates(df, "stratum", [strata.RateSpec("p", 50, 1, 5)])
+    picked = strata.select_fraction(df, "stratum", "id", rates, "p", 42, rows_per_slice=4)
+    assert picked.where("stratum IS NULL").count() == 10
+
+
+def test_groups_stay_small_where_one_stratum_holds_most_rows(spark):
+    df = spark.range(20_000).selectExpr("id", "if(id % 10 < 9, 'big', concat('s', id % 7)) AS stratum")
+    sliced = strata._hashed(df, "stratum", "id", 3, "md5", 100)
+    largest = sliced.groupBy("stratum", "_slice").count().agg(F.max("count")).first()[0]
+    assert largest < 200
+
+
 def test_rates_stay_in_their_range(spark):
     df = uneven_strata(spark)
     spec = strata.RateSpec("p", 42, 27, 31415)
@@ -294,7 +310,7 @@ def test_absent_within_equals_brute_force(spark, uneven, seed, hot):
     ldf = spark.createDataFrame(left, "k int, a timestamp_ntz, i int")
     rdf = spark.createDataFrame(right, "k int, ts timestamp_ntz")
     if hot:
-        uneven(rows_per_piece=2)
+        uneven()
     got = rows.absent_within(ldf, rdf, ["k"], "a", "ts", low, high)
     assert as_set(got, "k", "a", "i") == want and 0 < len(want)
 
@@ -322,10 +338,18 @@ def test_update_from(spark, uneven):
     want = {(1, "x", 77), (1, "y", 10), (2, "x", 10), (3, "x", 99)}
     update = lambda: changes.update_from(base, new, ["k"], {"v": F.col("nv")}, F.col("s") == "x")
     assert as_set(update()) == want
-    uneven(rows_per_piece=1)
+    uneven()
     assert as_set(update()) == want
 
 
+def test_update_from_a_table_with_the_same_names(spark):
+    base = spark.createDataFrame([(1, 10), (2, 20), (3, None)], "id int, v int")
+    new = spark.createDataFrame([(1, 11), (3, 33), (4, 44)], "id int, v int")
+    assert as_set(changes.update_from(base, new, ["id"], ["v"])) == {(1, 11), (2, 20), (3, 33)}
+    larger = F.greatest(F.col("v"), F.col("new.v") - 5)
+    assert as_set(changes.update_from(base, new, ["id"], {"v": larger}, F.col("v").isNotNull())) == {(1, 10), (2, 20), (3, None)}
+
+
 def test_raise_first_value(spark):
     lac = codes.LACTATE
     labs = spark.createDataFrame(

@@ -8,11 +8,12 @@ import __spark_entry__ as entry
 import oracle
 from conftest import plan_text
 from tidemark.plans import baseline
+from tidemark.plans.oracles import ORACLES as SQL
 from tidemark.plans.queries import BY_ADMISSION
+from tidemark.plans.queries import REGISTRY as QUERIES
 from tidemark.sources.encounters import clinical_tables
 
 SMALL = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
 # Operators with a join, a rank or a write in them, for the run where every key is hot.
 SKEWED = (
     "label_codes coded_admissions nearest_measurement adult_cohort window_flags window_values "
@@ -28,6 +29,7 @@ def duck():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
@@ -41,7 +43,7 @@ def test_query_equals_sql(spark, duck, name):
 
 @pytest.mark.parametrize("name", SKEWED)
 def test_query_equals_sql_when_all_keys_are_hot(spark, duck, uneven, name):
-    uneven(rows_per_piece=4)
+    uneven()
     assert oracle.compare(QUERIES[name](spark, SMALL), duck, SQL[name]) is None
 
 

@@ -1,5 +1,6 @@
-"""Hot keys: same rows as an ordinary join, and no task gets a whole hot group."""
+"""Hot keys: same rows as an ordinary join, split by the sizes seen, one plan at every size."""
 
+import re
 from pathlib import Path
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import plan_text
 from tidemark.operators import scale
+from tidemark.plans.queries import REGISTRY as QUERIES
 
 
 def facts(spark, n=600):
@@ -26,80 +28,96 @@ def dims(spark):
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_same_rows_as_join(spark, uneven, how):
     want = sorted(map(str, facts(spark).join(dims(spark), "k", how).collect()))
-    uneven(rows_per_piece=10)
-    joined = scale.skew_join(facts(spark), dims(spark), ["k"], how)
-    assert "_hot_piece" in plan_text(joined)
-    assert sorted(map(str, joined.collect())) == want
+    assert sorted(map(str, scale.skew_join(facts(spark), dims(spark), ["k"], how).collect())) == want
+    uneven()
+    assert sorted(map(str, scale.skew_join(facts(spark), dims(spark), ["k"], how).collect())) == want
 
 
-def test_types_of_the_keys_may_differ(spark, uneven):
-    uneven(rows_per_piece=10)
+def executed(df) -> str:
+    """Plan after adaptive execution has run."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("above", ["nothing", "same keys"])
+def test_hot_partitions_are_split_beside_aggregates(spark, uneven, above):
+    """One side of the join is an aggregate by the keys, and so may be what follows."""
+    uneven()
+    grouped = dims(spark).groupBy("k").agg(F.max("d").alias("d"))
+    joined = scale.skew_join(facts(spark, 20_000), grouped, ["k"])
+    out = joined if above == "nothing" else joined.groupBy("k").agg(F.sum("v").alias("v"))
+    assert "skew=true" in executed(out)
+    plain = facts(spark, 20_000).join(grouped, "k").groupBy("k").agg(F.sum("v").alias("v"))
+    assert "skew=true" not in executed(plain)
+
+
+def test_key_types_may_differ_beyond_the_smaller_one(spark, uneven):
     left = facts(spark).withColumn("k", F.col("k").cast("int"))
-    assert scale.skew_join(left, dims(spark), ["k"]).count() == left.join(dims(spark), "k").count()
+    right = dims(spark).unionByName(spark.sql("SELECT 3000000000L AS k, 1L AS d"))
+    want = left.join(right, "k").count()
+    assert scale.skew_join(left, right, ["k"]).count() == want
+    uneven()
+    assert scale.skew_join(left, right, ["k"]).count() == want
 
 
-def test_hot_group_is_dealt_out_evenly(spark, uneven, settings):
-    uneven(rows_per_piece=20)
-    settings(spark__sql__adaptive__coalescePartitions__enabled="false")
-    in_hot = facts(spark).where("k = 7").count()
-    hot = dict(scale.hot_keys(facts(spark), ["k"]))
-    assert list(hot.values()) == [in_hot // 20 + 1] and in_hot > 200
-    joined = scale.skew_join(facts(spark), dims(spark).where("d != 71"), ["k"], "left")
-    # The join itself, before the piece number is dropped, spreads the group over its pieces.
-    spread = joined.where("k = 7").groupBy(F.spark_partition_id()).count().collect()
-    assert sum(r["count"] for r in spread) == in_hot
-    assert len(spread) > 1 and max(r["count"] for r in spread) < in_hot
+def test_names_match_whatever_their_case(spark):
+    left = facts(spark).withColumnRenamed("k", "K")
+    joined = scale.skew_join(left, dims(spark), ["k"])
+    assert joined.columns == ["K", "v", "d"] and joined.count() == facts(spark).join(dims(spark), "k").count()
+    with pytest.raises(ValueError):
+        scale.skew_join(left, dims(spark), ["missing"])
 
 
-def test_pieces_survive_a_rerun(spark, uneven):
-    """Rows from files are numbered; rows from a shuffle are dealt by content, whatever their order."""
-    scanned = spark.read.parquet("/root/testdata/sf0.001/events.parquet").where("value > 1")
-    assert scale.order_is_fixed(scanned.unionByName(scanned).select("user_id", "value"))
-    for shuffled in (scanned.distinct(), scanned.orderBy("ts"), scanned.repartition(3), scanned.limit(5)):
-        assert not scale.order_is_fixed(shuffled)
-    uneven(rows_per_piece=10)
-    users = scanned.select("user_id").distinct()
-    joined = plan_text(scale.skew_join(scanned.repartition(3), users, ["user_id"]))
-    assert "monotonically_increasing_id" not in joined and "_hot_piece" in joined
-    numbers = lambda d: sorted(r[0] for r in d.select(scale.spread_number(d)).collect())
-    assert numbers(scanned.repartition(3)) == numbers(scanned.repartition(5))
+def test_null_keys_meet_only_on_demand(spark):
+    right = dims(spark).unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) AS k, 5L AS d"))
+    nulls = facts(spark).where("k IS NULL").count()
+    assert nulls and scale.skew_join(facts(spark), right, ["k"]).where("k IS NULL").count() == 0
+    assert scale.skew_join(facts(spark), right, ["k"], null_safe=True).where("k IS NULL").count() == nulls
+
 
+def test_a_hot_key_in_one_file_only_is_split(spark, uneven, settings, tmp_path):
+    """Map tasks read pieces of a file; a partition is split by the tasks that filled it."""
+    path = str(tmp_path / "facts")
+    settings(spark__sql__files__maxPartitionBytes=64_000, spark__sql__files__openCostInBytes=64_000)
+    for i in range(6):
+        n, key = (200_000, "0") if i == 3 else (3000, f"{i} * 1000 + id % 900")
+        rows = spark.range(n, numPartitions=1).selectExpr(f"{key} AS k", "xxhash64(id) AS v")
+        rows.write.option("parquet.block.size", 32_000).mode("append").parquet(path)
+    uneven()
+    right = spark.range(12_000).selectExpr("id AS k", "id AS d").groupBy("k").agg(F.max("d").alias("d"))
+    joined = scale.skew_join(spark.read.parquet(path), right, ["k"])
+    assert "skew=true" in executed(joined) and joined.count() == 215_000
 
-def test_small_inputs_are_not_searched(spark):
-    joined = scale.skew_join(facts(spark), dims(spark), ["k"])
-    assert "_hot_piece" not in plan_text(joined)
 
+def shape(df) -> list[str]:
+    """Operators of the plan before execution, without their details."""
+    return [re.sub(r"^[ :+*-]*(\(\d+\) )?", "", line).split(" ")[0].split("(")[0] for line in plan_text(df).splitlines()]
 
-def test_dims_that_spark_broadcasts_are_left_alone(spark, settings):
-    settings(spark__tidemark__largeBytes=0, spark__tidemark__rowsPerPiece=3, spark__tidemark__hotKeySample=1.0)
-    assert scale.will_broadcast(dims(spark))
-    assert "_hot_piece" not in plan_text(scale.skew_join(facts(spark), dims(spark), ["k"]))
 
+@pytest.mark.parametrize("name", ["window_flags", "hash_rank", "select_fraction", "append_absent_range", "update_from_join"])
+def test_the_plan_does_not_depend_on_the_size(spark, settings, name):
+    settings(spark__sql__autoBroadcastJoinThreshold=-1)
+    small, large = (QUERIES[name](spark, f"/root/testdata/sf{sf}") for sf in ("0.001", "0.1"))
+    assert shape(small) == shape(large)
 
-def test_sampling_only_decides_the_split(spark, uneven, settings):
-    uneven(rows_per_piece=10)
-    settings(spark__tidemark__hotKeySample=0.3)
-    assert scale.skew_join(facts(spark), dims(spark), ["k"]).count() == facts(spark).join(dims(spark), "k").count()
 
+def test_building_a_plan_runs_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "")
+    for name in ("window_flags", "hash_rank", "select_fraction", "select_nested", "append_absent_range"):
+        QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert tracker.getJobIdsForGroup("planning") == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
-def test_large_files_are_sampled_by_file(spark, uneven, settings, tmp_path, monkeypatch):
-    monkeypatch.setattr(scale, "FILE_STEP", 2)
-    path = str(tmp_path / "facts")
-    facts(spark, 6000).repartition(60).write.parquet(path)
-    read = spark.read.parquet(path).where("v >= 0")
-    uneven(rows_per_piece=100)
-    settings(spark__tidemark__fileSampleBytes=0)
-    some, weight = scale._sampled(read.select("k"), 1.0)
-    assert weight == 2 and 500 < some.count() < 5500
-    assert "file_path" in plan_text(some)
-    both = scale.hot_keys([read.select("k"), read.select("k")], ["k"])
-    one = scale.hot_keys(read.select("k"), ["k"])
-    assert both[0][0] == one[0][0] and 1 < one[0][1] < both[0][1]
-    # Without files to choose from, rows are sampled instead.
-    assert scale._sampled(facts(spark), 1.0)[1] == 1
-    assert scale._sampled(read.unionByName(read), 1.0)[1] == 1
-    want = sorted(map(str, read.join(dims(spark), "k").collect()))
-    assert sorted(map(str, scale.skew_join(read, dims(spark), ["k"]).collect())) == want
+
+def test_numbers_survive_a_rerun(spark):
+    """Rows from files are numbered; rows from a shuffle are told apart by content, whatever their order."""
+    scanned = spark.read.parquet("/root/testdata/sf0.001/events.parquet").where("value > 1")
+    assert scale.order_is_fixed(scanned.unionByName(scanned).select("user_id", "value"))
+    for shuffled in (scanned.distinct(), scanned.orderBy("ts"), scanned.repartition(3), scanned.limit(5)):
+        assert not scale.order_is_fixed(shuffled)
+    numbers = lambda d: sorted(r[0] for r in d.select(scale.spread_number(d)).collect())
+    assert numbers(scanned.repartition(3)) == numbers(scanned.repartition(5))
 
 
 def test_dims_cannot_be_preserved(spark):
@@ -129,30 +147,20 @@ def test_materialise_uses_the_shared_folder(spark):
 class _Session:
     """Just enough of a session to ask for its shared folder."""
 
-    def __init__(self, master):
-        self.conf = {}
-        self.sparkContext = self
-        self.master, self.folder = master, None
+    def __init__(self, **conf):
+        self.conf = conf
 
-    def getCheckpointDir(self):
-        return self.folder
 
-    def setCheckpointDir(self, folder):
-        self.folder = folder
-
-
-def test_only_a_local_session_gets_a_folder_of_its_own():
-    local = _Session("local[2]")
-    assert scale.shared_folder(local) == scale.shared_folder(local) == local.folder
-    cluster = _Session("yarn")
-    with pytest.raises(ValueError):
-        scale.shared_folder(cluster)
-    cluster.conf["spark.checkpoint.dir"] = "/shared/x/"
-    assert scale.shared_folder(cluster) == "/shared/x"
+def test_without_a_checkpoint_folder_the_warehouse_is_used():
+    both = {"spark.checkpoint.dir": "/shared/x/", "spark.sql.warehouse.dir": "/warehouse"}
+    assert scale.shared_folder(_Session(**both)) == "/shared/x"
+    assert scale.shared_folder(_Session(**{"spark.sql.warehouse.dir": "/warehouse"})) == "/warehouse/tidemark-scratch"
 
 
-def test_input_bytes_counts_what_is_read(spark):
-    path = "/root/testdata/sf0.001/events.parquet"
-    events = spark.read.parquet(path)
-    one = scale.input_bytes(events)
-    assert one > 0 and scale.input_bytes(events.unionByName(events)) == 2 * one
+def test_intermediates_can_be_removed(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(scale, "shared_folder", lambda _: str(tmp_path))
+    scale.remove_intermediates(spark)
+    assert QUERIES["group_summary"](spark, "/root/testdata/sf0.001").count() == 1
+    assert any(tmp_path.iterdir())
+    assert scale.remove_intermediates(spark) > 0
+    assert not any(tmp_path.iterdir()) and scale.remove_intermediates(spark) == 0

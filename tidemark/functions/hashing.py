@@ -32,11 +32,3 @@ def stable_hash(*parts: ColumnLike | int, method: str = "md5") -> Column:
 def hash_mod(n: int, *parts: ColumnLike | int, method: str = "md5") -> Column:
     """Deterministic number in ``0 .. n-1``."""
     return F.pmod(stable_hash(*parts, method=method), F.lit(n))
-
-
-def slice_of(hash_column: Column, slices: int, method: str = "md5") -> Column:
-    """Order-preserving slice of the hash range; ``slices`` is a power of two."""
-    bits = slices.bit_length() - 1
-    if 1 << bits != slices:
-        raise ValueError("slices must be a power of two")
-    return F.shiftright(hash_column, HASH_BITS[method] - bits)

@@ -6,7 +6,9 @@ filters reach the Parquet scan and stay inside whole-stage code generation.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 from functools import reduce
 from operator import or_
 
@@ -21,20 +23,35 @@ def as_column(c: ColumnLike) -> Column:
 
 
 def sql_literal(value) -> str:
-    """A Python value as SQL text."""
+    """A Python value as SQL text of its own type."""
     if isinstance(value, str):
         return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return str(value).lower()
+    if isinstance(value, Decimal):
+        return f"{value:f}BD"
+    if isinstance(value, datetime.datetime):
+        return f"TIMESTAMP_NTZ '{value.isoformat(sep=' ')}'"
+    if isinstance(value, datetime.date):
+        return f"DATE '{value.isoformat()}'"
     return repr(value)
 
 
+def quoted(name: str) -> str:
+    """A column name as SQL text, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def in_sql(column: str, codes: Sequence) -> str:
     """Code list membership as SQL text."""
-    return f"{column} IN ({', '.join(map(sql_literal, codes))})" if codes else "false"
+    return f"{quoted(column)} IN ({', '.join(map(sql_literal, codes))})" if codes else "false"
 
 
 def like_any_sql(columns: Sequence[str], patterns: Sequence[str]) -> str:
     """Any pattern in any of the text columns, ignoring case, as SQL text."""
-    tests = [f"lower({c}) LIKE {sql_literal(f'%{q.lower()}%')}" for q in patterns for c in columns]
+    tests = [f"lower({quoted(c)}) LIKE {sql_literal(f'%{q.lower()}%')}" for q in patterns for c in columns]
     return f"({' OR '.join(tests)})" if tests else "false"
 
 
@@ -66,9 +83,8 @@ def include_exclude(column: ColumnLike, include: Sequence[str], exclude: Sequenc
 
 def code_in(column: ColumnLike, codes: Sequence) -> Column:
     """Code list membership; reaches Parquet as an ``In`` filter."""
-    if isinstance(column, str):
-        return F.expr(in_sql(column, codes))
-    return as_column(column).isin(list(codes))
+    column = F.col(quoted(column)) if isinstance(column, str) else column
+    return column.isin([F.lit(c) for c in codes]) if codes else F.lit(False)
 
 
 def between(column: ColumnLike, low, high) -> Column:
@@ -91,16 +107,6 @@ def flag(condition: Column) -> Column:
     return F.when(condition, 1).otherwise(0)
 
 
-def any_flag(condition: Column) -> Column:
-    """Aggregate: 1 if any row of the group satisfies the condition."""
-    return F.max(flag(condition))
-
-
-def max_value_where(value: ColumnLike, condition: Column) -> Column:
-    """Aggregate: largest value among rows that satisfy the condition."""
-    return F.max(F.when(condition, as_column(value)))
-
-
 def or_zero(column: ColumnLike) -> Column:
     """Missing flag counts as 0."""
     if isinstance(column, str):

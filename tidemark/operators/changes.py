@@ -60,24 +60,26 @@ def update_from(
     base: DataFrame,
     updates: DataFrame,
     on: Sequence[str],
-    values: Mapping[str, Column],
+    values: Mapping[str, Column] | Sequence[str],
     where: Column | None = None,
 ) -> DataFrame:
     """Base with columns replaced in rows that have a partner in updates and pass ``where``.
 
-    ``values`` may use columns of both sides. Where updates repeat a key, the row
-    with the smallest values counts, so that base rows are never multiplied.
+    ``values`` and ``where`` may use columns of both sides. A name that both sides have means the
+    base's column; the other side's is ``new.<name>``. A list of names takes these columns from
+    updates. Where updates repeat a key, the row with the smallest values counts, so that base rows
+    are never multiplied.
     """
     columns = base.columns
+    values = values if isinstance(values, Mapping) else {c: F.col(f"new.`{c}`") for c in values}
     others = [c for c in updates.columns if c not in on]
-    single = updates.groupBy(*on).agg(F.min(F.struct(F.lit(True).alias("_hit"), *others)).alias("_u"))
-    marked = single.select(*on, "_u.*")
-    joined = skew_join(base, marked, on, "left")
-    hit = F.col("_hit").isNotNull()
+    row = F.struct(F.lit(True).alias("_hit"), *[F.col(f"`{c}`") for c in others])
+    joined = skew_join(base, updates.groupBy(*on).agg(F.min(row).alias("new")), on, "left")
+    joined = joined.withColumns({c: F.col(f"new.`{c}`") for c in others if c not in columns})
+    hit = F.col("new._hit").isNotNull()
     hit = hit if where is None else hit & where
-    return joined.withColumns(
-        {c: F.when(hit, v).otherwise(F.col(c)) for c, v in values.items()}
-    ).select(*columns)
+    changed = {c: F.when(hit, v).otherwise(F.col(f"`{c}`")) for c, v in values.items()}
+    return joined.withColumns(changed).select(*[F.col(f"`{c}`") for c in columns])
 
 
 def raise_first_value(

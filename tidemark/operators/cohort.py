@@ -66,7 +66,7 @@ def build_cohort(
     # Admissions meet the codes first: most of them have none and go no further.
     admitted = skew_join(admissions.select(*KEYS, "admittime"), coded, KEYS)
     admitted = admitted.groupBy(*KEYS, "admittime").agg(*[F.expr(f"max({f}) AS {f}") for f in flags])
-    cohort = skew_join(admitted, people, ["subject_id"], probe=admissions)
+    cohort = skew_join(admitted, people, ["subject_id"])
     return cohort.where(f"{age} >= {min_age}").selectExpr(
         *KEYS, "admittime", "dob", f"{age} AS age_at_admission", *flags
     )

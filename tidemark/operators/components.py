@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.predicates import in_sql, like_any_sql, or_zero, sql_literal
+from ..functions.predicates import in_sql, like_any_sql, or_zero, quoted, sql_literal
 from ..functions.timeops import HOUR_US, after_sql
 from .cohort import KEYS
 from .scale import skew_join
@@ -44,13 +44,13 @@ class EventFamily:
         return like_any_sql(self.text_columns, self.patterns)
 
     def time(self) -> str:
-        moment = f"cast({self.time_column} AS timestamp_ntz)"
+        moment = f"cast({quoted(self.time_column)} AS timestamp_ntz)"
         if self.noon_hours:
             moment += f" + make_dt_interval(0, {self.noon_hours})"
         return moment
 
     def value(self) -> str:
-        return f"cast({self.value_column or 'NULL'} AS double)"
+        return f"cast({quoted(self.value_column) if self.value_column else 'NULL'} AS double)"
 
     def source(self) -> tuple:
         """Families with the same source can be read in one scan."""
@@ -197,19 +197,18 @@ def window_components(
 
     ``events`` may be one table or the parts of it. ``anchors`` may repeat a key,
     always with the same anchor time. The window limits are computed once per
-    anchor, so an event row costs plain time comparisons. Hot keys are split before
+    anchor, so an event row costs plain time comparisons. Hot keys are split by
     the join; the aggregate that follows merges inside each task before anything is
     shuffled again.
     """
     parts = [events] if isinstance(events, DataFrame) else list(events)
     bounds = [c.span.bounds_us() for c in components]
     marks = sorted({m for pair in bounds for m in pair if m is not None})
-    # One row per key; grouping by the keys alone keeps the partitioning the join needs.
     zero = anchors.groupBy(*keys).agg(F.max(anchor).alias(anchor))
     limits = zero.selectExpr(
         *keys, *[f"{after_sql(anchor, m)} AS {_bound_name(m)}" for m in marks]
     )
-    joined = skew_join(reduce(DataFrame.unionByName, parts), limits, keys, probe=parts)
+    joined = skew_join(reduce(DataFrame.unionByName, parts), limits, keys)
 
     aggregates = []
     for c, (start, to) in zip(components, bounds):

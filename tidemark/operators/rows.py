@@ -12,11 +12,6 @@ from ..functions.timeops import shift_us, slot_start
 from .scale import skew_join, spread_number
 
 
-def distinct_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Distinct rows of the given columns (all by default)."""
-    return (df.select(*columns) if columns else df).distinct()
-
-
 def sort_output(df: DataFrame, *by: str, descending: bool = False) -> DataFrame:
     """Global sort for the final reader; NULLs come first when ascending.
 

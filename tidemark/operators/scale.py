@@ -1,10 +1,8 @@
 """What the other operators need to stay safe on very large and uneven inputs.
 
-Nothing here hints a broadcast of data without a bound: joins carry no hint, so
-Spark broadcasts a side only after checking its size against
-``spark.sql.autoBroadcastJoinThreshold``. The explicit broadcasts are the list of
-hot keys, which has at most ``MAX_HOT_KEYS`` rows, and in ``surrogate_ids`` one row
-per partition.
+One path at every size: nothing here asks how large an input is, runs a job while a plan is
+built, or hints a broadcast of data without a bound. Spark broadcasts a side of a join only after
+checking its size, and splits uneven partitions of the others while the query runs.
 """
 
 from __future__ import annotations
@@ -12,110 +10,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.predicates import ColumnLike, as_column
 
-#: Session setting: inputs below this many bytes are never checked for hot keys.
-LARGE_BYTES_CONF = "spark.tidemark.largeBytes"
-LARGE_BYTES_DEFAULT = 256 * 1024 * 1024
-#: Session setting: rows of one key that one task may be given.
-ROWS_PER_PIECE_CONF = "spark.tidemark.rowsPerPiece"
-ROWS_PER_PIECE_DEFAULT = 5_000_000
-#: Session setting: share of the rows looked at when searching hot keys.
-SAMPLE_CONF = "spark.tidemark.hotKeySample"
-SAMPLE_DEFAULT = 0.01
-#: Session setting: inputs from this size on are sampled by file, so most files stay closed.
-FILE_SAMPLE_CONF = "spark.tidemark.fileSampleBytes"
-FILE_SAMPLE_DEFAULT = 1 << 40
-FILE_STEP = 20
-MAX_HOT_KEYS = 4096
-MAX_PIECES = 16_384
-
-_KEY, _PIECES, _PIECE, _ROW = "_hot_key", "_hot_pieces", "_hot_piece", "_hot_row"
-
-
-def _setting(spark: SparkSession, name: str, default):
-    return type(default)(spark.conf.get(name, str(default)))
-
-
-def input_bytes(df: DataFrame) -> float:
-    """Size of everything the plan reads; infinite where it cannot be asked."""
-    try:
-        leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-        sizes = (leaves.apply(i).stats().sizeInBytes() for i in range(leaves.size()))
-        return sum(float(str(size)) for size in sizes)
-    except AttributeError:
-        return float("inf")
-
-
-def is_large(*dfs: DataFrame) -> bool:
-    """Whether the inputs together reach the size from which skew can matter."""
-    limit = _setting(dfs[0].sparkSession, LARGE_BYTES_CONF, LARGE_BYTES_DEFAULT)
-    return sum(input_bytes(d) for d in dfs) >= limit
-
-
-def will_broadcast(df: DataFrame) -> bool:
-    """Whether Spark's own size estimate lets it broadcast this side of a join."""
-    try:
-        size = float(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except AttributeError:
-        return False
-    limit = df._jdf.sparkSession().sessionState().conf().autoBroadcastJoinThreshold()
-    return 0 <= size <= limit
-
-
-def _key_hash(df: DataFrame, keys: Sequence[str], types: Sequence[T.DataType]) -> Column:
-    return F.xxhash64(*[df[k].cast(t) for k, t in zip(keys, types)])
-
-
-def _sampled(df: DataFrame, share: float) -> tuple[DataFrame, float]:
-    """About ``share`` of the rows, and the weight of each.
-
-    Of very large inputs only every ``FILE_STEP``-th file is opened, and more of
-    its rows are taken. Plans that do not show their files are sampled by row.
-    """
-    spark = df.sparkSession
-    if input_bytes(df) >= _setting(spark, FILE_SAMPLE_CONF, FILE_SAMPLE_DEFAULT):
-        try:
-            some = df.where(f"pmod(xxhash64(_metadata.file_path), {FILE_STEP}) = 0")
-            of_file = min(1.0, share * FILE_STEP)
-            return some.sample(of_file, seed=7), FILE_STEP / of_file
-        except AnalysisException:
-            pass
-    return (df.sample(share, seed=7) if share < 1 else df), 1 / share
-
-
-def hot_keys(dfs: DataFrame | Sequence[DataFrame], keys: Sequence[str]) -> list[tuple[int, int]]:
-    """Hashes of the keys that hold too many rows for one task, with a piece count.
-
-    Keys are counted on a sample of the tables together. The sample decides only
-    how the work is split, never which rows take part. The list is bounded: if more
-    than ``MAX_HOT_KEYS`` keys qualify, each one left out holds a smaller share of
-    the rows than 1 / ``MAX_HOT_KEYS``.
-    """
-    dfs = [dfs] if isinstance(dfs, DataFrame) else list(dfs)
-    spark = dfs[0].sparkSession
-    share = _setting(spark, SAMPLE_CONF, SAMPLE_DEFAULT)
-    per_piece = _setting(spark, ROWS_PER_PIECE_CONF, ROWS_PER_PIECE_DEFAULT)
-    types = [dfs[0].schema[k].dataType for k in keys]
-    hashed = None
-    for df in dfs:
-        some, weight = _sampled(df, share)
-        part = some.select(_key_hash(some, keys, types).alias(_KEY), F.lit(float(weight)).alias("w"))
-        hashed = part if hashed is None else hashed.unionByName(part)
-    counted = (
-        hashed.groupBy(_KEY)
-        .agg(F.sum("w").alias("n"))
-        .where(F.col("n") > per_piece)
-        .orderBy(F.desc("n"), _KEY)
-        .limit(MAX_HOT_KEYS)
-    )
-    return [(row[0], min(MAX_PIECES, int(row[1] / per_piece) + 1)) for row in counted.collect()]
-
+_KEY = "_join_key_"
 
 #: Plan steps that pass rows on in the order in which they were read.
 _KEEPS_ORDER = {"Project", "Filter", "Union", "SubqueryAlias", "View", "Generate"}
@@ -151,54 +51,50 @@ def spread_number(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
 
 
+def _named(df: DataFrame, name: str) -> str:
+    """The column's own spelling; names match whatever their case, as in Spark itself."""
+    if name in df.columns:
+        return name
+    found = [c for c in df.columns if c.lower() == name.lower()]
+    if len(found) != 1:
+        raise ValueError(f"no single column {name!r} among {df.columns}")
+    return found[0]
+
+
 def skew_join(
     facts: DataFrame,
     dims: DataFrame,
     on: Sequence[str],
     how: str = "inner",
-    probe: DataFrame | Sequence[DataFrame] | None = None,
-    spread: str | None = None,
+    null_safe: bool = False,
 ) -> DataFrame:
     """Equi-join of many ``facts`` rows per key with few ``dims`` rows per key.
 
-    Adaptive execution splits a skewed join only where both sides come straight
-    from a shuffle; here one side is mostly an aggregate, so hot keys are split
-    in the plan itself.
-
-    Rows of a hot key on the facts side are dealt out to several pieces and the
-    matching ``dims`` rows are repeated once per piece, so no task receives a
-    whole hot group. Small inputs, and dims that Spark broadcasts anyway, are not
-    searched for hot keys. Without hot keys this is an ordinary join. ``how`` keeps or
-    tests fact rows: inner, left, left_semi or left_anti. ``probe`` names cheaper
-    tables to search for hot keys, where ``facts`` is itself the result of a join;
-    splitting a key that turns out to be small does no harm. ``spread`` names a
-    column of row numbers taken at the scan, for facts that may hold many exact
-    copies and went through a shuffle since.
+    Adaptive execution cuts a partition that a hot key has filled into pieces of its real size
+    and repeats the matching rows of the other side, but only where both sides come straight
+    from a shuffle made for the join and nothing above relies on it. An aggregate on one side,
+    or one above by the same keys, would stand in its way. So the join is made on computed copies
+    of the keys: both sides are dealt out for the join alone, and any number of hot keys of any
+    size is split from the sizes seen, with no count beforehand. ``greatest(k, k)`` is a copy that
+    Spark does not see through, and equality finds the common type of both sides itself.
+
+    ``how`` keeps or tests fact rows: inner, left, left_semi or left_anti. With ``null_safe``
+    a NULL key meets a NULL key.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"skew_join cannot preserve the dims side: {how}")
-    on = list(on)
-    worth_a_look = is_large(facts) and not will_broadcast(dims)
-    hot = hot_keys(facts if probe is None else probe, on) if worth_a_look else []
-    if not hot:
-        return facts.join(dims, on, how)
-
-    types = [facts.schema[k].dataType for k in on]
-    schema = T.StructType(
-        [T.StructField(_KEY, T.LongType()), T.StructField(_PIECES, T.IntegerType())]
-    )
-    # At most MAX_HOT_KEYS rows of two numbers.
-    listed = F.broadcast(facts.sparkSession.createDataFrame(hot, schema))
-    tagged = lambda d: d.withColumn(_KEY, _key_hash(d, on, types)).join(listed, _KEY, "left")
-    number = F.col(spread) if spread else spread_number(facts)
-    piece = F.when(F.col(_PIECES).isNotNull(), F.pmod(F.col(_ROW), F.col(_PIECES))).otherwise(0)
-    numbered = tagged(facts.withColumn(_ROW, number))
-    dealt = numbered.withColumn(_PIECE, piece.cast("int")).drop(_KEY, _PIECES, _ROW)
-    last = F.coalesce(F.col(_PIECES), F.lit(1)) - 1
-    repeated = (
-        tagged(dims).withColumn(_PIECE, F.explode(F.sequence(F.lit(0), last))).drop(_KEY, _PIECES)
-    )
-    return dealt.join(repeated, [*on, _PIECE], how).drop(_PIECE)
+    copy = lambda c: F.greatest(F.col(f"`{c}`"), F.col(f"`{c}`"))
+    left_keys = {f"{_KEY}l{i}": copy(_named(facts, k)) for i, k in enumerate(on)}
+    right_keys = {f"{_KEY}r{i}": copy(_named(dims, k)) for i, k in enumerate(on)}
+    others = [c for c in dims.columns if c.lower() not in {k.lower() for k in on}]
+    left = facts.withColumns(left_keys)
+    right = dims.withColumns(right_keys).select(*right_keys, *[F.col(f"`{c}`") for c in others])
+    same = [a.eqNullSafe(b) if null_safe else a == b for a, b in ((F.col(x), F.col(y)) for x, y in zip(left_keys, right_keys))]
+    condition = same[0]
+    for more in same[1:]:
+        condition = condition & more
+    joined = left.join(right, condition, how)
+    return joined.drop(*left_keys, *right_keys)
 
 
 def repeat_rows(df: DataFrame, times: ColumnLike, index: str) -> DataFrame:
@@ -224,13 +120,32 @@ def shared_folder(spark: SparkSession) -> str:
     return (folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/tidemark-scratch").rstrip("/")
 
 
+#: Folders written per application, so that they can be removed when their readers are done.
+_WRITTEN: dict[str, list[str]] = {}
+
+
 def materialise(df: DataFrame, name: str = "table") -> DataFrame:
     """Write an intermediate that is read several times and return the written table.
 
     Cuts the lineage: later reads survive the loss of executors without
-    recomputing what led here, and Spark knows the table's real size.
+    recomputing what led here, and Spark knows the table's real size. The folder stays until
+    ``remove_intermediates`` is called.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/tidemark-{name}-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_intermediates(spark: SparkSession) -> int:
+    """Delete what ``materialise`` wrote in this application; returns how many folders were there.
+
+    To be called when no DataFrame that reads them is needed any more.
+    """
+    removed = 0
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in _WRITTEN.pop(spark.sparkContext.applicationId, []):
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        removed += bool(where.getFileSystem(hadoop).delete(where, True))
+    return removed

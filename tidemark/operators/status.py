@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.predicates import mask
+from .scale import skew_join
 
 
 def all_done(*steps: str) -> str:
@@ -49,7 +50,7 @@ def reconcile_status(
     by_code = "NOT {severe} AND {any} AND NOT {code_shock}"
     new_severe = F.expr(f"if({by_base} OR {by_code}, 1, 0)".format(**says))
     new_shock = F.expr("if({shock} OR {code_shock}, 1, 0)".format(**says))
-    joined = base.join(status.select(*on, code_any, code_shock), list(on), "left")
+    joined = skew_join(base, status.select(*on, code_any, code_shock), on, "left")
     return joined.withColumns({severe: new_severe, shock: new_shock}).drop(code_any, code_shock)
 
 

@@ -8,18 +8,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.hashing import hash_mod, slice_of, stable_hash
+from ..functions.hashing import HASH_BITS, hash_mod, stable_hash
 from ..functions.predicates import between, clamp, in_period
 from ..functions.timeops import boundary_diff
 from .rows import first_time, present
-from .scale import is_large, materialise, repeat_rows
+from .scale import materialise, repeat_rows, skew_join
 
-#: Slices of the hash range in which a stratum is ranked (a power of two).
-RANK_SLICES = 4096
-#: Slices used to find a cut. One slice per stratum is sorted, so these are finer.
-CUT_SLICES = 65_536
-#: Slices for inputs too small to be uneven. The number never changes a result.
-FEW_SLICES = 16
+#: Rows that a slice of the hash range holds on average; the number of slices follows the rows.
+ROWS_PER_SLICE = 250_000
+#: Bits of the hash that slices may use; a finer cut than this is never needed.
+MOST_BITS = 31
 
 
 def period_cohort(
@@ -71,11 +69,18 @@ def stratum_rates(
 
 
 def _hashed(
-    df: DataFrame, stratum: str, id_column: str, salt: int, method: str, slices: int
+    df: DataFrame, stratum: str, id_column: str, salt: int, method: str, rows_per_slice: int
 ) -> DataFrame:
-    """Rows with their hash and the slice of the hash range it falls in."""
+    """Rows with their hash and the slice of the hash range it falls in.
+
+    There are as many slices as the rows, counted inside the query, ask for.
+    """
+    total = df.agg(F.count("*").alias("n"))
+    bits = F.expr(f"int(least({MOST_BITS}, ceil(log2(greatest(1.0, n / {rows_per_slice}.0)))))")
     hashed = df.withColumn("_h", stable_hash(id_column, stratum, salt, method=method))
-    return hashed.withColumn("_slice", slice_of(F.col("_h"), slices, method).cast("int"))
+    hashed = hashed.withColumn("_bits", total.select(bits.alias("bits")).scalar())
+    cut = F.expr(f"shiftright(_h, {HASH_BITS[method]} - _bits)")
+    return hashed.withColumn("_slice", cut).drop("_bits")
 
 
 def _slice_offsets(hashed: DataFrame, stratum: str) -> DataFrame:
@@ -101,20 +106,19 @@ def hash_rank(
     id_column: str,
     salt: int,
     method: str = "md5",
-    slices: int | None = None,
+    rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """Rank rows of a stratum in a reproducible random order; adds ``rn`` and ``cnt``.
 
     A stratum may hold most of the data, so it is not sorted in one place. The
     hash range is cut into equal slices; counting them gives each slice its first
     rank, and rows are then ranked inside their (stratum, slice) only. Ids must be
-    unique inside a stratum.
+    unique inside a stratum. NULL is a stratum like any other.
     """
-    slices = slices or (RANK_SLICES if is_large(df) else FEW_SLICES)
-    hashed = _hashed(df, stratum, id_column, salt, method, slices)
+    hashed = _hashed(df, stratum, id_column, salt, method, rows_per_slice)
     offsets = _slice_offsets(hashed, stratum).drop("_n")
     inside = Window.partitionBy(stratum, "_slice").orderBy("_h", id_column)
-    ranked = hashed.join(offsets, [stratum, "_slice"]).withColumn(
+    ranked = skew_join(hashed, offsets, [stratum, "_slice"], null_safe=True).withColumn(
         "rn", F.col("_before") + F.row_number().over(inside)
     )
     return ranked.drop("_h", "_slice", "_before")
@@ -138,7 +142,7 @@ def select_fraction(
     salt: int,
     jitter_salt: int | None = None,
     method: str = "md5",
-    slices: int | None = None,
+    rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """The stratum's share of rows with the lowest hash ranks; the same rows every time.
 
@@ -146,16 +150,15 @@ def select_fraction(
     slices are taken as they are; only the rows of that one slice are sorted.
     ``rates`` has one row per stratum. Ids must be unique inside a stratum.
     """
-    slices = slices or (CUT_SLICES if is_large(df) else FEW_SLICES)
-    hashed = _hashed(df, stratum, id_column, salt, method, slices)
-    sized = _slice_offsets(hashed, stratum).join(rates.select(stratum, rate), stratum)
+    hashed = _hashed(df, stratum, id_column, salt, method, rows_per_slice)
+    sized = skew_join(_slice_offsets(hashed, stratum), rates.select(stratum, rate), [stratum], null_safe=True)
     sized = sized.withColumn("_keep", share_size(stratum, rate, jitter_salt, method=method))
     # ``_left``: rows to take from the slice with the cut; NULL where the slice is taken whole.
     taken = sized.where("_before < _keep").selectExpr(
         stratum, "_slice", "if(_before + _n > _keep, _keep - _before, NULL) AS _left"
     )
     # Joined by slice as well, so even a stratum with most of the rows is spread evenly.
-    tagged = hashed.join(taken, [stratum, "_slice"])
+    tagged = skew_join(hashed, taken, [stratum, "_slice"], null_safe=True)
     in_order = Window.partitionBy(stratum, "_slice").orderBy("_h", id_column)
     edge = (
         tagged.where("_left IS NOT NULL")
@@ -179,9 +182,10 @@ def select_nested(
 ) -> DataFrame:
     """A share of the rows whose id is in ``subset``; ranks and sizes count only those.
 
-    The rows of the subset are read three times, so they are written once before.
+    A subset that brings the stratum along is ranked as it is, without a join with ``df``.
     """
-    inner = materialise(present(df, subset, [id_column]), "subset")
+    whole = {stratum, id_column} <= set(subset.columns)
+    inner = subset if whole else present(df, subset, [id_column])
     return select_fraction(inner, stratum, id_column, rates, rate, salt, jitter_salt, method)
 
 

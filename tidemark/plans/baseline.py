@@ -16,7 +16,7 @@ from ..operators.components import (
     from_first_times,
     window_components,
 )
-from ..operators.scale import is_large, materialise
+from ..operators.scale import materialise
 from ..operators.status import mask_components
 from .bundles import OUTPUT_COLUMNS, add_composites
 from .spec import SEPSIS, MeasureSpec
@@ -76,16 +76,17 @@ def with_components(tables: Tables, anchored: DataFrame, spec: MeasureSpec = SEP
     return out.drop(*[f"first_{f}" for f in spec.onset])
 
 
-def baseline_flags(tables: Tables, spec: MeasureSpec = SEPSIS) -> DataFrame:
-    """One row per cohort admission and ICU stay (or per admission) with all flags.
+def admission_flags(tables: Tables, spec: MeasureSpec = SEPSIS) -> DataFrame:
+    """One row per cohort admission with masked components, before composites and stays.
 
     The anchored cohort is used twice: as windows for the events and as the rows
-    of the result. On large inputs it is written once and read back.
+    of the result. It is written once and read back, so its sources are scanned once.
     """
-    anchored = anchored_cohort(tables, spec)
-    sources = ["admissions", "diagnoses_icd", *{spec.family(f).table for f in spec.onset}]
-    if is_large(*[tables[s] for s in sources]):
-        anchored = materialise(anchored, "anchored")
-    flagged = add_composites(with_components(tables, anchored, spec))
-    masked = mask_components(flagged, spec.masks)
-    return with_stays(masked, tables["icustays"], spec.grain).select(*OUTPUT_COLUMNS)
+    anchored = materialise(anchored_cohort(tables, spec), "anchored")
+    return mask_components(with_components(tables, anchored, spec), spec.masks)
+
+
+def baseline_flags(tables: Tables, spec: MeasureSpec = SEPSIS) -> DataFrame:
+    """One row per cohort admission and ICU stay (or per admission) with all flags."""
+    flagged = add_composites(admission_flags(tables, spec))
+    return with_stays(flagged, tables["icustays"], spec.grain).select(*OUTPUT_COLUMNS)

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 
-from ..operators.cohort import KEYS, coded_status
+from ..operators.cohort import KEYS, coded_status, with_stays
 from ..operators.components import (
     EventFamily,
     Span,
@@ -15,10 +16,10 @@ from ..operators.components import (
     window_components,
 )
 from ..operators.status import mask_components, reconcile_status
-from ..operators.scale import is_large, materialise
+from ..operators.scale import skew_join
 from ..functions.predicates import or_zero
 from . import codes
-from .baseline import baseline_flags
+from .baseline import admission_flags
 from .bundles import OUTPUT_COLUMNS, add_composites
 from .spec import SEPSIS, MeasureSpec
 
@@ -51,7 +52,7 @@ def corrected_base(
     base = base.dropna(subset=list(KEYS)).drop("antibiotics_3h")
     status = coded_status(diagnoses, ["hadm_id"], spec.code_rules, "icd9_code")
     antibiotic = antibiotic_within_3h(base, prescriptions, spec.anchor, time_column)
-    flags = reconcile_status(base, status, ["hadm_id"]).join(antibiotic, list(KEYS), "left")
+    flags = skew_join(reconcile_status(base, status, ["hadm_id"]), antibiotic, KEYS, "left")
     return mask_components(
         flags.withColumn("antibiotics_3h", or_zero("antibiotics_3h")), spec.masks
     )
@@ -72,10 +73,17 @@ def final_flags(
 def measure(
     tables: Mapping[str, DataFrame], spec: MeasureSpec = SEPSIS, time_column: str = "startdate"
 ) -> DataFrame:
-    """Baseline and correction in one go. On large inputs the base table is written in between."""
-    base = baseline_flags(tables, spec)
-    if is_large(*[tables[n] for n in spec.tables()]):
-        base = materialise(base, "base")
-    return final_flags(
-        base, tables["prescriptions"], tables["diagnoses_icd"], spec, time_column
-    )
+    """Baseline and correction in one go.
+
+    The corrected antibiotic step is one more component of the baseline's pass over the events;
+    severity is corrected per admission, and rows are repeated per stay after everything else.
+    """
+    starts = replace(antibiotic_starts(time_column), name="antibiotic_start")
+    step = WindowFlag("_antibiotic_started", starts.name, Span(3, lo=0, mode="half_open"))
+    wider = spec.with_(families=(*spec.families, starts), components=(*spec.components, step))
+    flagged = admission_flags(tables, wider).dropna(subset=list(KEYS)).drop("antibiotics_3h")
+    flagged = flagged.withColumnRenamed("_antibiotic_started", "antibiotics_3h")
+    status = coded_status(tables["diagnoses_icd"], ["hadm_id"], spec.code_rules, "icd9_code")
+    fixed = mask_components(reconcile_status(flagged, status, ["hadm_id"]), spec.masks)
+    rows = with_stays(add_composites(fixed, gate_6h_on_3h=True), tables["icustays"], spec.grain)
+    return rows.select(*OUTPUT_COLUMNS)
