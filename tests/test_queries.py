@@ -8,10 +8,10 @@ import __spark_entry__ as entry
 import oracle
 from conftest import plan_text
 from tidemark.plans import baseline
-from tidemark.plans.oracles import ORACLES as SQL
-from tidemark.plans.queries import BY_ADMISSION
-from tidemark.plans.queries import REGISTRY as QUERIES
-from tidemark.sources.encounters import clinical_tables
+from tidemark_checks.oracles import ORACLES as SQL
+from tidemark_checks.queries import BY_ADMISSION
+from tidemark_checks.queries import REGISTRY as QUERIES
+from tidemark_checks.encounters import clinical_tables
 
 SMALL = "/root/testdata/sf0.001"
 # Operators with a join, a rank or a write in them, for the run where every key is hot.

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import plan_text
 from tidemark.operators import scale
-from tidemark.plans.queries import REGISTRY as QUERIES
+from tidemark_checks.queries import REGISTRY as QUERIES
 
 
 def facts(spark, n=600):

@@ -91,11 +91,20 @@ def literal_rows(spark: SparkSession, values: Sequence[tuple], schema: str) -> D
 
 
 def publish_view(df: DataFrame, name: str) -> DataFrame:
-    """Register a result under a name that SQL readers can select from."""
+    """Register a result under a name that SQL readers of this session can select from."""
     df.createOrReplaceTempView(name)
     return df.sparkSession.table(name)
 
 
+def publish_table(df: DataFrame, name: str, mode: str = "errorifexists") -> DataFrame:
+    """Write a result as a catalog table, which other sessions can read and which outlives this one.
+
+    The catalog is the session's; with a metastore the table is there for other applications too.
+    """
+    df.write.mode(mode).format("parquet").saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def export_snapshot(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> str:
     """Write a result for a report tool, as Parquet or as CSV with a header.
 
