@@ -36,6 +36,8 @@ class EventFamily:
     patterns: tuple[str, ...] = ()
     value_column: str | None = None
     noon_hours: int | None = None
+    #: Date that counts where the time is missing.
+    fallback_column: str | None = None
 
     def where(self) -> str:
         """Condition that picks the family's rows, as SQL text."""
@@ -45,6 +47,8 @@ class EventFamily:
 
     def time(self) -> str:
         moment = f"cast({quoted(self.time_column)} AS timestamp_ntz)"
+        if self.fallback_column:
+            moment = f"coalesce({moment}, cast({quoted(self.fallback_column)} AS timestamp_ntz))"
         if self.noon_hours:
             moment += f" + make_dt_interval(0, {self.noon_hours})"
         return moment
@@ -54,7 +58,7 @@ class EventFamily:
 
     def source(self) -> tuple:
         """Families with the same source can be read in one scan."""
-        return (self.table, self.time_column, self.noon_hours, self.value_column, self.code_column)
+        return (self.table, self.time_column, self.fallback_column, self.noon_hours, self.value_column, self.code_column)
 
 
 @dataclass(frozen=True)
@@ -85,17 +89,28 @@ class Span:
 
 @dataclass(frozen=True)
 class WindowFlag:
-    """1 if any event of the family lies in the span (and its value is below the limit)."""
+    """1 if any event of the family lies in the span (and its value passes the test).
+
+    ``test`` is a comparison and a limit, as ``(">=", 4)``; ``value_below`` is short for ``("<", limit)``.
+    """
 
     name: str
     family: str
     span: Span
     value_below: float | None = None
+    test: tuple[str, float] | None = None
+
+    def value_test(self, value: str = "value") -> str | None:
+        """The test as SQL over ``value``; None without a test."""
+        sign, limit = self.test or ("<", self.value_below)
+        if sign not in ("<", "<=", ">", ">=", "="):
+            raise ValueError(f"unknown comparison {sign!r}")
+        return None if limit is None else f"{value} {sign} {sql_literal(limit)}"
 
 
 @dataclass(frozen=True)
 class WindowValue:
-    """A value in the span: its maximum (``max``) or that of the first event (``first``)."""
+    """A value in the span: its maximum (``max``), sum (``sum``) or that of the first event (``first``)."""
 
     name: str
     family: str
@@ -106,22 +121,45 @@ class WindowValue:
 Component = WindowFlag | WindowValue
 
 
+@dataclass(frozen=True)
+class Derived:
+    """A 0/1 flag that follows from other columns of the row: SQL over components and first times."""
+
+    name: str
+    condition: str
+
+
+def happened_before(name: str, first: str, then: str) -> Derived:
+    """Onset family ``first`` occurred, and ``then`` did not occur earlier."""
+    a, b = quoted(f"first_{first}"), quoted(f"first_{then}")
+    return Derived(name, f"{a} IS NOT NULL AND coalesce({a} <= {b}, true)")
+
+
+def dose_reached(name: str, dose: str, weight: str, threshold: float) -> Derived:
+    """Component ``dose`` is at least ``threshold`` per unit of component ``weight``."""
+    return Derived(name, f"{quoted(weight)} > 0 AND {quoted(dose)} / {quoted(weight)} >= {sql_literal(threshold)}")
+
+
+def add_derived(df: DataFrame, derived: Sequence[Derived]) -> DataFrame:
+    return df.withColumns({d.name: F.expr(f"if({d.condition}, 1, 0)") for d in derived}) if derived else df
+
+
 def event_parts(
     tables: Mapping[str, DataFrame],
     families: Sequence[EventFamily],
     keys: Sequence[str] = KEYS,
-    value_below: Mapping[str, float] | None = None,
+    value_tests: Mapping[str, Sequence[WindowFlag]] | None = None,
 ) -> list[DataFrame]:
     """Events of the families as rows (keys, family, ts, value), one DataFrame per scan.
 
     Families that share a table and use separate codes are read in one scan;
     their filters, value limits included, go down to the scan.
     """
-    value_below = value_below or {}
+    value_tests = value_tests or {}
 
     def chosen(f: EventFamily) -> str:
-        limit = value_below.get(f.name)
-        return f.where() if limit is None else f"({f.where()} AND {f.value()} < {limit})"
+        tests = " OR ".join(c.value_test(f.value()) for c in value_tests.get(f.name, ()))
+        return f"({f.where()} AND ({tests}))" if tests else f.where()
 
     parts: list[list[EventFamily]] = []
     for f in families:
@@ -151,24 +189,19 @@ def event_relation(
     tables: Mapping[str, DataFrame],
     families: Sequence[EventFamily],
     keys: Sequence[str] = KEYS,
-    value_below: Mapping[str, float] | None = None,
+    value_tests: Mapping[str, Sequence[WindowFlag]] | None = None,
 ) -> DataFrame:
     """All events of the families in one DataFrame."""
-    return reduce(DataFrame.unionByName, event_parts(tables, families, keys, value_below))
-
-
-def _limit(c: Component) -> float | None:
-    return c.value_below if isinstance(c, WindowFlag) else None
+    return reduce(DataFrame.unionByName, event_parts(tables, families, keys, value_tests))
 
 
-def family_value_limits(components: Sequence[Component]) -> dict[str, float]:
-    """Value limit that all components of a family imply, for filtering before the join."""
-    limits: dict[str, float | None] = {}
+def family_value_tests(components: Sequence[Component]) -> dict[str, list[WindowFlag]]:
+    """Families all of whose components test the value, with these, for filtering before the join."""
+    by_family: dict[str, list[Component]] = {}
     for c in components:
-        known = limits.get(c.family, _limit(c))
-        own = _limit(c)
-        limits[c.family] = None if known is None or own is None else max(known, own)
-    return {f: v for f, v in limits.items() if v is not None}
+        by_family.setdefault(c.family, []).append(c)
+    tested = lambda c: isinstance(c, WindowFlag) and c.value_test() is not None
+    return {f: listed for f, listed in by_family.items() if all(map(tested, listed))}
 
 
 def _bound_name(micros: int) -> str:
@@ -180,7 +213,7 @@ def from_first_times(components: Sequence[WindowFlag], anchor: str) -> dict[str,
     out = {}
     for c in components:
         start, to = c.span.bounds_us()
-        if start is not None or c.value_below is not None or not isinstance(c, WindowFlag):
+        if start is not None or not isinstance(c, WindowFlag) or c.value_test() is not None:
             raise ValueError(f"{c.name} needs more than the first time")
         out[c.name] = F.expr(f"if(first_{c.family} < {after_sql(anchor, to)}, 1, 0)")
     return out
@@ -216,11 +249,11 @@ def window_components(
         if start is not None:
             inside += f" AND ts >= {_bound_name(start)}"
         if isinstance(c, WindowFlag):
-            if c.value_below is not None:
-                inside += f" AND value < {c.value_below}"
+            if c.value_test() is not None:
+                inside += f" AND {c.value_test()}"
             found = f"max(if({inside}, 1, 0))"
-        elif c.agg == "max":
-            found = f"max(value) FILTER (WHERE {inside})"
+        elif c.agg in ("max", "sum"):
+            found = f"{c.agg}(value) FILTER (WHERE {inside})"
         elif c.agg == "first":
             found = f"min_by(value, struct(ts, value)) FILTER (WHERE {inside} AND value IS NOT NULL)"
         else:

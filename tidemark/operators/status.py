@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,15 +17,39 @@ def all_done(*steps: str) -> str:
     return " AND ".join(f"coalesce({s}, 0) = 1" for s in steps)
 
 
-def by_path(rules: Sequence[tuple[str, str]]) -> Column:
+def by_path(rules: Sequence[tuple[str | None, str]]) -> Column:
     """1 if the rule of the first path that applies holds; 0 if it fails or no path applies.
 
     Rules are pairs of a path column and a SQL condition.
     """
-    branches = " ".join(f"WHEN {path} = 1 THEN if({rule}, 1, 0)" for path, rule in rules)
+    applies = lambda path: "true" if path is None else f"{path} = 1"
+    branches = " ".join(f"WHEN {applies(path)} THEN if({rule}, 1, 0)" for path, rule in rules)
     return F.expr(f"CASE {branches} ELSE 0 END")
 
 
+@dataclass(frozen=True)
+class Composite:
+    """A flag by path: ``rules`` pair a path column with a SQL condition; None as path means every row.
+
+    ``gate`` names a flag that has to be set as well.
+    """
+
+    name: str
+    rules: tuple[tuple[str | None, str], ...]
+    gate: str | None = None
+
+    def column(self) -> Column:
+        complete = by_path(self.rules)
+        return complete if self.gate is None else F.when(F.expr(all_done(self.gate)), complete).otherwise(0)
+
+
+def add_composites(df: DataFrame, composites: Sequence[Composite]) -> DataFrame:
+    """Add the composites in order; later ones may use earlier ones. No self-joins."""
+    for c in composites:
+        df = df.withColumn(c.name, c.column())
+    return df
+
+
 def mask_components(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     """NULL every component whose path column is not 1."""
     return df.withColumns({step: mask(step, path) for step, path in rules.items()})

@@ -9,16 +9,16 @@ from pyspark.sql import DataFrame
 from ..operators.cohort import build_cohort, first_times, time_zero, with_stays
 from ..operators.components import (
     WindowFlag,
+    add_derived,
     attach_components,
     event_parts,
     event_relation,
-    family_value_limits,
+    family_value_tests,
     from_first_times,
     window_components,
 )
 from ..operators.scale import materialise
-from ..operators.status import mask_components
-from .bundles import OUTPUT_COLUMNS, add_composites
+from ..operators.status import add_composites, mask_components
 from .spec import SEPSIS, MeasureSpec
 
 Tables = Mapping[str, DataFrame]
@@ -53,7 +53,7 @@ def needs_only_first_time(c, spec: MeasureSpec) -> bool:
         isinstance(c, WindowFlag)
         and c.family in spec.onset
         and c.span.lo is None
-        and c.value_below is None
+        and c.value_test() is None
     )
 
 
@@ -69,11 +69,11 @@ def with_components(tables: Tables, anchored: DataFrame, spec: MeasureSpec = SEP
     if rest:
         names = list(dict.fromkeys(c.family for c in rest))
         events = event_parts(
-            tables, [spec.family(n) for n in names], value_below=family_value_limits(rest)
+            tables, [spec.family(n) for n in names], value_tests=family_value_tests(rest)
         )
         found = window_components(events, anchored, rest, spec.anchor)
         out = attach_components(out, found, rest)
-    return out.drop(*[f"first_{f}" for f in spec.onset])
+    return add_derived(out, spec.derived).drop(*[f"first_{f}" for f in spec.onset])
 
 
 def admission_flags(tables: Tables, spec: MeasureSpec = SEPSIS) -> DataFrame:
@@ -88,5 +88,5 @@ def admission_flags(tables: Tables, spec: MeasureSpec = SEPSIS) -> DataFrame:
 
 def baseline_flags(tables: Tables, spec: MeasureSpec = SEPSIS) -> DataFrame:
     """One row per cohort admission and ICU stay (or per admission) with all flags."""
-    flagged = add_composites(admission_flags(tables, spec))
-    return with_stays(flagged, tables["icustays"], spec.grain).select(*OUTPUT_COLUMNS)
+    flagged = add_composites(admission_flags(tables, spec), spec.composites)
+    return with_stays(flagged, tables["icustays"], spec.grain).select(*spec.columns())

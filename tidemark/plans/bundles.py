@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from dataclasses import replace
 
-from ..operators.status import all_done, by_path
+from pyspark.sql import Column
+
+from ..operators.status import Composite, all_done
 from . import codes
 
 BASIC_STEPS = ("lactate_measured_3h", "blood_culture_3h", "antibiotics_3h")
@@ -20,47 +21,39 @@ OUTPUT_COLUMNS = (
 )
 
 
-def composite_3h() -> Column:
-    """Severe path: the basic steps. Shock path: fluids as well."""
-    return by_path(
-        [
-            ("severe_sepsis", all_done(*BASIC_STEPS)),
-            ("septic_shock", all_done(*BASIC_STEPS, "fluids_administered_3h")),
-        ]
-    )
+_NO_REPEAT_NEEDED = f"coalesce(initial_lactate_value <= {codes.LACTATE_REPEAT_ABOVE}, true)"
+_HIGH_LACTATE = f"coalesce(initial_lactate_value >= {codes.LACTATE_HIGH}, false)"
 
+#: Severe path: the basic steps. Shock path: fluids as well.
+THREE_HOURS = Composite(
+    "bundle_complete_3h",
+    (
+        ("severe_sepsis", all_done(*BASIC_STEPS)),
+        ("septic_shock", all_done(*BASIC_STEPS, "fluids_administered_3h")),
+    ),
+)
+#: Severe path: lactate repeated unless it was low or missing. Shock path: vasopressor, with low
+#: pressure or high lactate.
+SIX_HOURS = Composite(
+    "bundle_complete_6h",
+    (
+        ("severe_sepsis", f"{_NO_REPEAT_NEEDED} OR {all_done('repeat_lactate_6h')}"),
+        (
+            "septic_shock",
+            f"{all_done('vasopressors_administered_6h')} AND ({all_done('persistent_hypotension_6h')} OR {_HIGH_LACTATE})",
+        ),
+    ),
+)
+OVERALL = Composite("bundle_complete_overall", ((None, all_done("bundle_complete_3h", "bundle_complete_6h")),))
 
-def composite_6h(gate_on: str | None = None) -> Column:
-    """Severe path: lactate repeated unless it was low or missing. Shock path:
-    vasopressor, with low pressure or high lactate. ``gate_on`` names a flag that
-    has to be set as well.
-    """
-    no_repeat_needed = f"coalesce(initial_lactate_value <= {codes.LACTATE_REPEAT_ABOVE}, true)"
-    high = f"coalesce(initial_lactate_value >= {codes.LACTATE_HIGH}, false)"
-    repeated = all_done("repeat_lactate_6h")
-    low_pressure = all_done("persistent_hypotension_6h")
-    complete = by_path(
-        [
-            ("severe_sepsis", f"{no_repeat_needed} OR {repeated}"),
-            (
-                "septic_shock",
-                f"{all_done('vasopressors_administered_6h')} AND ({low_pressure} OR {high})",
-            ),
-        ]
-    )
-    return complete if gate_on is None else F.when(F.expr(all_done(gate_on)), complete).otherwise(0)
+BASELINE_COMPOSITES = (THREE_HOURS, SIX_HOURS, OVERALL)
+#: The final view counts the 6-hour bundle only where the 3-hour bundle is complete.
+FINAL_COMPOSITES = (THREE_HOURS, replace(SIX_HOURS, gate="bundle_complete_3h"), OVERALL)
 
 
-def composite_overall() -> Column:
-    both = all_done("bundle_complete_3h", "bundle_complete_6h")
-    return F.expr(f"if({both}, 1, 0)")
+def composite_3h() -> Column:
+    return THREE_HOURS.column()
 
 
-def add_composites(df: DataFrame, gate_6h_on_3h: bool = False) -> DataFrame:
-    """Add the three composite flags. They are columns of the same row: no self-joins."""
-    gate = "bundle_complete_3h" if gate_6h_on_3h else None
-    return (
-        df.withColumn("bundle_complete_3h", composite_3h())
-        .withColumn("bundle_complete_6h", composite_6h(gate))
-        .withColumn("bundle_complete_overall", composite_overall())
-    )
+def composite_6h(gate_on: str | None = None) -> Column:
+    return replace(SIX_HOURS, gate=gate_on).column()

@@ -15,12 +15,11 @@ from ..operators.components import (
     event_parts,
     window_components,
 )
-from ..operators.status import mask_components, reconcile_status
+from ..operators.status import add_composites, mask_components, reconcile_status
 from ..operators.scale import skew_join
 from ..functions.predicates import or_zero
 from . import codes
 from .baseline import admission_flags
-from .bundles import OUTPUT_COLUMNS, add_composites
 from .spec import SEPSIS, MeasureSpec
 
 
@@ -67,7 +66,7 @@ def final_flags(
 ) -> DataFrame:
     """The table reports read. The 6-hour bundle needs the 3-hour bundle here."""
     fixed = corrected_base(base, prescriptions, diagnoses, spec, time_column)
-    return add_composites(fixed, gate_6h_on_3h=True).select(*OUTPUT_COLUMNS)
+    return add_composites(fixed, spec.final_composites).select(*spec.columns())
 
 
 def measure(
@@ -85,5 +84,5 @@ def measure(
     flagged = flagged.withColumnRenamed("_antibiotic_started", "antibiotics_3h")
     status = coded_status(tables["diagnoses_icd"], ["hadm_id"], spec.code_rules, "icd9_code")
     fixed = mask_components(reconcile_status(flagged, status, ["hadm_id"]), spec.masks)
-    rows = with_stays(add_composites(fixed, gate_6h_on_3h=True), tables["icustays"], spec.grain)
-    return rows.select(*OUTPUT_COLUMNS)
+    rows = with_stays(add_composites(fixed, spec.final_composites), tables["icustays"], spec.grain)
+    return rows.select(*spec.columns())

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
 
-from ..operators.components import Component, EventFamily, Span, WindowFlag, WindowValue
-from . import codes
+from ..operators.cohort import KEYS
+from ..operators.components import Component, Derived, EventFamily, Span, WindowFlag, WindowValue
+from ..operators.status import Composite
+from . import bundles, codes
 
 
 @dataclass(frozen=True)
@@ -24,6 +26,16 @@ class MeasureSpec:
     grain: str = "icustay"
     missing: str = "sentinel"
     code_rules: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
+    derived: tuple[Derived, ...] = ()
+    composites: tuple[Composite, ...] = ()
+    final_composites: tuple[Composite, ...] = ()
+    #: Columns of the result, in order; without any the keys, paths, anchor, flags and composites.
+    output: tuple[str, ...] = ()
+
+    def columns(self) -> list[str]:
+        """Columns of the result."""
+        named = [x.name for x in (*self.components, *self.derived, *self.composites)]
+        return list(self.output) or [*KEYS, "age_at_admission", *self.path_codes, self.anchor, *named]
 
     def family(self, name: str) -> EventFamily:
         return next(f for f in self.families if f.name == name)
@@ -93,4 +105,7 @@ SEPSIS = MeasureSpec(
         "shock_icd": (codes.SEPTIC_SHOCK,),
         "sepsis_icd": (codes.SEVERE_SEPSIS, codes.SEPTIC_SHOCK),
     },
+    composites=bundles.BASELINE_COMPOSITES,
+    final_composites=bundles.FINAL_COMPOSITES,
+    output=bundles.OUTPUT_COLUMNS,
 )

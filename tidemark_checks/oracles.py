@@ -249,6 +249,39 @@ WITH {_COHORT} SELECT subject_id, hadm_id, first_culture, first_antibiotic,
 WITH {_STEPS} SELECT subject_id, hadm_id, nullif(t0, TIMESTAMP '9999-12-31') AS sepsis_time_zero,
   if(year(t0) = 9999, 0, lactate_measured_3h) AS lactate_measured_3h,
   if(year(t0) = 9999, 0, vasopressors_administered_6h) AS vasopressors_administered_6h FROM st""",
+    "other_measure": f"""
+WITH {_CLINICAL},
+c AS (
+  SELECT adm.subject_id, adm.hadm_id, (year(admittime) - year(dob))::INT AS age_at_admission,
+         max((code = '4019')::INT) AS hypertension, max((code = '0389')::INT) AS septicemia
+  FROM adm JOIN pat USING (subject_id) JOIN dx USING (subject_id, hadm_id)
+  WHERE code IN ('4019', '0389') AND year(admittime) - year(dob) >= 18 GROUP BY ALL),
+z AS (
+  SELECT c.*, t AS t0 FROM c
+  LEFT JOIN (SELECT hadm_id, min(coalesce(ts, day::TIMESTAMP)) AS t FROM micro WHERE spec = 70012 GROUP BY 1) m USING (hadm_id)),
+p AS (SELECT hadm_id, ts, v FROM chart WHERE item IN (52, 456, 6702, 443, 220052, 220181, 225312)),
+s AS (
+  SELECT z.*,
+    {_any('p', "x.ts >= z.t0 AND x.ts < z.t0 + INTERVAL 24 HOUR AND x.v >= 60")} AS high_pressure_24h,
+    {_any('p', "x.ts >= z.t0 AND x.ts < z.t0 + INTERVAL 24 HOUR AND x.v <= 30")} AS low_pressure_24h,
+    {_any('chart', f"{_H} <= 12 AND x.item IN (221906, 221289, 221749, 222315, 221662)")} AS vp,
+    {_any('lab', f"{_H} <= 24 AND x.v > 2")} AS lactate_above_2
+  FROM z),
+t AS (SELECT *, CASE WHEN septicemia = 1 THEN vp WHEN hypertension = 1 THEN 1 - high_pressure_24h ELSE 0 END AS treated FROM s)
+SELECT subject_id, hadm_id, age_at_admission, hypertension, septicemia, t0 AS first_culture_time, high_pressure_24h, low_pressure_24h,
+  if(septicemia = 1, vp, NULL) AS vasopressor_12h, lactate_above_2, treated,
+  (treated = 1 AND high_pressure_24h = 0 AND low_pressure_24h = 0)::INT AS steady FROM t""",
+    "strict_measure": f"""
+WITH {_STEPS},
+f AS (SELECT z.hadm_id, sum(x.v) AS ml FROM z JOIN chart x ON x.hadm_id = z.hadm_id
+      WHERE {_H} <= 3 AND x.item IN (30061, 30062, 30063) GROUP BY 1),
+w AS (SELECT z.hadm_id, max(x.v) AS kg FROM z JOIN wt x ON x.hadm_id = z.hadm_id
+      WHERE {_H} <= 1000 AND x.event_id % 2 = 0 GROUP BY 1),
+d AS (SELECT st.*, ml, kg, (first_culture IS NOT NULL AND (first_antibiotic IS NULL OR first_culture <= first_antibiotic))::INT AS cf,
+        coalesce(kg > 0 AND ml / kg >= 2, false)::INT AS ef
+      FROM st LEFT JOIN f USING (hadm_id) LEFT JOIN w USING (hadm_id))
+SELECT subject_id, hadm_id, round(ml, 6) AS fluid_ml_3h, kg AS weight_kg, cf AS culture_first, ef AS enough_fluid,
+  blood_culture_3h * cf * ef AS strict_3h FROM d""",
     "family_events": f"""
 WITH {_CLINICAL}, e AS (
   SELECT 'culture' AS family, ts, NULL::DOUBLE AS v FROM micro WHERE spec = 70012

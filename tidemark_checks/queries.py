@@ -18,6 +18,7 @@ from tidemark.functions import timeops as t
 from tidemark.functions.hashing import hash_mod, stable_hash
 from tidemark.operators import changes, cohort, components, discovery, extensions, rows, status, strata
 from tidemark.operators.components import Span, WindowFlag, WindowValue
+from tidemark.operators.status import Composite
 from tidemark.sources.tables import (
     append,
     export_snapshot,
@@ -30,7 +31,7 @@ from tidemark.sources.tables import (
 from tidemark.operators.scale import materialise, shared_folder
 from tidemark.plans import baseline, bundles, codes, explore, final
 from tidemark.plans.groups import Group, choose_groups, mark_groups
-from tidemark.plans.spec import SEPSIS
+from tidemark.plans.spec import SEPSIS, MeasureSpec
 
 from .encounters import clinical_tables
 
@@ -206,6 +207,59 @@ def time_zero_null(spark, sf_dir):
 # --- components ----------------------------------------------------------------
 
 
+#: A measure of other admissions, anchored at the first culture, a missing culture time counting as its date.
+PRESSURE_CARE = MeasureSpec(
+    cohort_codes=("4019", "0389"),
+    path_codes={"hypertension": ("4019",), "septicemia": ("0389",)},
+    families=(
+        replace(SEPSIS.family("culture"), fallback_column="chartdate"),
+        *(SEPSIS.family(f) for f in ("pressure", "vasopressor", "lactate")),
+    ),
+    onset=("culture",),
+    components=(
+        WindowFlag("high_pressure_24h", "pressure", Span(24, lo=0, mode="half_open"), test=(">=", 60)),
+        WindowFlag("low_pressure_24h", "pressure", Span(24, lo=0, mode="half_open"), test=("<=", 30)),
+        WindowFlag("vasopressor_12h", "vasopressor", Span(12)),
+        WindowFlag("lactate_above_2", "lactate", Span(24), test=(">", 2)),
+    ),
+    masks={"vasopressor_12h": "septicemia"},
+    composites=(
+        Composite("treated", (("septicemia", status.all_done("vasopressor_12h")), ("hypertension", "high_pressure_24h = 0"))),
+        Composite("steady", ((None, "high_pressure_24h + low_pressure_24h = 0"),), gate="treated"),
+    ),
+    anchor="first_culture_time",
+    missing="null",
+    grain="admission",
+)
+
+#: The sepsis measure with both stricter readings as steps of its 3-hour bundle.
+STRICT = BY_ADMISSION.with_(
+    families=(*SEPSIS.families, components.EventFamily("weight", "weights", "charttime", "itemid", (226512,), value_column="valuenum")),
+    components=(
+        *SEPSIS.components,
+        WindowValue("fluid_ml_3h", "fluid", Span(3), agg="sum"),
+        WindowValue("weight_kg", "weight", Span(1000), agg="max"),
+    ),
+    derived=(
+        components.happened_before("culture_first", "culture", "antibiotic"),
+        components.dose_reached("enough_fluid", "fluid_ml_3h", "weight_kg", 2),
+    ),
+    composites=(Composite("strict_3h", ((None, status.all_done("blood_culture_3h", "culture_first", "enough_fluid")),)),),
+    output=(*KEYS, "fluid_ml_3h", "weight_kg", "culture_first", "enough_fluid", "strict_3h"),
+)
+
+
+@query
+def other_measure(spark, sf_dir):
+    return baseline.baseline_flags(clinical_tables(spark, sf_dir), PRESSURE_CARE)
+
+
+@query
+def strict_measure(spark, sf_dir):
+    found = baseline.baseline_flags(clinical_tables(spark, sf_dir), STRICT)
+    return found.withColumn("fluid_ml_3h", F.round("fluid_ml_3h", 6))
+
+
 @query
 def family_events(spark, sf_dir):
     """Events of every family of the measure per day, with their values."""
@@ -289,7 +343,7 @@ def composites(spark, sf_dir):
     """All three composites with and without the 3-hour gate on the 6-hour bundle."""
     tables = clinical_tables(spark, sf_dir)
     flagged = baseline.with_components(tables, baseline.anchored_cohort(tables))
-    both = bundles.add_composites(flagged).withColumn(
+    both = status.add_composites(flagged, bundles.BASELINE_COMPOSITES).withColumn(
         "gated_6h", bundles.composite_6h("bundle_complete_3h")
     )
     return both.select(
