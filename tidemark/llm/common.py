@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
 import os
 from collections.abc import Callable, Iterable, Iterator
 
@@ -56,6 +58,19 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, listed), np.uint64, len(listed))
 
 
+class Spans:
+    """Tells whether a range meets any of some (start, kind, end) spans, however many there are."""
+
+    def __init__(self, spans: list[tuple[int, int, int]]):
+        ordered = sorted(spans)
+        self.starts = [s for s, _, _ in ordered]
+        self.reach = list(itertools.accumulate((e for _, _, e in ordered), max))
+
+    def meet(self, start: int, end: int) -> bool:
+        before = bisect.bisect_left(self.starts, end)
+        return before > 0 and self.reach[before - 1] > start
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finaliser that spreads every input bit over the whole 64-bit number."""
     x = x ^ (x >> np.uint64(33))

@@ -38,6 +38,7 @@ VOID_TAGS = frozenset("area base br col embed hr img input link meta param sourc
 SILENT_TAGS = frozenset("script style template noscript head title svg math iframe object canvas audio video".split())
 #: Blocks that end an open paragraph when they begin.
 CLOSES_P = BLOCK_TAGS - {"body", "html", "option", "td", "th", "tr", "tbody", "thead", "tfoot"}
+_NOT_P = BLOCK_TAGS - {"p"}
 
 #: Words of tag names, classes and ids that tell what a container is for.
 CONTAINERS = {
@@ -110,7 +111,7 @@ class _Reader(html.parser.HTMLParser):
             self.flush()
             if tag == "body" and self._is_open("head"):
                 self._pop("head")
-            if tag in CLOSES_P and self._is_open("p", BLOCK_TAGS - {"p"}):
+            if tag in CLOSES_P and self._is_open("p", _NOT_P):
                 self._pop("p")
             if tag == "li" and self._is_open("li", frozenset(("ul", "ol"))):
                 self._pop("li")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches
+from .common import Spans, map_batches
 
 #: Fixed patterns. Their failing matches use up their text, so lengths are checked afterwards.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -124,10 +124,10 @@ def _describe(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, in
     base = base_spans(text)
     if not any(len(w) >= LEAST for w in text.split()):
         return base, [], []
-    candidates, plain = [], []
+    candidates, plain, fixed = [], [], Spans(base)
     for m in RUN.finditer(text):
         if any(c.isdigit() for c in m[0]):
-            if not any(s < m.end() and m.start() < e for s, _, e in base):
+            if not fixed.meet(m.start(), m.end()):
                 candidates.append((m.start(), m.end(), place(m[0])))
         else:
             plain.append(place(m[0]))

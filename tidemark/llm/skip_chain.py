@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches
+from .common import Spans, map_batches
 
 KINDS = ("email", "ip", "card", "phone")
 #: Documents with active words that training may read, and its length.
@@ -248,13 +248,13 @@ def train(examples: list[tuple[Graph, np.ndarray]], seed: int = 7) -> Field:
 def more_spans(g: Graph, marginals: np.ndarray, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Spans of surely labelled nodes that meet no fixed span; neighbours with one label are one span."""
     label, sure = marginals.argmax(axis=1), marginals.max(axis=1) >= SURE
-    beside = {int(b) for _, b in g.chain}
+    beside, fixed = {int(b) for _, b in g.chain}, Spans(base)
     out: list[tuple[int, int, int]] = []
     last = -2
     for i in np.flatnonzero(sure & (label > 0)):
         start, end = (int(v) for v in g.spans[i])
         kind = int(label[i]) - 1
-        if any(s < end and start < e for s, _, e in base):
+        if fixed.meet(start, end):
             continue
         if i in beside and last == i - 1 and out[-1][1] == kind:
             out[-1] = (out[-1][0], kind, end)
