@@ -39,8 +39,9 @@ FROM d JOIN c ON d.source IS NOT DISTINCT FROM c.source
 OP4 = rf"""
 WITH w AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{WORD}') AS ws FROM documents),
-i AS (SELECT r, ws, unnest(generate_series(1, len(ws) - 2)) AS i FROM w WHERE len(ws) >= 3),
-g AS (SELECT r, i, count(*) OVER (PARTITION BY r, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) AS n FROM i),
+i AS (SELECT r, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS t
+      FROM (SELECT r, ws, unnest(generate_series(1, len(ws) - 2)) AS i FROM w WHERE len(ws) >= 3)),
+g AS (SELECT r, i, count(*) OVER (PARTITION BY r, t) AS n FROM i),
 c AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM g WHERE n > 1) GROUP BY r),
 l AS (SELECT r, unnest(string_split(text, chr(10))) AS line FROM w),
 k AS (SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup FROM l WHERE regexp_matches(line, '{WORD}') GROUP BY r),
