@@ -21,7 +21,7 @@ _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Entries a memo may hold before it starts anew; bounds the memory of a Python worker.
-MEMO_LIMIT = 400_000
+MEMO_LIMIT = 250_000
 
 
 def shared_table(df: DataFrame, name: str) -> DataFrame:
@@ -54,8 +54,18 @@ class WordHashes(dict):
             self[word] = value
         return value
 
-    def of(self, listed: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, listed), np.uint64, len(listed))
+
+#: One memo per Python worker, whichever operators its tasks belong to.
+_MEMO = WordHashes()
+
+
+def word_ids(listed: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(_MEMO.__getitem__, listed), np.uint64, len(listed))
+
+
+def forget_words() -> None:
+    """Free the memo of a worker whose next tasks do not hash words."""
+    _MEMO.clear()
 
 
 class Spans:

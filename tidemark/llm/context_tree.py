@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordHashes, map_task, shared_table, text_bytes
+from .common import map_task, shared_table, text_bytes, word_ids
 
 #: Bytes of text per batch.
 BATCH_BYTES = 16 << 20
@@ -33,7 +33,6 @@ BATCH_WORDS = 4_000_000
 SLICE = 4096
 _CELLS = 1 << 24
 
-_HASHES = WordHashes()
 
 
 def held_out(doc_id: Column) -> Column:
@@ -49,7 +48,7 @@ def _with_ends(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         listed += found
         listed.append(END)
         sizes.append(len(found) + 1)
-    return _HASHES.of(listed).view(np.int64), np.array(sizes, np.int64)
+    return word_ids(listed).view(np.int64), np.array(sizes, np.int64)
 
 
 def _cells(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, map_batches, shingle_hashes, text_bytes
+from .common import map_batches, shingle_hashes, text_bytes, word_ids
 
 WINDOW = 13
 SHINGLE = 3
@@ -29,7 +29,6 @@ BLOCK_WINDOWS = 200_000
 #: Bytes outside [0-9A-Za-z] and non-ASCII separate words; A-Z become lower case.
 _FOLD = bytes(b if chr(b) in "0123456789abcdefghijklmnopqrstuvwxyz" or b >= 0x80 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 
-_HASHES = WordHashes()
 
 
 def item_words(text: bytes) -> list[bytes]:
@@ -43,7 +42,7 @@ class WindowIndex:
         self.windows, self.owners = windows, owners
         places: dict[int, list[tuple[int, int]]] = {}
         for w, listed in enumerate(windows):
-            shingles = shingle_hashes(_HASHES.of(list(listed)), SHINGLE).tolist()
+            shingles = shingle_hashes(word_ids(list(listed)), SHINGLE).tolist()
             place = min(range(len(shingles)), key=lambda p: (counts.get(shingles[p], 0), shingles[p]))
             # Short windows are shorter than a shingle: their key is the run of their own length.
             places.setdefault((shingles[place], min(len(listed), SHINGLE)), []).append((w, place))
@@ -98,7 +97,7 @@ def _shingle_counts(docs: DataFrame, wanted: np.ndarray, text_col: str) -> dict[
         def work(batch):
             total = np.zeros(len(keys), np.int64)
             for text in text_bytes(batch.column(0)):
-                ids = _HASHES.of(item_words(text))
+                ids = word_ids(item_words(text))
                 if len(ids) >= SHINGLE:
                     at = shingle_hashes(ids, SHINGLE)
                     near = np.searchsorted(keys, at)
@@ -150,7 +149,7 @@ def scan(
     part = next(parts, [])
     while part is not None:
         after = next(parts, None)
-        distinct = sorted({h for listed, _ in part if len(listed) >= SHINGLE for h in shingle_hashes(_HASHES.of(list(listed)), SHINGLE).tolist()})
+        distinct = sorted({h for listed, _ in part if len(listed) >= SHINGLE for h in shingle_hashes(word_ids(list(listed)), SHINGLE).tolist()})
         counts = _shingle_counts(docs, np.array(distinct, np.uint64), text_col) if distinct else {}
         out = _step(out, context.broadcast((part, counts)), text_col, carry_text or after is not None)
         part = after
@@ -174,7 +173,7 @@ def _step(docs: DataFrame, handed, text_col: str, carry_text: bool) -> DataFrame
             for text, (old_spans, old_items) in zip(text_bytes(batch.column(text_at)), before):
                 listed = item_words(text)
                 sizes.append(len(listed))
-                found = index.occurrences(listed, _HASHES.of(listed)) if listed else []
+                found = index.occurrences(listed, word_ids(listed)) if listed else []
                 if not found:
                     spans.append(old_spans)
                     items.append(old_items)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, map_batches, map_task, mix64, shared_table, shingle_hashes, text_bytes
+from .common import map_batches, map_task, mix64, shared_table, shingle_hashes, text_bytes, word_ids
 from .components import components
 
 WORDS = 5
@@ -38,13 +38,12 @@ BLOCK = 4096
 NEIGHBOUR_SHARE, SMALL = 8, 64
 SKETCH_WORDS = 8
 
-_HASHES = WordHashes()
 _U = np.uint64
 
 
 def shingle_set(text: bytes, words: int = WORDS) -> np.ndarray:
     """Distinct hashed shingles of a text, sorted."""
-    return np.unique(shingle_hashes(_HASHES.of(text.lower().split()), words))
+    return np.unique(shingle_hashes(word_ids(text.lower().split()), words))
 
 
 def linked(a: int, b: int, both: int) -> bool:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.scale import shared_folder
-from .common import map_batches
+from .common import forget_words, map_batches
 
 END_ID = 2
 VOCABULARY = "word_bpe_49k.json"
@@ -34,7 +34,7 @@ WRITER_OPTIONS = {
     "parquet.enable.dictionary": "false",
     "parquet.enable.dictionary#ids.list.element": "true",
 }
-#: Surface forms a Python worker remembers before it starts anew.
+#: Pieces a Python worker remembers before it starts anew; about 80 MB.
 FORM_LIMIT = 500_000
 
 
@@ -89,6 +89,11 @@ def _encoder(path: str | None) -> Encoder:
     return _ENCODERS[path]
 
 
+def forget_pieces() -> None:
+    """Free the encoders of a worker whose next tasks only read."""
+    _ENCODERS.clear()
+
+
 def encode(docs: DataFrame, path: str | None = None, end_id: int | None = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Ids per document in ascending order of the id, numbered within each task's shard.
 
@@ -100,6 +105,7 @@ def encode(docs: DataFrame, path: str | None = None, end_id: int | None = END_ID
     ordered = chosen.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
 
     def make():
+        forget_words()
         encoder, state = _encoder(path), {"start": 0}
         shard = TaskContext.get().partitionId()
 
@@ -150,6 +156,8 @@ def checksums(tokens: DataFrame) -> DataFrame:
     """Per document: start, number of ids and the CRC-32 of the ids as little-endian 32-bit numbers."""
 
     def make():
+        forget_pieces()
+
         def work(batch):
             lists = batch.column(3)
             flat = np.asarray(lists.flatten(), "<u4").tobytes()
