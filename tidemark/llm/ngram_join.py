@@ -33,7 +33,7 @@ from .components import components
 
 WORDS = 5
 #: Members of a signature's group that one comparison block holds.
-BLOCK = 4096
+BLOCK = 1024
 #: One signature in this many is used to link nearest neighbours; small sets use all.
 NEIGHBOUR_SHARE, SMALL = 8, 64
 SKETCH_WORDS = 8
@@ -220,12 +220,12 @@ def verify(pairs: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col:
     return map_batches(joined, make, "x bigint, y bigint").distinct()
 
 
-def _blocked(members: DataFrame, pairwise: bool) -> DataFrame:
-    """Members of signature groups dealt to comparison blocks, at most two blocks per group key."""
-    from pyspark.sql import Window
+def _blocked(members: DataFrame, large: DataFrame, pairwise: bool) -> DataFrame:
+    """Members of signature groups dealt to comparison blocks, at most two blocks per group key.
 
-    size = F.count("*").over(Window.partitionBy("sign"))
-    blocks = members.withColumn("blocks", F.ceil(size / BLOCK).cast("int"))
+    ``large`` has the number of blocks of the groups that need more than one.
+    """
+    blocks = members.join(large, "sign", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     side = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
     sided = blocks.withColumn("side", side)
     if pairwise:
@@ -269,9 +269,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.when(one_text, F.max("n_shingles")).otherwise(-1).alias("n_shingles"), F.max("sketch").alias("sketch")
     )
 
+    sizes = grouped.groupBy("sign").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    large = shared_table(sizes.where("blocks > 1"), "join-large")
     chosen = grouped.join(traits, "doc_id").withColumn("label", F.col("doc_id"))
     first = chosen.where(f"n_shingles < {SMALL} or pmod(sign, {NEIGHBOUR_SHARE}) = 0")
-    near = shared_table(_pairs_of_blocks(_blocked(first, False), True).distinct(), "join-near")
+    near = shared_table(_pairs_of_blocks(_blocked(first, large, False), True).distinct(), "join-near")
     links = shared_table(verify(near, docs, id_col, text_col).unionByName(same), "join-links")
     found = components(links)
 
@@ -279,7 +281,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labelled = labelled.select("sign", "doc_id", F.coalesce("component", "doc_id").alias("label"))
     open_signs = labelled.groupBy("sign").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b").select("sign")
     left = labelled.join(open_signs, "sign", "left_semi").join(traits, "doc_id")
-    crossing = _pairs_of_blocks(_blocked(left, True), False).distinct()
+    crossing = _pairs_of_blocks(_blocked(left, large, True), False).distinct()
     crossing = shared_table(crossing.join(near, ["x", "y"], "left_anti"), "join-crossing")
     more = verify(crossing, docs, id_col, text_col)
     joined = shared_table(links.unionByName(more), "join-all-links")
