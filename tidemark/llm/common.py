@@ -33,6 +33,17 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def hash_sample(df: DataFrame, n: int) -> DataFrame:
+    """At most ``n`` different rows, those with the lowest hashes; the same ones every time.
+
+    Hashes are compared first and without the rows, so texts of the sample only are moved.
+    """
+    hashed = df.withColumn("__h", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    cut = hashed.select("__h").distinct().orderBy("__h").limit(n).agg(F.max("__h")).first()[0]
+    few = hashed.where(F.col("__h") <= F.lit(cut)) if cut is not None else hashed.limit(0)
+    return few.dropDuplicates(["__h"]).drop("__h")
+
+
 def words(text: Column) -> Column:
     """Words of a text (runs without space, tab, line feed, vertical tab, form feed, return); null: none."""
     parts = F.split(F.coalesce(text, F.lit("")), SPACE_CLASS + "+")

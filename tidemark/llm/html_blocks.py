@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches
+from .common import hash_sample, map_batches
 
 #: Pages used for training, rounds over them and blocks of a training sequence.
 TRAINING_PAGES, ROUNDS, LONGEST = 128, 15, 32
@@ -361,8 +361,8 @@ def train(pages: Sequence[str], rounds: int = ROUNDS, seed: int = 7) -> Net:
 def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample: int = TRAINING_PAGES) -> Net:
     """Train on at most ``sample`` pages, chosen by a hash of id and page."""
     some = pages.select(F.col(id_col).cast("string").alias("id"), F.col(html_col).alias("html")).where("html is not null")
-    chosen = some.orderBy(F.xxhash64("id", "html"), "id").limit(sample).select("html")
-    return train([r["html"] for r in chosen.toLocalIterator()])
+    chosen = sorted((r["id"] or "", r["html"]) for r in hash_sample(some, sample).collect())
+    return train([page for _, page in chosen])
 
 
 def extract(pages: DataFrame, net: Net, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

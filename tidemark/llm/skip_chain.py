@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Spans, map_batches
+from .common import Spans, hash_sample, map_batches
 
 KINDS = ("email", "ip", "card", "phone")
 #: Documents with active words that training may read, and its length.
@@ -267,8 +267,8 @@ def more_spans(g: Graph, marginals: np.ndarray, base: list[tuple[int, int, int]]
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = TRAINING_DOCS) -> Field:
     """Train on at most ``sample`` documents with active words, chosen by a hash of id and text."""
     active = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).where(F.col("text").rlike("[0-9@+]"))
-    chosen = active.orderBy(F.xxhash64("id", "text"), "id", "text").limit(sample).select("text")
-    graphs = [(graph(r["text"]), base_spans(r["text"])) for r in chosen.toLocalIterator()]
+    chosen = sorted((r["id"] or "", r["text"]) for r in hash_sample(active, sample).collect())
+    graphs = [(graph(text), base_spans(text)) for _, text in chosen]
     return train([(g, node_labels(g, base)) for g, base in graphs if g is not None])
 
 
