@@ -8,6 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_tools import documents, odd_rows, sentence
 from tidemark.llm import randomness, skip_chain
+from tidemark.llm.common import Spans
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
@@ -35,6 +36,13 @@ def test_fixed_private_patterns(text):
     assert skip_chain.base_spans(text) == private(text)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 40), st.integers(0, 3), st.integers(1, 9)), max_size=8), st.integers(0, 40), st.integers(1, 9))
+def test_spans_met(rows, start, length):
+    spans = [(a, k, a + n) for a, k, n in rows]
+    assert Spans(spans).meet(start, start + length) == any(a < start + length and start < b for a, _, b in spans)
+
+
 ASSIGN = re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
 
 
