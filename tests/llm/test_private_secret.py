@@ -147,3 +147,36 @@ def test_secret_report(spark):
     assert got[70]["spans"] == f"random:7:{7 + len(key)}" and got[70]["n_assign"] == 0
     assert got[71]["n_assign"] == 1 and got[71]["n_random"] == 0 and got[71]["spans"] == "assign:0:19"
     assert got[1]["spans"] == "" and got[8]["spans"] == ""
+
+
+def test_keys_are_found_however_few_plain_words_share_their_length():
+    rng = random.Random(5)
+    letters = string.ascii_letters + string.digits
+    words = ["page", "green", "mountain", "river", "holiday", "winter", "garden", "letters"]
+    slugs = ["-".join(rng.choice(words) for _ in range(12)) for _ in range(400)]
+    for length in (20, 28, 36, 50, 70):
+        keys = ["".join(rng.choice(letters) for _ in range(length - 1)) + "7" for _ in range(10)]
+        dull = [s[: length - 2] + f"-{rng.randrange(10)}" for s in slugs[:200]]
+        plain = [s[:length] for s in slugs[200:250]]
+        rules = ["-" * length, "_" * length, "-/" * (length // 2)]
+        for context in ([], plain[:1], plain, rules, rules * 500, plain + rules * 500):
+            candidates, counted = {}, {}
+            for text in keys + dull + context:
+                _, listed, words_seen = randomness._describe(text)
+                for _, _, p in listed:
+                    candidates[p] = candidates.get(p, 0) + 1
+                for p in words_seen:
+                    counted[p] = counted.get(p, 0) + 1
+            found = randomness.discoveries(candidates, counted, 0.01)
+            assert sum(randomness.place(k) in found for k in keys) >= 8
+            assert not any(randomness.place(d) in found for d in dull)
+
+
+def test_one_planted_key_is_reported_with_0_1_and_50_plain_runs(spark):
+    key = "q7Zr2LkX9vTb4WmN8sYc"
+    for n in (0, 1, 50):
+        rows = [(i, "plainwordsandnothingelse"[:21] + " word", None) for i in range(n)]
+        rows += [(900, f"key is {key} there", None), (901, "-" * 22, None)]
+        found = randomness.find(documents(spark, rows))
+        got = {r["doc_id"]: r for r in randomness.report(found, randomness.accepted_places(found)).collect()}
+        assert got[900]["spans"] == f"random:7:{7 + len(key)}" and sum(r["n_random"] for r in got.values()) == 1

@@ -6,11 +6,13 @@ come from a uniform source: chi-squared over equal parts of the alphabet, runs a
 below its middle, and serial correlation of neighbours. Their p-values are combined to one
 score; random strings score high, words low.
 
-How high is high depends on length and encoding, so scores are compared with those of the
-corpus's own long words without digits, per length class: a candidate's p-value is the share of
-such words that score as high. The Benjamini-Hochberg step over the counted p-values of all
-candidates gives the scores accepted at the wanted false-discovery rate. Only counts per class
-and score, a few hundred at most, meet in one place.
+A candidate that passes the battery is compared with plain words: its p-value is its probability
+under a character model of words and numbers over that under its alphabet. By Markov's inequality
+a plain string has a ratio under r with probability r at most, at any length, so no words
+have to be counted first. The corpus's own long words without digits correct the model, which
+weighs as much as MODEL_WEIGHT of them; rules and dividers are no words. The Benjamini-Hochberg
+step over the counted p-values of all candidates gives those accepted at the wanted
+false-discovery rate. Only counts per length class and level, a few hundred at most, meet in one place.
 """
 
 from __future__ import annotations
@@ -48,9 +50,25 @@ ENCODINGS = {
     "base64url": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
 }
 _ORDER = {name: {c: i for i, c in enumerate(letters)} for name, letters in ENCODINGS.items()}
-#: Length classes by their lower ends, and bins of the score.
+#: Length classes by their lower ends, and levels of the p-value: two for each power of ten.
 LENGTHS = (20, 24, 32, 40, 64)
 BINS = 32
+#: Scores under this are not random.
+UNIFORM = 0.01
+#: The character model weighs as much as so many of the corpus's words.
+MODEL_WEIGHT = 10_000
+#: The character model's letters follow each other as in these words.
+WORDS = """the of and to in is that for it was on are as with his they at be this have from or one had by word but not
+what all were we when your can said there use an each which she do how their if will up other about out many then them
+these so some her would make like him into time has look two more write go see number no way could people my than first
+water been call who oil its now find long down day did get come made may part over new sound take only little work know
+place year live me back give most very after thing our just name good sentence man think say great where help through
+much before line right too mean old any same tell boy follow came want show also around form three small set put end
+does another well large must big even such because turn here why ask went men read need land different home us move try
+kind hand picture again change off play spell air away animal house point page letter mother answer found study still
+learn should system server config update client request response handler index value table user file data test error
+message version service default process group report summary article section category product archive content queue
+zone size journal exact quick jump fix max japan quiz""".split()
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -112,13 +130,60 @@ def score(run: str) -> float:
     return math.exp(-half) * (1 + half + half * half / 2)
 
 
+def _letter_costs() -> np.ndarray:
+    """Minus log probabilities of a letter after a letter; row 26 has those of a letter after anything else."""
+    pairs, firsts = np.full((27, 26), 0.5), np.zeros(26)
+    for w in WORDS:
+        at = [ord(c) - 97 for c in w]
+        firsts[at[0]] += 1
+        np.add.at(pairs, ([26] * len(at), at), 1)
+        np.add.at(pairs, (at[:-1], at[1:]), 1)
+    for w in WORDS:
+        pairs[ord(w[-1]) - 97] += firsts / firsts.sum()
+    return -np.log(pairs / pairs.sum(axis=1, keepdims=True))
+
+
+_LETTERS = _letter_costs().tolist()
+#: What follows a letter, digit or sign: a letter, a digit or a sign.
+_NEXT = (-np.log([[0.86, 0.07, 0.07], [0.2, 0.7, 0.1], [0.8, 0.15, 0.05]])).tolist()
+#: In strings of both cases: lower or upper after a lower letter, an upper one, or none.
+_CASE = (-np.log([[0.85, 0.15], [0.6, 0.4], [0.5, 0.5]])).tolist()
+
+
+def plain_cost(run: str) -> float:
+    """Minus log probability of a run under the character model of words and numbers."""
+    one_case = run in (run.lower(), run.upper())
+    total, before, kind, case = 0.0, 26, 2, 2
+    for c in run:
+        now = 0 if c.isalpha() else 1 if c.isdigit() else 2
+        total += _NEXT[kind][now]
+        if now == 0:
+            letter, up = ord(c.lower()) - 97, int(c.isupper())
+            total += _LETTERS[before][letter] + (0.0 if one_case else _CASE[case][up])
+            before, case = letter, up
+        else:
+            total += math.log(10) if now == 1 else math.log(4)
+            before, case = 26, 2
+        kind = now
+    return total
+
+
 def place(run: str) -> int:
-    """Length class and score bin of a run as one number; bins follow the logarithm of the score."""
-    size = sum(len(run) >= low for low in LENGTHS) - 1
-    level = max(0, min(BINS - 1, BINS - 1 + math.floor(4 * math.log10(max(score(run), 1e-300)))))
+    """Length class and level of a run as one number; a level of n means a p-value of at most 10^(-n/2)."""
+    size, name, level = sum(len(run) >= low for low in LENGTHS) - 1, encoding(run), 0
+    if name is not None and score(run) > UNIFORM:
+        text = run.rstrip("=")
+        # The alphabet is chosen by the run, one of all.
+        gain = plain_cost(text) - len(text) * math.log(len(_ORDER[name])) - math.log(len(ENCODINGS))
+        level = max(0, min(BINS - 1, math.floor(2 * gain / math.log(10))))
     return size * BINS + level
 
 
+def word_like(run: str) -> bool:
+    """Mostly letters, and not one character over and over: rules and dividers are no words."""
+    return len(set(run)) > 1 and 2 * sum(c.isalpha() for c in run) > len(run)
+
+
 def _describe(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], list[int]]:
     """Fixed spans, candidates (start, end, place) and the places of long words without digits."""
     base = base_spans(text)
@@ -129,7 +194,7 @@ def _describe(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, in
         if any(c.isdigit() for c in m[0]):
             if not fixed.meet(m.start(), m.end()):
                 candidates.append((m.start(), m.end(), place(m[0])))
-        else:
+        elif word_like(m[0]):
             plain.append(place(m[0]))
     return base, candidates, plain
 
@@ -173,12 +238,12 @@ def accepted_places(found: DataFrame, rate: float = FALSE_DISCOVERIES) -> list[i
 
 
 def discoveries(candidates: dict[int, int], plain: dict[int, int], rate: float) -> set[int]:
-    """Benjamini-Hochberg over counted places; words of all lengths stand in where a length has none."""
+    """Benjamini-Hochberg over counted places; p-values mix the model's with the shares of counted words."""
     def share(p: int) -> float:
         size, level = divmod(p, BINS)
-        own = {q: n for q, n in plain.items() if q // BINS == size} or plain
+        own = {q: n for q, n in plain.items() if q // BINS == size}
         high = sum(n for q, n in own.items() if q % BINS >= level)
-        return (1 + high) / (1 + sum(own.values()))
+        return (high + MODEL_WEIGHT * 10 ** (-level / 2)) / (MODEL_WEIGHT + sum(own.values()))
 
     total, before, best = sum(candidates.values()), 0, -1.0
     ordered = sorted((share(p), p) for p in candidates)
