@@ -104,3 +104,73 @@ def test_held_out_texts_cost_fewer_bits_than_noise(spark):
     rows = [(i, t, None) for i, t in zip(rest, texts[1:])] + [(held[0], texts[0], None), (held[1], noise, None)]
     bits = {r["doc_id"]: r["bits_per_byte"] for r in context_tree.score(documents(spark, rows)).collect()}
     assert bits[held[0]] < 4 < bits[held[1]]
+
+
+class DeepBrute:
+    """Context-tree weighting of any depth with plain dictionaries."""
+
+    def __init__(self, texts, depth):
+        self.depth, self.n, self.below = depth, defaultdict(lambda: [0, 0]), defaultdict(set)
+        for text in texts:
+            for nodes, bit in self.decisions(text):
+                for node in nodes:
+                    self.n[node][bit] += 1
+        for context, bits in list(self.n):
+            if context:
+                self.below[context[1:], bits].add(context)
+        self.weighted = cache(self.weighted)
+
+    def decisions(self, text):
+        padded = b"\0" * self.depth + text
+        for i in range(len(text)):
+            before, byte = padded[i : i + self.depth], padded[i + self.depth]
+            for place in range(8):
+                bits = (1, byte >> (8 - place), place)
+                yield [(before[self.depth - d :], bits) for d in range(self.depth + 1)], byte >> (7 - place) & 1
+
+    def estimate(self, node):
+        a, b = self.n.get(node, (0, 0))
+        return math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.lgamma(a + b + 1) - math.log(math.pi)
+
+    def weighted(self, node):
+        own = self.estimate(node)
+        if len(node[0]) == self.depth:
+            return own
+        return np.logaddexp(own, sum(self.weighted((c, node[1])) for c in self.below.get(node, ()))) - math.log(2)
+
+    def score(self, text):
+        total = 0.0
+        for nodes, bit in self.decisions(text):
+            p = None
+            for node in reversed(nodes):
+                seen = self.n.get(node, (0, 0))
+                k = (seen[bit] + 0.5) / (sum(seen) + 1)
+                stop = 1.0 if p is None else math.exp(self.estimate(node) - math.log(2) - self.weighted(node))
+                p = k if p is None else stop * k + (1 - stop) * p
+            total += math.log10(p)
+        return total
+
+
+@pytest.mark.parametrize("depth", [3, 5, 6])
+def test_deep_scores_equal_plain_python(spark, monkeypatch, depth):
+    monkeypatch.setattr(context_tree, "BATCH_BYTES", 3000)
+    monkeypatch.setattr(context_tree, "BATCH_GRAMS", 500)
+    texts = [r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(15).collect()]
+    rows = [r for r in odd_rows() if len(r[1] or "") < 5000] + [(50 + i, t[:400], None) for i, t in enumerate(texts)]
+    held = lambda i: zlib.crc32(str("" if i is None else i).encode()) % 5 == 1
+    model = DeepBrute([lower(t) for i, t, _ in rows if not held(i)], depth)
+    got = sorted(((r["doc_id"], r["score"]) for r in context_tree.score(documents(spark, rows), depth=depth).collect()), key=str)
+    for one, other in zip(got, sorted(((i, model.score(lower(t))) for i, t, _ in rows), key=str), strict=True):
+        assert one[0] == other[0] and one[1] == pytest.approx(other[1], rel=1e-5, abs=1e-6)
+
+
+def test_wrong_words_of_usual_triples_cost_more(spark):
+    """Cyclic words whose triples are all seen, in an order only longer contexts can tell."""
+    right, wrong = "abcdeabcxe " * 40, "abcdeabcdeabcxeabcxe " * 20
+    held = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5 == 1][:2]
+    rest = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5 != 1][:50]
+    rows = [(i, right, None) for i in rest] + [(held[0], right, None), (held[1], wrong, None)]
+    cost = lambda **more: {r["doc_id"]: r["bits_per_byte"] for r in context_tree.score(documents(spark, rows), **more).collect()}
+    deep, flat = cost(depth=context_tree.DEPTH), cost()
+    assert deep[held[0]] < 0.02 < flat[held[0]]
+    assert deep[held[1]] - deep[held[0]] > 1.5 * (flat[held[1]] - flat[held[0]])

@@ -1,23 +1,28 @@
 """Context-tree weighting over bytes, and an add-half word model beside it.
 
-Each byte is eight binary decisions, each in the context of up to two bytes before it (zero
-bytes before the text). Every node of the tree, a context of 0, 1 or 2 bytes and the bits seen
-of the current byte, has a Krichevsky-Trofimov estimate from its counts, and its weighted
+Each byte is eight binary decisions, each in the context of up to DEPTH bytes before it (zero
+bytes before the text). Every node of the tree, a context of that many bytes or fewer and the
+bits seen of the current byte, has a Krichevsky-Trofimov estimate from its counts, and its weighted
 probability is half the estimate and half the product of its children's. What the model says of
-a byte mixes the estimates of all depths by these weights. At depth two there are at most
-2^24 counts, which bounds both what the driver gathers and what the tasks are handed.
-
-Word counts have no such bound and never leave the executors. Documents are dealt to batches
-of bounded size; each batch states its distinct words, the words meet their corpus counts
-in one shuffle, and the counts a batch needs come back to its documents.
+a byte mixes the estimates of all depths by these weights.
+
+Neither the counts of contexts with their byte (grams) nor word counts have a bound, and they never
+leave the executors. Documents are dealt to batches of bounded size; each batch states its distinct
+words and grams, which meet their corpus counts in one shuffle each. Grams are dealt by the
+last three bytes of their contexts, so a task holds whole subtrees below depth two and forms their
+weights; what these sum to per context of two bytes, at most 2^24 numbers, goes to the driver,
+which adds the two top levels. What the model says of each gram a batch needs comes back to its documents
+with the word counts.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,10 +34,13 @@ BATCH_BYTES = 16 << 20
 END = b" end"
 #: Words of a batch a task gathers before it states the distinct ones.
 BATCH_WORDS = 4_000_000
+#: Grams of a batch a task gathers before it states the distinct ones.
+BATCH_GRAMS = 4_000_000
 #: Contexts whose counts are worked on at once.
 SLICE = 4096
-_CELLS = 1 << 24
-
+#: Bytes of context; a gram of six and a flag fit in 64 bits.
+DEPTH = 5
+_SMALL = 1 << 12
 
 
 def held_out(doc_id: Column) -> Column:
@@ -51,17 +59,21 @@ def _with_ends(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return word_ids(listed).view(np.int64), np.array(sizes, np.int64)
 
 
-def _cells(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Context and byte of every byte, as one 24-bit number, and where each text begins."""
+def _grams(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Context and byte of every byte as one number, and where each text begins."""
     if not texts:
-        return np.zeros(0, np.uint32), np.zeros(1, np.int64)
-    joined = np.frombuffer(b"\0\0" + b"\0\0".join(t.lower() for t in texts) + b"\0\0", np.uint8).astype(np.uint32)
-    cell = (joined[:-2] << 16) | (joined[1:-1] << 8) | joined[2:]
+        return np.zeros(0, np.int64), np.zeros(1, np.int64)
+    gap = b"\0" * depth
+    joined = np.frombuffer(gap + gap.join(t.lower() for t in texts) + gap, np.uint8)
+    gram = np.zeros(len(joined) - depth, np.int64)
+    for i in range(depth + 1):
+        gram = (gram << 8) | joined[i : len(joined) - depth + i]
     lengths = np.array([len(t) for t in texts], np.int64)
-    starts = np.concatenate([[0], np.cumsum(lengths + 2)])[:-1]
-    own = np.ones(len(cell), bool)
-    own[starts + lengths] = own[starts + lengths + 1] = False
-    return cell[own], np.concatenate([[0], np.cumsum(lengths)])
+    starts = np.concatenate([[0], np.cumsum(lengths + depth)])[:-1]
+    own = np.ones(len(gram), bool)
+    for i in range(depth):
+        own[starts + lengths + i] = False
+    return gram[own], np.concatenate([[0], np.cumsum(lengths)])
 
 
 def _batched(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -73,43 +85,73 @@ def _batched(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return chosen.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"), batch.alias("batch"))
 
 
-def _statements(batched: DataFrame) -> DataFrame:
-    """Rows (batch, word, n): a batch's distinct words with their training counts.
+class _Pile:
+    """Distinct grams of a batch, each doubled and one more in training texts, with their counts."""
 
-    Rows with a null batch are byte cells with their training counts.
-    """
+    def __init__(self):
+        self.raw, self.keys, self.counts = [], np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, grams: np.ndarray, train: bool) -> None:
+        self.raw.append((grams << 1) | int(train))
+        if sum(map(len, self.raw)) > BATCH_GRAMS // 8:
+            self.merge()
+
+    def merge(self) -> None:
+        if self.raw:
+            keys, counts = np.unique(np.concatenate(self.raw), return_counts=True)
+            self.raw = []
+            both = np.concatenate([self.keys, keys])
+            order = np.argsort(both, kind="stable")
+            both, n = both[order], np.concatenate([self.counts, counts])[order]
+            first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]])) if len(both) else np.zeros(0, np.int64)
+            self.keys, self.counts = both[first], np.add.reduceat(n, first) if len(first) else n
+
+    def state(self, batch: int) -> Iterator[pa.RecordBatch]:
+        self.merge()
+        if len(self.keys):
+            gram = self.keys >> 1
+            first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
+            yield _rows(True, batch, gram[first], np.add.reduceat(np.where(self.keys & 1, self.counts, 0), first))
+        self.__init__()
+
+
+def _rows(gram: bool, batch: int, word: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    columns = [np.full(len(word), gram), np.full(len(word), batch, np.int32), word, n.astype(np.int64)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["gram", "batch", "word", "n"])
+
+
+def _statements(batched: DataFrame, depth: int) -> DataFrame:
+    """Rows (gram, batch, word, n): a batch's distinct words and grams with their training counts."""
 
     def run(batches):
-        cells, words, waiting = np.zeros(_CELLS, np.int32), {}, []
+        words, piles = {}, {}
         for record in batches:
             for at in range(0, record.num_rows, 512):
                 piece = record.slice(at, 512)
                 texts, train = text_bytes(piece.column(1)), ~np.asarray(piece.column(2).to_numpy(zero_copy_only=False), bool)
                 hashes, sizes = _with_ends(texts)
+                batch = np.asarray(piece.column(3))
                 counted = np.repeat(train, sizes)
-                of = np.repeat(np.asarray(piece.column(3)), sizes)
-                for b in np.unique(of):
+                of = np.repeat(batch, sizes)
+                for b in np.unique(batch):
                     here = of == b
                     words.setdefault(int(b), []).append((hashes[here], counted[here]))
-                waiting.append(_cells([t for t, yes in zip(texts, train) if yes])[0])
-                if sum(map(len, waiting)) > _CELLS // 2:
-                    cells += np.bincount(np.concatenate(waiting), minlength=_CELLS).astype(np.int32)
-                    waiting = []
+                    pile = piles.setdefault(int(b), _Pile())
+                    for kind in (False, True):
+                        pile.add(_grams([t for t, i, yes in zip(texts, batch, train) if i == b and yes == kind], depth)[0], kind)
+                    if len(pile.keys) > BATCH_GRAMS:
+                        yield from pile.state(int(b))
                 for b, parts in words.items():
                     if sum(len(p[0]) for p in parts) > BATCH_WORDS:
                         yield _words(b, parts)
                         words[b] = []
-        for b, parts in words.items():
-            if parts:
-                yield _words(b, parts)
-        if waiting:
-            cells += np.bincount(np.concatenate(waiting), minlength=_CELLS).astype(np.int32)
-        some = np.flatnonzero(cells)
-        nothing = pa.nulls(len(some), pa.int32())
-        yield pa.RecordBatch.from_arrays([nothing, pa.array(some), pa.array(cells[some].astype(np.int64))], ["batch", "word", "n"])
+        for b in list(piles):
+            yield from piles.pop(b).state(b)
+            if words[b]:
+                yield _words(b, words.pop(b))
 
     dealt = batched.repartition("batch").select("doc_id", "text", "held_out", "batch")
-    return map_task(dealt, run, "batch int, word bigint, n bigint")
+    return map_task(dealt, run, "gram boolean, batch int, word bigint, n bigint")
 
 
 def _words(batch: int, parts: list) -> pa.RecordBatch:
@@ -117,7 +159,7 @@ def _words(batch: int, parts: list) -> pa.RecordBatch:
     counted = np.concatenate([p[1] for p in parts])
     distinct, place = np.unique(hashes, return_inverse=True)
     n = np.bincount(place, weights=counted, minlength=len(distinct)).astype(np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(distinct), batch, np.int32)), pa.array(distinct), pa.array(n)], ["batch", "word", "n"])
+    return _rows(False, batch, distinct, n)
 
 
 def _log_gamma(x: np.ndarray) -> np.ndarray:
@@ -128,88 +170,210 @@ def _log_gamma(x: np.ndarray) -> np.ndarray:
     return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y**3) - steps
 
 
-class ContextTree:
-    """Mixed log10 probabilities of a byte after two bytes, from counts per (two bytes, byte)."""
+#: Logarithms of the gamma function at n + 1/2 and n + 1 for small n.
+_HALVES, _WHOLES = (_log_gamma(np.arange(_SMALL) + x) for x in (0.5, 1.0))
+
+
+def _gamma_of(n: np.ndarray, table: np.ndarray, more: float) -> np.ndarray:
+    out = table[np.minimum(n, _SMALL - 1).astype(np.int64)]
+    large = n >= _SMALL
+    if large.any():
+        out[large] = _log_gamma(n[large] + more)
+    return out
+
+
+def _estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Log of the Krichevsky-Trofimov probability of the counted decisions."""
+    return _gamma_of(a, _HALVES, 0.5) + _gamma_of(b, _HALVES, 0.5) - _gamma_of(a + b, _WHOLES, 1.0) - math.log(math.pi)
+
+
+_HALF = math.log(2)
+
+
+class Subtrees:
+    """Whole subtrees below contexts of two bytes, from distinct grams with their counts."""
+
+    def __init__(self, grams: np.ndarray, counts: np.ndarray, depth: int):
+        #: Per depth, from the deepest: sorted (context, byte), counts, and the place of each gram.
+        self.depths, place, keys, n = [], np.arange(len(grams)), grams, counts.astype(np.float64)
+        for d in range(depth, 1, -1):
+            keys, back = np.unique(keys & ((1 << (8 * d + 8)) - 1), return_inverse=True)
+            n, place = np.bincount(back, weights=n, minlength=len(keys)), back[place]
+            self.depths.append((keys, n, place, back))
 
-    def __init__(self, cells: np.ndarray, counts: np.ndarray):
+    def cells(self) -> tuple[np.ndarray, np.ndarray]:
+        """Context of two bytes and byte, with their counts."""
+        return self.depths[-1][0], self.depths[-1][1]
+
+    def levels(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray | None]]:
+        """Per bit of the byte: nodes of depth two, the log product of their children, and the
+        mixture of the depths from three on for each gram (none at depth two)."""
+        for level in range(8):
+            child, at_child, mixes = None, None, []
+            for keys, n, place, back in self.depths[:-1]:
+                group, first = self._groups(keys, level)
+                bit = (keys >> (7 - level)) & 1
+                ones = np.bincount(group, weights=n * bit, minlength=len(first))
+                zeros = np.bincount(group, weights=n, minlength=len(first)) - ones
+                e = _estimate(zeros, ones)
+                if child is None:
+                    w, stop = e, np.ones(len(first))
+                else:
+                    below = np.bincount(group[back[at_child]], weights=child, minlength=len(first))
+                    w = np.logaddexp(e, below) - _HALF
+                    stop = np.exp(e - _HALF - w)
+                k = (np.where(bit, ones[group], zeros[group]) + 0.5) / ((ones + zeros)[group] + 1.0)
+                mixes.append((place, stop[group], k))
+                child, at_child = w, first
+            keys = self.depths[-1][0]
+            group, first = self._groups(keys, level)
+            nodes = (keys[first] >> 8 << 8) | (1 << level) | ((keys[first] & 255) >> (8 - level))
+            if child is None:
+                yield nodes, np.zeros(len(first)), None
+                continue
+            below = np.bincount(group[self.depths[-1][3][at_child]], weights=child, minlength=len(first))
+            p = np.full(len(self.depths[0][2]), 0.5)
+            for place, stop, k in mixes:
+                p = stop[place] * k[place] + (1 - stop[place]) * p
+            yield nodes, below, p
+
+    @staticmethod
+    def _groups(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+        """Node of each (context, byte) at a bit, and the first of each node."""
+        node = keys >> (8 - level)
+        new = np.concatenate([[True], node[1:] != node[:-1]])
+        return np.cumsum(new) - 1, np.flatnonzero(new)
+
+
+class Top:
+    """The two top levels and depth two: of each decision, the part that depths up to two give and the weight of those below."""
+
+    def __init__(self, cells: np.ndarray, counts: np.ndarray, nodes: np.ndarray, products: np.ndarray, leaves: bool):
         contexts, row = np.unique(cells >> 8, return_inverse=True)
         deep = np.zeros((len(contexts), 256))
-        np.add.at(deep, (row, cells & 255), counts)
+        deep[row, cells & 255] = counts
+        below = np.zeros((len(contexts), 256))
+        below[np.searchsorted(contexts, nodes >> 8), nodes & 255] = products
+        last = contexts & 255
         shallow = np.zeros((256, 256))
-        np.add.at(shallow, contexts & 255, deep)
+        np.add.at(shallow, last, deep)
         root = shallow.sum(axis=0, keepdims=True)
-        # Per context seen, then per last byte for contexts never seen.
-        table = np.zeros((len(contexts) + 256, 256))
-        last = contexts & 255
+        self.contexts = contexts
+        self.own, self.rest = np.zeros((len(contexts), 256), np.float32), np.zeros((len(contexts), 256), np.float32)
         for level in range(8):
-            size = 1 << (7 - level)
-            split = lambda c, s=size: c.reshape(len(c), -1, 2, s).sum(axis=3)
+            at, size = slice(1 << level, 2 << level), 1 << (7 - level)
+            split = lambda c, s=size: np.moveaxis(c.reshape(len(c), -1, 2, s).sum(axis=3), 2, 0)
             slices = [slice(i, i + SLICE) for i in range(0, len(contexts), SLICE)]
             n1, n0 = split(shallow), split(root)
-            e1, e0 = self._estimate(n1), self._estimate(n0)
+            e1, e0 = _estimate(*n1), _estimate(*n0)
             below1 = np.zeros_like(e1)
             for part in slices:
-                np.add.at(below1, last[part], self._estimate(split(deep[part])))
-            half = math.log(2)
-            w1 = np.logaddexp(e1, below1) - half
-            w0 = np.logaddexp(e0, w1.sum(axis=0, keepdims=True)) - half
-            stop1, stop0 = (np.exp(e - half - w)[..., None] for e, w in ((e1, w1), (e0, w0)))
-            k1, k0 = self._next(n1), self._next(n0)
-
-            def mixed(k2: np.ndarray, at: np.ndarray) -> np.ndarray:
-                bits = stop0 * k0 + (1 - stop0) * (stop1[at] * k1[at] + (1 - stop1[at]) * k2)
-                return np.repeat(np.log10(bits).reshape(len(at), -1), size, axis=1)
-
+                e2 = _estimate(*split(deep[part]))
+                np.add.at(below1, last[part], e2 if leaves else np.logaddexp(e2, below[part, at]) - _HALF)
+            w1 = np.logaddexp(e1, below1) - _HALF
+            w0 = np.logaddexp(e0, w1.sum(axis=0, keepdims=True)) - _HALF
+            stop1, stop0 = np.exp(e1 - _HALF - w1), np.exp(e0 - _HALF - w0)
+            k1, k0 = self._one(n1), self._one(n0)
             for part in slices:
-                table[:-256][part] += mixed(self._next(split(deep[part])), last[part])
-            table[-256:] += mixed(np.full((256, *n1.shape[1:]), 0.5), np.arange(256))
-        self.table = table.astype(np.float32)
-        self.row = (np.arange(65536) & 255).astype(np.int32) + len(contexts)
-        self.row[contexts] = np.arange(len(contexts))
+                n2, to = split(deep[part]), last[part]
+                e2 = _estimate(*n2)
+                stop2 = np.ones_like(e2) if leaves else np.exp(e2 - np.logaddexp(e2, below[part, at]))
+                self.own[part, at] = stop0 * k0 + (1 - stop0) * (stop1[to] * k1[to] + (1 - stop1[to]) * stop2 * self._one(n2))
+                self.rest[part, at] = (1 - stop0) * (1 - stop1[to]) * (1 - stop2)
 
     @staticmethod
-    def _estimate(n: np.ndarray) -> np.ndarray:
-        """Log of the Krichevsky-Trofimov probability of the counted decisions."""
-        a, b = n[..., 0], n[..., 1]
-        return _log_gamma(a + 0.5) + _log_gamma(b + 0.5) - _log_gamma(a + b + 1.0) - math.log(math.pi)
-
-    @staticmethod
-    def _next(n: np.ndarray) -> np.ndarray:
-        return (n + 0.5) / (n.sum(axis=-1, keepdims=True) + 1.0)
-
-    def scores(self, texts: list[bytes]) -> np.ndarray:
-        """log10 probability of each text."""
-        cell, ends = _cells(texts)
-        each = self.table[self.row[cell >> 8], cell & 255].astype(np.float64)
-        total = np.concatenate([[0.0], np.cumsum(each)])
-        return total[ends[1:]] - total[ends[:-1]]
-
-
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    def _one(n: np.ndarray) -> np.ndarray:
+        return (n[1] + 0.5) / (n[0] + n[1] + 1.0)
+
+    def logs(self, grams: np.ndarray, counts: np.ndarray, depth: int) -> np.ndarray:
+        """log10 probability of the byte of each gram after its context."""
+        byte, row = grams & 255, np.searchsorted(self.contexts, (grams >> 8) & 0xFFFF)
+        total = np.zeros(len(grams))
+        for level, (_, _, p) in enumerate(Subtrees(grams, counts, depth).levels()):
+            node, bit = (1 << level) | (byte >> (8 - level)), (byte >> (7 - level)) & 1
+            own, rest = self.own[row, node].astype(np.float64), self.rest[row, node].astype(np.float64)
+            total += np.log10(np.where(bit, own, 1 - rest - own) + (0.0 if p is None else rest * p))
+        return total
+
+
+def _dealt(grams: DataFrame, depth: int) -> DataFrame:
+    """Grams by the last bytes of their contexts: three, or two where the tree has no more."""
+    return grams.repartition(F.col("word").bitwiseAND(F.lit((1 << (8 * min(depth, 3) + 8)) - 256)))
+
+
+def _whole(batches: Iterator[pa.RecordBatch]) -> pa.Table | None:
+    listed = [b for b in batches if b.num_rows]
+    return pa.Table.from_batches(listed).combine_chunks() if listed else None
+
+
+def _gram_logs(stated: DataFrame, depth: int) -> DataFrame:
+    """Rows (gram, batch, word, value): log10 probability of each gram a batch has stated."""
+    sums = stated.groupBy("word").agg(F.sum("n").alias("c"), F.collect_list("batch").alias("batches"))
+    counted = shared_table(sums, "gram-counts")
+
+    def weigh(batches):
+        table = _whole(batches)
+        if table is None:
+            return
+        trees = Subtrees(np.asarray(table.column("word")), np.asarray(table.column("c")), depth)
+        cells, n = trees.cells()
+        sides = [(False, cells, n)] + [(True, nodes, below) for nodes, below, _ in trees.levels()]
+        for side, word, value in sides:
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(word), side)), pa.array(word), pa.array(value)], ["node", "word", "value"])
+
+    weighed = map_task(_dealt(counted.select("word", "c"), depth), weigh, "node boolean, word bigint, value double")
+    top = weighed.groupBy("node", "word").agg(F.sum("value").alias("value")).toArrow()
+    node, word, value = (top.column(c).to_numpy() for c in ("node", "word", "value"))
+    node = node.astype(bool)
+    handed = stated.sparkSession.sparkContext.broadcast(Top(word[~node], value[~node], word[node], value[node], depth == 2))
+
+    def say(batches):
+        table = _whole(batches)
+        if table is None:
+            return
+        grams, lists = np.asarray(table.column("word")), table.column("batches").combine_chunks()
+        logs = handed.value.logs(grams, np.asarray(table.column("c")), depth)
+        for at in range(0, len(grams), 100_000):
+            part = lists.slice(at, 100_000)
+            of, batch = np.asarray(pa.compute.list_parent_indices(part)), pa.compute.list_flatten(part)
+            columns = [pa.array(np.full(len(of), True)), batch, pa.array(grams[at : at + 100_000][of]), pa.array(logs[at : at + 100_000][of])]
+            yield pa.RecordBatch.from_arrays(columns, ["gram", "batch", "word", "value"])
+
+    return map_task(_dealt(counted, depth), say, "gram boolean, batch int, word bigint, value double")
+
+
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = 2) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and bits_per_byte of every row.
 
-    Null and empty texts have one token, their end, and a score of 0. Without training documents
-    nothing is known and every byte is as likely as any other. Rows that repeat an id are scored one by one.
+    Contexts have up to ``depth`` bytes, 2 to 6. Null and empty texts have one token, their end, and a score of 0.
+    Without training documents nothing is known and every byte is as likely as any other. Rows that
+    repeat an id are scored one by one.
     """
+    if not 2 <= depth <= 6:
+        raise ValueError(f"depth {depth} is not between 2 and 6")
     batched = _batched(docs, id_col, text_col)
-    stated = _statements(batched)
-    of_word = Window.partitionBy("batch_is_null", "word")
-    flagged = stated.withColumn("batch_is_null", F.col("batch").isNull())
-    counted = flagged.select(
+    stated = shared_table(_statements(batched, depth), "statements")
+    words = stated.where("not gram")
+    of_word = Window.partitionBy("word")
+    counted = words.select(
         "batch", "word", F.sum("n").over(of_word).alias("c"), F.row_number().over(of_word.orderBy("batch")).alias("place")
     )
-    counted = shared_table(counted.where("batch is not null or place = 1"), "word-counts")
-    firsts = counted.where("place = 1 and c > 0 and batch is not null").agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0))).first()
+    counted = shared_table(counted, "word-counts")
+    firsts = counted.where("place = 1 and c > 0").agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0))).first()
     distinct, total = int(firsts[0]), int(firsts[1])
-    cells = counted.where("batch is null").select("word", "c").toArrow()
-    tree = ContextTree(np.asarray(cells.column(0)).astype(np.uint32), np.asarray(cells.column(1)))
-    handed = docs.sparkSession.sparkContext.broadcast(tree)
+    logs_of_grams = _gram_logs(stated.where("gram"), depth)
     size = total + 0.5 * (distinct + 1)
 
-    def run(texts: pa.Table, words: pa.Table) -> pa.Table:
-        order = np.argsort(np.asarray(words.column("word")), kind="stable")
-        known = np.asarray(words.column("word"))[order]
-        counts = np.asarray(words.column("c"))[order]
+    def run(texts: pa.Table, needed: pa.Table) -> pa.Table:
+        of_gram = np.asarray(needed.column("gram").to_numpy(), bool)
+
+        def ordered(chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            word, value = needed.column("word").to_numpy()[chosen], needed.column("value").to_numpy()[chosen]
+            order = np.argsort(word, kind="stable")
+            return word[order], value[order]
+
+        known, counts = ordered(~of_gram)
+        grams, said = ordered(of_gram)
         logs = np.log10((counts + 0.5) / size)
         out = []
         for at in range(0, texts.num_rows, 512):
@@ -220,7 +384,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
             starts = np.concatenate([[0], np.cumsum(sizes)])[:-1]
             base = np.add.reduceat(logs[place], starts)
             n_known = np.add.reduceat((counts[place] > 0).astype(np.int64), starts)
-            found = handed.value.scores(listed)
+            cell, ends = _grams(listed, depth)
+            sums = np.concatenate([[0.0], np.cumsum(said[np.searchsorted(grams, cell)] if len(cell) else [])])
+            found = sums[ends[1:]] - sums[ends[:-1]]
             n_bytes = np.array([len(t) for t in listed])
             bits = -found / math.log10(2) / np.maximum(n_bytes, 1)
             out.append(
@@ -233,5 +399,5 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
     id_type = batched.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, bits_per_byte double"
-    needed = counted.where("batch is not null").select("batch", "word", "c")
+    needed = counted.select(F.lit(False).alias("gram"), "batch", "word", F.col("c").cast("double").alias("value")).unionByName(logs_of_grams)
     return batched.groupBy("batch").cogroup(needed.groupBy("batch")).applyInArrow(run, schema)

@@ -54,7 +54,7 @@ def op7_randomness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return context_tree.score(read(spark, sf_dir, "documents"))
+    return context_tree.score(read(spark, sf_dir, "documents"), depth=context_tree.DEPTH)
 
 
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
