@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import context_tree, decontaminate, html_blocks, mixing, ngram_join, randomness, rule_ledger, skip_chain, token_files, url_rules
+from . import byte_bpe, context_tree, decontaminate, html_blocks, mixing, ngram_join, randomness, rule_ledger, skip_chain, token_files, url_rules
 from .common import read, shared_table
 
 
@@ -68,6 +68,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.drop("hit_spans")
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.report(byte_bpe.encode(read(spark, sf_dir, "documents")))
+
+
 REGISTRY = {
     f.__name__: f
     for f in (
@@ -81,5 +85,6 @@ REGISTRY = {
         op8_context_tree,
         op9_token_files,
         op10_decontamination,
+        op11_byte_bpe,
     )
 }
