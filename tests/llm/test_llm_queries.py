@@ -5,7 +5,7 @@ from llm_tools import SF, duck, spark_rows
 from tidemark.llm.oracles import ORACLES
 from tidemark.llm.queries import REGISTRY
 
-TABLES = {t: f"{SF}/{t}.parquet" for t in ("documents", "benchmark", "pages", "labels")}
+TABLES = {t: f"{SF}/{t}.parquet" for t in ("documents", "benchmark", "pages", "labels", "embeddings", "conversations")}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

@@ -105,4 +105,46 @@ SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, (SELECT min(y) FROM rea
 FROM w LEFT JOIN n USING (doc_id)
 """
 
-ORACLES = {"op1_ngram_join": OP1, "op2_mixing": OP2, "op4_rule_ledger": OP4, "op10_decontamination": OP10}
+
+def _nearest(entries: str) -> str:
+    """Index and squared distance of every part's nearest entry; both fit one whole number, so ties go to the lower index."""
+    apart = "list_sum(list_transform(range(1, len(p.a) + 1), lambda i: (p.a[i] - e.a[i]) * (p.a[i] - e.a[i])))::BIGINT"
+    return f"""
+SELECT vec_id, part, a, m % 64 AS entry, m // 64 AS apart
+FROM (SELECT p.vec_id, p.part, any_value(p.a) AS a, min({apart} * 64 + e.entry) AS m
+      FROM parts p JOIN {entries} e ON e.part = p.part GROUP BY p.vec_id, p.part)"""
+
+
+def _means(entries: str, near: str) -> str:
+    """Entries replaced by their parts' means, rounded down; unused ones stay."""
+    return f"""
+SELECT e.part, e.entry, coalesce(m.a, e.a) AS a
+FROM {entries} e LEFT JOIN (
+  SELECT part, entry, list((s - ((s % n) + n) % n) // n ORDER BY place) AS a
+  FROM (SELECT part, entry, place, sum(x)::BIGINT AS s, count(*) AS n
+        FROM (SELECT part, entry, unnest(a) AS x, generate_subscripts(a, 1) AS place FROM {near}) GROUP BY ALL)
+  GROUP BY part, entry) m ON m.part = e.part AND m.entry = e.entry"""
+
+
+OP12 = f"""
+WITH k AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (
+  SELECT vec_id, part, v[part * (len(v) // 16) + 1:(part + 1) * (len(v) // 16)] AS a FROM k, range(16) r(part)),
+e0 AS MATERIALIZED (
+  SELECT p.part, s.entry, p.a
+  FROM (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM k ORDER BY vec_id LIMIT 64) s JOIN parts p ON p.vec_id = s.vec_id),
+n0 AS MATERIALIZED ({_nearest("e0")}),
+e1 AS MATERIALIZED ({_means("e0", "n0")}),
+n1 AS MATERIALIZED ({_nearest("e1")}),
+e2 AS MATERIALIZED ({_means("e1", "n1")}),
+n2 AS MATERIALIZED ({_nearest("e2")}),
+c AS (
+  SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(apart)::BIGINT AS error FROM n2 GROUP BY vec_id)
+SELECT c.vec_id, c.code, c.error, sum(c.error) OVER (PARTITION BY k.label)::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(a, ','), ',' ORDER BY part, entry)) FROM e2) AS codebooks_sha256
+FROM c JOIN k ON k.vec_id = c.vec_id
+"""
+
+ORACLES = {"op1_ngram_join": OP1, "op2_mixing": OP2, "op4_rule_ledger": OP4, "op10_decontamination": OP10, "op12_vector_codes": OP12}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, context_tree, decontaminate, html_blocks, mixing, ngram_join, randomness, rule_ledger, skip_chain, token_files, url_rules
+from . import byte_bpe, context_tree, decontaminate, html_blocks, mixing, ngram_join, randomness, rule_ledger, skip_chain, token_files, url_rules, vector_codes
 from .common import read, shared_table
 
 
@@ -72,6 +72,10 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.report(byte_bpe.encode(read(spark, sf_dir, "documents")))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(read(spark, sf_dir, "embeddings"))
+
+
 REGISTRY = {
     f.__name__: f
     for f in (
@@ -86,5 +90,6 @@ REGISTRY = {
         op9_token_files,
         op10_decontamination,
         op11_byte_bpe,
+        op12_vector_codes,
     )
 }
