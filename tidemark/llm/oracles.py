@@ -147,4 +147,44 @@ SELECT c.vec_id, c.code, c.error, sum(c.error) OVER (PARTITION BY k.label)::BIGI
 FROM c JOIN k ON k.vec_id = c.vec_id
 """
 
-ORACLES = {"op1_ngram_join": OP1, "op2_mixing": OP2, "op4_rule_ledger": OP4, "op10_decontamination": OP10, "op12_vector_codes": OP12}
+#: CRC-32 of the decimal id, bit by bit.
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+  lambda c, x: list_reduce([xor(c, x), 1, 2, 3, 4, 5, 6, 7, 8], lambda v, i: xor(v >> 1, 3988292384::BIGINT * (v & 1)))))"""
+
+OP13 = rf"""
+WITH o AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS pos, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, {_CRC} % 4 AS h FROM (SELECT DISTINCT conv_id FROM o)),
+r AS (
+  SELECT c.conv_id, o.pos AS k, o.role, o.text FROM c JOIN o ON o.conv_id = c.conv_id - c.conv_id % 20 AND o.pos < c.h
+  UNION ALL
+  SELECT c.conv_id, o.pos + 4, o.role, o.text FROM c JOIN o ON o.conv_id = c.conv_id AND o.pos >= c.h),
+s AS (
+  SELECT conv_id, row_number() OVER w AS depth, string_agg(md5(length(role) || ':' || role || text), '') OVER w AS key,
+         len(regexp_extract_all(text, '{WORD}')) AS words
+  FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY k)),
+p AS MATERIALIZED (SELECT * FROM s UNION ALL SELECT conv_id, 0, '', 0 FROM c),
+n AS MATERIALIZED (
+  SELECT key, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words, left(key, 32 * (depth - 1)) AS above
+  FROM p GROUP BY key, depth),
+k AS MATERIALIZED (SELECT above AS key, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY above),
+t AS (
+  SELECT left(n.key, 32 * d) AS key, sum(CASE WHEN k.key IS NULL THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * words) AS saved
+  FROM n LEFT JOIN k ON k.key = n.key, unnest(range(0, n.depth + 1)) u(d) GROUP BY 1),
+e AS (
+  SELECT key, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids
+  FROM (SELECT conv_id, max_by(key, depth) AS key FROM p GROUP BY conv_id) GROUP BY key)
+SELECT n.conv_id, n.depth, a.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children, t.n_leaves::BIGINT AS n_leaves,
+       t.saved::BIGINT AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM n JOIN t ON t.key = n.key LEFT JOIN k ON k.key = n.key LEFT JOIN e ON e.key = n.key LEFT JOIN n a ON a.key = n.above AND n.depth > 0
+"""
+
+ORACLES = {
+    "op1_ngram_join": OP1,
+    "op2_mixing": OP2,
+    "op4_rule_ledger": OP4,
+    "op10_decontamination": OP10,
+    "op12_vector_codes": OP12,
+    "op13_conversation_trie": OP13,
+}

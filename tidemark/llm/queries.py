@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, context_tree, decontaminate, html_blocks, mixing, ngram_join, randomness, rule_ledger, skip_chain, token_files, url_rules, vector_codes
+from . import byte_bpe, context_tree, conversation_trie, decontaminate, html_blocks, mixing, ngram_join, randomness, rule_ledger, skip_chain, token_files, url_rules, vector_codes
 from .common import read, shared_table
 
 
@@ -76,6 +76,10 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(read(spark, sf_dir, "embeddings"))
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.trie(read(spark, sf_dir, "conversations"), family=20)
+
+
 REGISTRY = {
     f.__name__: f
     for f in (
@@ -91,5 +95,6 @@ REGISTRY = {
         op10_decontamination,
         op11_byte_bpe,
         op12_vector_codes,
+        op13_conversation_trie,
     )
 }
