@@ -1,3 +1,4 @@
+import base64
 import hashlib
 import random
 
@@ -53,6 +54,36 @@ def test_any_bytes_merge_as_plain_merging():
         assert byte_bpe.PrefixTable(VOCABULARY, data).ids() == plain
 
 
+def test_tokens_stay_apart_as_in_plain_merging():
+    rng = random.Random(5)
+    ids_ = sorted(VOCABULARY.tokens)
+    pairs = [(rng.choice(ids_), rng.choice(ids_)) for _ in range(20000)]
+    for text in ("thethationerentheir " * 20, "aaaaaaaabbbbabab" * 5):
+        data = text.encode()
+        cuts = [(rng.randrange(len(data) - 24), rng.randrange(1, 8), rng.randrange(1, 8)) for _ in range(4000)]
+        both = [(data[i : i + a], data[i + a : i + a + b]) for i, a, b in cuts]
+        pairs += [(VOCABULARY.ranks[a], VOCABULARY.ranks[b]) for a, b in both if a in VOCABULARY.ranks and b in VOCABULARY.ranks]
+    seen = set()
+    for a, b in pairs:
+        left, right = VOCABULARY.tokens[a], VOCABULARY.tokens[b]
+        seen.add(VOCABULARY._stay_apart(a, b))
+        assert VOCABULARY._stay_apart(a, b) == (VOCABULARY.merge(left + right) == [left, right])
+    assert seen == {True, False}
+
+
+def test_a_vocabulary_whose_ranks_do_not_rise(tmp_path):
+    tokens = [bytes([i]) for i in range(256)]
+    tokens += [b"abc", b"bc", b"ab", b"abcab", b"ca", b"cabc", b"bca"]
+    path = tmp_path / "odd.tiktoken"
+    path.write_bytes(b"".join(base64.b64encode(t) + b" %d\n" % i for i, t in enumerate(tokens)))
+    odd = byte_bpe.Vocabulary(str(path), r"(?s).+")
+    plain = tiktoken.Encoding("odd", pat_str=r"(?s).+", mergeable_ranks=odd.ranks, special_tokens={})
+    rng = random.Random(6)
+    for _ in range(500):
+        text = "".join(rng.choices("abc", k=rng.randrange(1, 30)))
+        assert np.frombuffer(odd.encode(text), "<u4").tolist() == plain.encode_ordinary(text)
+
+
 def test_append_and_replace_of_bytes():
     rng = random.Random(4)
     for _ in range(200):

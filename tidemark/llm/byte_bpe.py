@@ -34,6 +34,10 @@ from .common import forget_words, map_batches
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Pieces and pairs of tokens a Python worker remembers before it starts anew; some 100 MB.
 PIECE_LIMIT, PAIR_LIMIT = 300_000, 400_000
+_NEVER = 1 << 62
+#: Last bytes by which the tokens that may end there are looked up, how many of them are remembered,
+#: and characters of texts that are encoded together.
+TAIL, TAIL_LIMIT, CHARS = 4, 100_000, 2_000_000
 #: Characters past its end that a match of the pattern may look at.
 AHEAD = 2
 
@@ -54,16 +58,26 @@ class Vocabulary:
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.longest = max(map(len, self.ranks))
         self.pattern = regex.compile(pattern)
+        self._lengths = {rank: len(token) for rank, token in self.tokens.items()}
+        self._as_bytes = {rank: rank.to_bytes(4, "little") for rank in self.tokens}
+        #: Lengths of the tokens longer than a tail, longest first, by their last bytes.
+        sizes: dict[bytes, set[int]] = {}
+        for token in self.ranks:
+            if len(token) > TAIL:
+                sizes.setdefault(token[-TAIL:], set()).add(len(token))
+        self._sizes = {tail: sorted(found, reverse=True) for tail, found in sizes.items()}
+        self._tails: dict[bytes, list[tuple[int, int | None]]] = {}
+        self._spines: dict[tuple[int, bool], tuple[list[bytes], list[int], bool]] = {}
         self._pairs: dict[tuple[int, int], bool] = {}
         self._pieces: dict[str, bytes] = {}
 
-    def merge(self, data: bytes) -> list[bytes]:
-        """Plain merging, for short strings: the pair of lowest rank, leftmost first, until none is left."""
+    def merge(self, data: bytes, down_to: int = 1) -> list[bytes]:
+        """Plain merging, for short strings: the pair of lowest rank, leftmost first, until none or ``down_to`` parts are left."""
         parts = [data[i : i + 1] for i in range(len(data))]
         ranks = [self.ranks.get(data[i : i + 2]) for i in range(len(data) - 1)]
         while True:
             known = [(r, i) for i, r in enumerate(ranks) if r is not None]
-            if not known:
+            if not known or len(parts) <= down_to:
                 return parts
             i = min(known)[1]
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
@@ -72,42 +86,137 @@ class Vocabulary:
                 if 0 <= j < len(ranks):
                     ranks[j] = self.ranks.get(parts[j] + parts[j + 1])
 
+    def _spine(self, token: int, right: bool) -> tuple[list[bytes], list[int], bool]:
+        """What stands at one edge of a token while it is merged, from a byte to the whole, with its ranks.
+
+        The flag tells whether ranks rise on the way, as they do in every vocabulary made by merging.
+        """
+        known = self._spines.get((token, right))
+        if known is None:
+            data = self.tokens[token]
+            if len(data) == 1:
+                known = [data], [token], True
+            else:
+                parts = [self.ranks[p] for p in self.merge(data, 2)]
+                strings, ranks, rising = self._spine(parts[-1] if right else parts[0], right)
+                known = [*strings, data], [*ranks, token], rising and max(parts) < token
+            self._spines[token, right] = known
+        return known
+
     def fits(self, before: int, token: int) -> bool:
-        """Whether two tokens stay apart when their bytes are merged."""
+        """Whether two tokens stay apart when their bytes are merged.
+
+        Merges happen in the order of their ranks, so it is enough to follow what stands at the common
+        edge: a merge across it must not come before the next one on either side, the left one first
+        on ties. Where ranks do not rise, the bytes are merged.
+        """
         known = self._pairs.get((before, token))
         if known is None:
-            left, right = self.tokens[before], self.tokens[token]
-            known = left + right not in self.ranks and self.merge(left + right) == [left, right]
+            known = self._stay_apart(before, token)
             if len(self._pairs) >= PAIR_LIMIT:
                 self._pairs.clear()
             self._pairs[before, token] = known
         return known
 
-    def last_token(self, data: bytes, end: int, last: list[int]) -> int:
-        """The unique last token of ``data[:end]``; ``last`` holds those of the shorter prefixes."""
-        for size in range(min(self.longest, end), 0, -1):
-            token = self.ranks.get(data[end - size : end])
-            if token is not None and (size == end or self.fits(last[end - size - 1], token)):
-                return token
-        raise ValueError(f"byte {data[end - 1]} is not in the vocabulary")
-
-    def piece(self, piece: str) -> bytes:
-        """Ids of one match of the pattern as little-endian 32-bit numbers."""
-        known = self._pieces.get(piece)
-        if known is None:
-            data = piece.encode()
+    def _stay_apart(self, before: int, token: int) -> bool:
+        left, left_ranks, rising = self._spine(before, True)
+        right, right_ranks, also = self._spine(token, False)
+        i = j = 0
+        while rising and also:
+            across = self.ranks.get(left[i] + right[j])
+            next_left = left_ranks[i + 1] if i + 1 < len(left) else _NEVER
+            next_right = right_ranks[j + 1] if j + 1 < len(right) else _NEVER
+            if across is not None:
+                if across < max(left_ranks[i], right_ranks[j]):
+                    break
+                if across < next_left and across <= next_right:
+                    return False
+            if next_left == next_right == _NEVER:
+                return True
+            if next_left <= next_right:
+                i += 1
+            else:
+                j += 1
+        return self.merge(left[-1] + right[-1]) == [left[-1], right[-1]]
+
+    def _endings(self, tail: bytes) -> list[tuple[int, int | None]]:
+        """Sizes of the tokens a text with these last bytes may end with, longest first; None where more bytes decide."""
+        short = [(size, self.ranks.get(tail[-size:])) for size in range(len(tail), 0, -1)]
+        found = [(size, None) for size in self._sizes.get(tail, ())] + [(s, t) for s, t in short if t is not None]
+        if len(self._tails) >= TAIL_LIMIT:
+            self._tails.clear()
+        self._tails[tail] = found
+        return found
+
+    def fill(self, data: bytes, last: list[int], stop: int | None = None) -> None:
+        """Add to ``last`` the unique last token of every longer prefix of ``data``, up to ``stop`` bytes."""
+        tails, ranks, pairs = self._tails, self.ranks, self._pairs
+        for end in range(len(last) + 1, (len(data) if stop is None else stop) + 1):
+            tail = data[max(0, end - TAIL) : end]
+            for size, token in tails.get(tail) or self._endings(tail):
+                if size >= end:
+                    if size > end:
+                        continue
+                    token = ranks.get(data[:end]) if token is None else token
+                    if token is not None:
+                        break
+                    continue
+                if token is None:
+                    token = ranks.get(data[end - size : end])
+                    if token is None:
+                        continue
+                before = last[end - size - 1]
+                apart = pairs.get((before, token))
+                if apart or (apart is None and self.fits(before, token)):
+                    break
+            else:
+                raise ValueError(f"byte {data[end - 1]} is not in the vocabulary")
+            last.append(token)
+
+    def learn(self, pieces: set[str]) -> None:
+        """Remember the ids of pieces; in sorted order each shares the entries of its common prefix with the one before."""
+        data, last, as_bytes = b"", [], self._as_bytes
+        for piece in sorted(pieces):
+            before, data = data, piece.encode()
             whole = self.ranks.get(data)
-            ids = [whole] if whole is not None else PrefixTable(self, data).ids()
-            known = np.array(ids, "<u4").tobytes()
-            if len(piece) <= 64:
-                if len(self._pieces) >= PIECE_LIMIT:
-                    self._pieces.clear()
-                self._pieces[piece] = known
-        return known
+            if whole is not None:
+                self._pieces[piece], data = as_bytes[whole], before
+                continue
+            share, most = 0, min(len(data), len(last))
+            while share < most and before[share] == data[share]:
+                share += 1
+            del last[share:]
+            self.fill(data, last)
+            self._pieces[piece] = b"".join(map(as_bytes.__getitem__, self.walk(last)))
+
+    def walk(self, last: list[int]) -> list[int]:
+        """Ids of a piece, from the last token of the whole back to the first."""
+        out, end, sizes = [], len(last), self._lengths
+        while end:
+            out.append(last[end - 1])
+            end -= sizes[out[-1]]
+        return out[::-1]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian 32-bit numbers."""
+        if len(self._pieces) >= PIECE_LIMIT:
+            self._pieces.clear()
+        known, out, start = self._pieces, [], 0
+        while start < len(texts):
+            stop, size = start, 0
+            while stop < len(texts) and (stop == start or size + len(texts[stop]) <= CHARS):
+                size, stop = size + len(texts[stop]), stop + 1
+            cut = [self.pattern.findall(t) for t in texts[start:stop]]
+            new = set().union(*cut).difference(known)
+            self.learn(new)
+            out += [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
+            for piece in [p for p in new if len(p) > 64]:
+                del known[piece]
+            start = stop
+        return out
 
     def encode(self, text: str) -> bytes:
-        """Ids of a text as little-endian 32-bit numbers."""
-        return b"".join(map(self.piece, self.pattern.findall(text)))
+        return self.encode_all([text])[0]
 
     def decode(self, ids: np.ndarray) -> bytes:
         try:
@@ -121,24 +230,15 @@ class PrefixTable:
 
     def __init__(self, vocabulary: Vocabulary, data: bytes = b"", last: list[int] | None = None) -> None:
         self.vocabulary, self.data, self.last = vocabulary, data, [] if last is None else last
-        self._fill()
-
-    def _fill(self) -> None:
-        step, data, last = self.vocabulary.last_token, self.data, self.last
-        for end in range(len(last) + 1, len(data) + 1):
-            last.append(step(data, end, last))
+        vocabulary.fill(data, self.last)
 
     def ids(self) -> list[int]:
-        out, end = [], len(self.data)
-        while end:
-            out.append(self.last[end - 1])
-            end -= len(self.vocabulary.tokens[out[-1]])
-        return out[::-1]
+        return self.vocabulary.walk(self.last)
 
     def append(self, more: bytes) -> None:
         """Add bytes at the end; no entry changes."""
         self.data += more
-        self._fill()
+        self.vocabulary.fill(self.data, self.last)
 
     def replace(self, start: int, end: int, new: bytes) -> int:
         """Put ``new`` in place of ``data[start:end]``; returns how many entries were worked out anew."""
@@ -146,10 +246,9 @@ class PrefixTable:
         self.data = self.data[:start] + new + self.data[end:]
         self.last, same, window = old[:start], 0, self.vocabulary.longest
         for size in range(start + 1, len(self.data) + 1):
-            token = self.vocabulary.last_token(self.data, size, self.last)
-            self.last.append(token)
+            self.vocabulary.fill(self.data, self.last, size)
             after = size - start - len(new)
-            same = same + 1 if after > 0 and old[size - shift - 1] == token else 0
+            same = same + 1 if after > 0 and old[size - shift - 1] == self.last[-1] else 0
             if same >= window:
                 self.last += old[size - shift :]
                 return size - start
@@ -233,7 +332,7 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None,
         vocabulary = _vocabulary(path, pattern)
 
         def work(batch):
-            coded = [vocabulary.encode(t or "") for t in batch.column(1).to_pylist()]
+            coded = vocabulary.encode_all([t or "" for t in batch.column(1).to_pylist()])
             flat = np.frombuffer(b"".join(coded), "<i4")
             yield pa.RecordBatch.from_arrays([batch.column(0), _lists(flat, [len(c) // 4 for c in coded])], ["doc_id", "ids"])
 
