@@ -77,7 +77,9 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     if _DIGIT.search(text) is None:
         return found
     for m in _IP.finditer(text):
-        if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in m[0].split(".")):
+        # Zeros go first: a part may have any number of them.
+        parts = [part.lstrip("0") or "0" for part in m[0].split(".")]
+        if all(len(part) <= 3 and int(part) <= 255 for part in parts):
             found.append((m.start(), 1, m.end()))
     for m in _CARD.finditer(text):
         digits = m[0].replace(" ", "").replace("-", "")
