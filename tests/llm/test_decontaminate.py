@@ -20,11 +20,11 @@ def brute(rows, items):
         for item, phrase in items:
             listed = words(phrase)
             width = min(13, len(listed))
-            windows = {tuple(listed[i : i + width]) for i in range(len(listed) - width + 1)} if listed and item is not None else ()
+            windows = {tuple(listed[i : i + width]) for i in range(len(listed) - width + 1)} if listed else ()
             for i in range(len(found) - width + 1):
                 if tuple(found[i : i + width]) in windows:
                     hit |= set(range(i, i + width))
-                    met.add(str(item))
+                    met |= set() if item is None else {str(item)}
         digest = hashlib.sha256(",".join(sorted(met)).encode()).hexdigest()
         out.append((doc, len(found), len(hit), len(met), digest, bool(hit) and 20 * len(hit) >= len(found)))
     return sorted(out, key=str)
@@ -61,6 +61,15 @@ def test_keep_clean_drops_the_contaminated_only(spark):
     assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted((r[0] for r in brute(rows, items) if not r[5]), key=str)
 
 
+def test_passages_of_items_without_id_are_hit(spark):
+    phrase = " ".join(f"u{i}" for i in range(15))
+    benchmark = spark.createDataFrame([(None, phrase), (7, phrase[:20])], "item_id bigint, text string")
+    docs = documents(spark, [(1, f"before {phrase} after", None), (2, "clean", None)])
+    rows = {r["doc_id"]: r for r in decontaminate.report(docs, benchmark).collect()}
+    assert (rows[1]["n_hit"], rows[1]["n_items"], rows[1]["contaminated"]) == (15, 1, True)
+    assert [r["doc_id"] for r in decontaminate.keep_clean(docs, benchmark).collect()] == [2]
+
+
 def test_empty_benchmark_finds_nothing(spark):
     empty = spark.createDataFrame([], "item_id bigint, text string")
     rows = decontaminate.report(documents(spark, odd_rows()), empty).collect()

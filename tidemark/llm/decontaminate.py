@@ -83,7 +83,7 @@ def _item_windows(items: DataFrame, id_col: str, text_col: str, window: int) ->
 
         return work
 
-    chosen = items.select(F.col(id_col).cast("string").alias("item_id"), F.col(text_col).alias("text")).where("item_id is not null")
+    chosen = items.select(F.col(id_col).cast("string").alias("item_id"), F.col(text_col).alias("text"))
     return map_batches(chosen, make, "item_id string, words string")
 
 
@@ -140,8 +140,9 @@ def scan(
 ) -> DataFrame:
     """``docs`` with ``__n_words``, ``__spans`` (start, end in words) and ``__items`` (ids, sorted) added.
 
-    Null texts have no words; items without words or without an id are never found; an item
-    that occurs in several rows counts once per id. Rows and columns of ``docs`` stay as they are.
+    Null texts have no words; items without words are never found. Words of an item without an id are
+    hit like any others, only the list of ids leaves it out; an item that occurs in several rows counts
+    once per id. Rows and columns of ``docs`` stay as they are.
     """
     context = docs.sparkSession.sparkContext
     found = [F.lit(0).cast("long").alias("__n_words"), F.array().cast("array<int>").alias("__spans"), F.array().cast("array<string>").alias("__items")]

@@ -71,7 +71,7 @@ FOLD = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz
 OP10 = rf"""
 WITH b AS (
   SELECT item_id::VARCHAR AS item, regexp_extract_all({FOLD.format("coalesce(text, '')")}, '{ITEM_WORD}') AS ws
-  FROM benchmark WHERE item_id IS NOT NULL),
+  FROM benchmark),
 bw AS (
   SELECT item, least(13, len(ws)) AS width, ws, unnest(generate_series(1, len(ws) - least(13, len(ws)) + 1)) AS i FROM b WHERE len(ws) > 0),
 windows AS (SELECT DISTINCT item, width, ws[i:i + width - 1] AS g FROM bw),
@@ -84,7 +84,7 @@ hits AS (SELECT dw.r, dw.i, dw.width, w.item FROM dw JOIN windows w ON w.width =
 n AS (
   SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(generate_series(i, i + width - 1)) AS p FROM hits) GROUP BY r),
 it AS (
-  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r)
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed FROM (SELECT DISTINCT r, item FROM hits WHERE item IS NOT NULL) GROUP BY r)
 SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
        sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
 FROM d LEFT JOIN n USING (r) LEFT JOIN it USING (r)
