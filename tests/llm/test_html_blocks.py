@@ -67,3 +67,48 @@ def test_odd_pages(spark, net):
     pages = spark.createDataFrame([(*r, "?", "?") for r in rows], "page_id bigint, url string, html string, text string, n_chars string")
     got = {(r["page_id"], r["n_chars"]) for r in html_blocks.extract(pages, net).collect()}
     assert {(1, 0), (2, 0), (None, 0), (4, 249_999)} <= got and len(html_blocks.extract(pages, net).columns) == 4
+
+
+def text_of(net, page):
+    found = html_blocks.blocks(page)
+    return [b.text for b, yes in zip(found, net.label([html_blocks.vectors(found)])[0]) if yes]
+
+
+BODY = "<article><h1>Heading of the page</h1><p>First paragraph, long enough to be one.</p><p>Second paragraph of it.</p></article>"
+
+
+@pytest.mark.parametrize(
+    "before",
+    [
+        "<html><head><title>T</title>",
+        "<head><meta charset=x><style>p {}</style>",
+        "<html><head><title>T</title></head><body><svg width=1><path d='x'>",
+        "<body><div><math><mi>x</mi>",
+        "<body><video src=x>",
+        "<body><canvas>old",
+        "<body><div><svg><title>icon</title></svg></div>",
+    ],
+)
+def test_elements_left_open_hide_no_text(net, before):
+    assert text_of(net, before + BODY) == ["Heading of the page", "First paragraph, long enough to be one.", "Second paragraph of it."]
+
+
+def test_hidden_text_stays_hidden():
+    page = "<head><title>T</title><script>a</script></head><p>x<svg><text>icon</text></svg> y<object><p>old</p></object><noscript><p>n</p></noscript><template><p>t</p></template>"
+    assert [b.text for b in html_blocks.blocks(page)] == ["x y"]
+
+
+def test_pages_of_very_many_blocks_and_levels(net):
+    import time
+    import tracemalloc
+
+    start = time.time()
+    deep = html_blocks.blocks("<div>x " * 20_000)
+    assert len(deep) == 20_000 and len(net.label([html_blocks.vectors(deep)])[0]) == 20_000
+    wide = html_blocks.blocks("<article>" + "<p>Some words of a paragraph.</p>" * 20_000)
+    tracemalloc.start()
+    labels = net.label([html_blocks.vectors(wide), *[html_blocks.vectors(html_blocks.blocks(BODY))] * 63])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(labels[0]) == 20_000 and len(labels[1]) == 3
+    assert peak < 200e6 and time.time() - start < 60

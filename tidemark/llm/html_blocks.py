@@ -15,6 +15,7 @@ from __future__ import annotations
 import html.parser
 import re
 import zlib
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -28,6 +29,8 @@ from .common import hash_sample, map_batches
 #: Pages used for training, rounds over them and blocks of a training sequence.
 TRAINING_PAGES, ROUNDS, LONGEST = 128, 15, 32
 HIDDEN, HASHED, RATE = 16, 64, 0.02
+#: Blocks, padding included, that are labelled together; a step takes some 3 KB.
+CELLS = 8192
 
 BLOCK_TAGS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
@@ -36,9 +39,14 @@ BLOCK_TAGS = frozenset(
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements without text of their own in the page.
 SILENT_TAGS = frozenset("script style template noscript head title svg math iframe object canvas audio video".split())
+#: Elements that may stand in a head; any other one, or text, ends a head left open.
+HEAD_TAGS = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
+#: Foreign content ends where a block begins inside it; media left open end where a part of the page begins.
+FOREIGN, MEDIA = ("svg", "math"), ("object", "canvas", "audio", "video")
+PARTS = frozenset("article body footer h1 h2 header main nav section".split())
 #: Blocks that end an open paragraph when they begin.
 CLOSES_P = BLOCK_TAGS - {"body", "html", "option", "td", "th", "tr", "tbody", "thead", "tfoot"}
-_NOT_P = BLOCK_TAGS - {"p"}
+_NOT_P = BLOCK_TAGS - {"p"} | SILENT_TAGS
 
 #: Words of tag names, classes and ids that tell what a container is for.
 CONTAINERS = {
@@ -57,13 +65,44 @@ _KIND_OF = {word: kind for kind, listed in CONTAINERS.items() for word in listed
 _PART = re.compile(r"[a-z0-9]+")
 
 
+class Element:
+    """An open element: its names, what it lies in, and the kinds of container from the outermost to it.
+
+    Elements are shared by the blocks below them, so a page nested n deep takes n of them.
+    """
+
+    __slots__ = ("names", "above", "kinds", "inner")
+
+    def __init__(self, names: tuple[str, ...], above: Element | None) -> None:
+        self.names, self.above = names, above
+        kind = kind_of(names) if names[0] not in ("html", "body") else None
+        kinds = above.kinds if above else frozenset()
+        self.kinds = kinds if kind is None or kind in kinds else kinds | {kind}
+        self.inner = kind or (above.inner if above else None)
+
+
+def element(*path: tuple[str, ...], above: Element | None = None) -> Element | None:
+    """The innermost of some elements, outermost first."""
+    for names in path:
+        above = Element(names, above)
+    return above
+
+
 @dataclass
 class Block:
     text: str
-    #: Per open element, outermost first: its tag and the words of its class, id and role.
-    path: tuple[tuple[str, ...], ...]
+    #: The innermost open element; its names are its tag and the words of its class, id and role.
+    at: Element | None
     linked: int = 0
 
+    @property
+    def kinds(self) -> frozenset[str]:
+        return self.at.kinds if self.at else frozenset()
+
+    @property
+    def inner(self) -> str | None:
+        return self.at.inner if self.at else None
+
 
 def _names(tag: str, attrs: Sequence[tuple[str, str | None]]) -> tuple[str, ...]:
     told = [v.lower() for k, v in attrs if k in ("class", "id", "role") and v]
@@ -74,7 +113,8 @@ def _names(tag: str, attrs: Sequence[tuple[str, str | None]]) -> tuple[str, ...]
 class _Reader(html.parser.HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, ...]] = []
+        self.open: list[Element] = []
+        self.count: Counter[str] = Counter()
         self.silent, self.links = 0, 0
         self.parts: list[str] = []
         self.linked = 0
@@ -84,45 +124,60 @@ class _Reader(html.parser.HTMLParser):
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                self.blocks.append(Block(text, tuple(self.open), self.linked))
+                self.blocks.append(Block(text, self.open[-1] if self.open else None, self.linked))
         self.parts, self.linked = [], 0
 
     def _pop(self, tag: str) -> None:
         while self.open:
-            name = self.open.pop()[0]
+            name = self.open.pop().names[0]
+            self.count[name] -= 1
             self.silent -= name in SILENT_TAGS
             self.links -= name == "a"
             if name == tag:
                 return
 
     def _is_open(self, tag: str, until: frozenset[str] = frozenset()) -> bool:
-        for names in reversed(self.open):
-            if names[0] == tag:
+        if not self.count[tag] or not until:
+            return self.count[tag] > 0
+        for opened in reversed(self.open):
+            if opened.names[0] == tag:
                 return True
-            if names[0] in until:
+            if opened.names[0] in until:
                 return False
         return False
 
+    def _end_silence(self, tag: str) -> None:
+        """Close what was left open and hides text, where ``tag`` cannot stand inside it."""
+        if self._is_open("head") and tag not in HEAD_TAGS and not self._is_open("template"):
+            self._pop("head")
+        for other in FOREIGN:
+            if tag in BLOCK_TAGS and self._is_open(other) and not self._is_open("foreignobject"):
+                self._pop(other)
+        for other in MEDIA:
+            if tag in PARTS and self._is_open(other):
+                self._pop(other)
+
     def handle_starttag(self, tag: str, attrs) -> None:
+        if self.silent:
+            self._end_silence(tag)
         if tag == "br":
             self.parts.append(" ")
             return
         if tag in BLOCK_TAGS:
             self.flush()
-            if tag == "body" and self._is_open("head"):
-                self._pop("head")
             if tag in CLOSES_P and self._is_open("p", _NOT_P):
                 self._pop("p")
             if tag == "li" and self._is_open("li", frozenset(("ul", "ol"))):
                 self._pop("li")
         if tag not in VOID_TAGS:
-            self.open.append(_names(tag, attrs))
+            self.open.append(Element(_names(tag, attrs), self.open[-1] if self.open else None))
+            self.count[tag] += 1
             self.silent += tag in SILENT_TAGS
             self.links += tag == "a"
 
     def handle_startendtag(self, tag: str, attrs) -> None:
         self.handle_starttag(tag, attrs)
-        if tag not in VOID_TAGS and tag not in ("script", "style") and self.open and self.open[-1][0] == tag:
+        if tag not in VOID_TAGS and tag not in ("script", "style") and self.open and self.open[-1].names[0] == tag:
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
@@ -132,6 +187,8 @@ class _Reader(html.parser.HTMLParser):
             self._pop(tag)
 
     def handle_data(self, data: str) -> None:
+        if self.silent and self.open[-1].names[0] == "head" and not data.isspace():
+            self._pop("head")
         if not self.silent:
             self.parts.append(data)
             if self.links:
@@ -154,16 +211,10 @@ def kind_of(names: Sequence[str]) -> str | None:
     return other[0] if other else told[0] if told else _KIND_OF.get(names[0])
 
 
-def kinds_of(path: Sequence[Sequence[str]]) -> list[str]:
-    """Kinds of the containers of a block, outermost first; the body is no container."""
-    return [k for names in path if names[0] not in ("html", "body") and (k := kind_of(names))]
-
-
 def weak_label(block: Block) -> int:
     """Training label: main text is what lies in a main container and in no other kind inside it."""
-    kinds = kinds_of(block.path)
-    if kinds:
-        return int("main" in kinds and kinds[-1] == "main")
+    if block.inner:
+        return int(block.inner == "main")
     return int(len(block.text) >= 80 and block.linked * 2 < len(block.text))
 
 
@@ -179,27 +230,41 @@ def _slot(word: str) -> int:
     return value
 
 
+def _path_vector(at: Element | None, told: dict[Element | None, np.ndarray]) -> np.ndarray:
+    """Hashed names and kinds of a path, from the nearest element above whose vector is known."""
+    if at not in told:
+        new = []
+        while at not in told:
+            new.append(at)
+            at = at.above
+        vector = told[at]
+        for done, inner in enumerate(reversed(new)):
+            if done == 0 or done == len(new) - 1:
+                vector = vector.copy()
+            for name in inner.names:
+                vector[_slot("<" + name)] = 1
+            if done >= len(new) - 2:
+                # Kept for the block's element and the one above it, which blocks beside it share.
+                vector[HASHED:] = 0
+                for kind in inner.kinds:
+                    vector[HASHED + KINDS.index(kind)] = 1
+                if inner.inner:
+                    vector[HASHED + len(KINDS) + KINDS.index(inner.inner)] = 1
+                told[inner] = vector
+        at = new[0]
+    return told[at]
+
+
 WIDTH = 2 * HASHED + 2 * len(KINDS) + 5
 
 
 def vectors(listed: Sequence[Block]) -> np.ndarray:
     """One row of features per block."""
     out = np.zeros((len(listed), WIDTH), np.float32)
-    paths: dict[tuple, np.ndarray] = {}
+    told: dict[Element | None, np.ndarray] = {None: np.zeros(HASHED + 2 * len(KINDS), np.float32)}
     for i, block in enumerate(listed):
         row = out[i]
-        if block.path not in paths:
-            told = np.zeros(HASHED + 2 * len(KINDS), np.float32)
-            for names in block.path:
-                for name in names:
-                    told[_slot("<" + name)] = 1
-            kinds = kinds_of(block.path)
-            for k in kinds:
-                told[HASHED + KINDS.index(k)] = 1
-            if kinds:
-                told[HASHED + len(KINDS) + KINDS.index(kinds[-1])] = 1
-            paths[block.path] = told
-        row[: HASHED + 2 * len(KINDS)] = paths[block.path]
+        row[: HASHED + 2 * len(KINDS)] = _path_vector(block.at, told)
         found = block.text.split()
         counts = np.bincount([_slot(w) for w in found], minlength=HASHED)
         at = HASHED + 2 * len(KINDS)
@@ -209,7 +274,7 @@ def vectors(listed: Sequence[Block]) -> np.ndarray:
             block.linked / max(1, len(block.text)),
             i / len(listed),
             block.text[-1:] in ".!?",
-            bool(kinds_of(block.path)),
+            bool(block.kinds),
         )
     return out
 
@@ -230,8 +295,8 @@ class Net:
         out["o"], out["o0"] = rng.normal(0, 0.1, 2 * HIDDEN), np.zeros(1)
         return cls(out)
 
-    def _run(self, way: str, x: np.ndarray, mask: np.ndarray):
-        """States of one direction over (page, step); masked steps leave the state as it was."""
+    def _run(self, way: str, x: np.ndarray, mask: np.ndarray, keep: bool):
+        """States of one direction over (page, step); masked steps leave the state as it was. ``keep``: what gradients need."""
         n, steps, _ = x.shape
         inner = x @ self.weights[way + "x"] + self.weights[way + "0"]
         h, c = np.zeros((n, HIDDEN)), np.zeros((n, HIDDEN))
@@ -243,20 +308,21 @@ class Net:
             g = np.tanh(z[:, 3 * HIDDEN :])
             new = f * c + i * g
             on = mask[:, t, None]
-            kept.append((t, h, c, i, f, o, g, new))
+            if keep:
+                kept.append((t, h, c, i, f, o, g, new))
             c = np.where(on, new, c)
             h = np.where(on, o * np.tanh(new), h)
             states[:, t] = h
         return states, kept
 
-    def forward(self, x: np.ndarray, mask: np.ndarray):
-        ahead, kept_f = self._run("f", x, mask)
-        back, kept_b = self._run("b", x, mask)
+    def forward(self, x: np.ndarray, mask: np.ndarray, keep: bool = False):
+        ahead, kept_f = self._run("f", x, mask, keep)
+        back, kept_b = self._run("b", x, mask, keep)
         both = np.concatenate([ahead, back], axis=2)
         return 1 / (1 + np.exp(-(both @ self.weights["o"] + self.weights["o0"]))), both, (kept_f, kept_b)
 
     def gradients(self, x: np.ndarray, mask: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
-        p, both, kept = self.forward(x, mask)
+        p, both, kept = self.forward(x, mask, keep=True)
         off = (p - y) * mask / max(1, mask.sum())
         out = {"o": np.einsum("nt,nth->h", off, both), "o0": np.array([off.sum()])}
         to_states = off[..., None] * self.weights["o"]
@@ -281,17 +347,20 @@ class Net:
             out[way + "0"] = dz_all.sum(axis=(0, 1))
         return out
 
-    def label(self, pages: Sequence[np.ndarray], group: int = 64) -> list[np.ndarray]:
-        """Which blocks of each page are main text; pages of similar length are read together."""
+    def label(self, pages: Sequence[np.ndarray]) -> list[np.ndarray]:
+        """Which blocks of each page are main text; pages of similar length are read together.
+
+        A group has at most ``CELLS`` steps over all its pages, or is one page.
+        """
         out: list[np.ndarray] = [np.zeros(0, bool)] * len(pages)
-        order = sorted(range(len(pages)), key=lambda i: len(pages[i]))
-        for at in range(0, len(order), group):
-            chosen = [i for i in order[at : at + group] if len(pages[i])]
-            if chosen:
-                x, mask = _padded([pages[i] for i in chosen])
-                p = self.forward(x, mask)[0]
-                for row, i in enumerate(chosen):
-                    out[i] = p[row, : len(pages[i])] > 0.5
+        order = [i for i in sorted(range(len(pages)), key=lambda i: -len(pages[i])) if len(pages[i])]
+        while order:
+            group = order[: max(1, CELLS // len(pages[order[0]]))]
+            order = order[len(group) :]
+            x, mask = _padded([pages[i] for i in group])
+            p = self.forward(x, mask)[0]
+            for row, i in enumerate(group):
+                out[i] = p[row, : len(pages[i])] > 0.5
         return out
 
 
@@ -306,25 +375,35 @@ def _padded(pages: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 def _renamed(listed: Sequence[Block], rng: np.random.Generator) -> list[Block]:
     """The page with its containers renamed, and some blocks copied into containers of other kinds."""
-    new: dict[tuple[str, ...], tuple[str, ...]] = {}
+    new: dict[Element | None, Element | None] = {None: None}
+    names_of: dict[tuple[str, ...], tuple[str, ...]] = {}
 
     def other(names: tuple[str, ...]) -> tuple[str, ...]:
-        if names not in new:
+        if names not in names_of:
             kind = kind_of(names) if names[0] not in ("html", "body") else None
             words = CONTAINERS[kind].split() if kind else []
-            new[names] = ("div", str(rng.choice(words))) if kind and rng.random() < 0.7 else names
-        return new[names]
-
-    out = [Block(b.text, tuple(map(other, b.path)), b.linked) for b in listed]
-    texts = [b for b in out if "main" in kinds_of(b.path)] or out
+            names_of[names] = ("div", str(rng.choice(words))) if kind and rng.random() < 0.7 else names
+        return names_of[names]
+
+    def renamed(at: Element | None) -> Element | None:
+        way = []
+        while at not in new:
+            way.append(at)
+            at = at.above
+        for inner in reversed(way):
+            at = new[inner] = Element(other(inner.names), new[inner.above])
+        return at if way else new[at]
+
+    out = [Block(b.text, renamed(b.at), b.linked) for b in listed]
+    texts = [b for b in out if "main" in b.kinds] or out
     for _ in range(int(rng.integers(0, 4)) if out else 0):
         kind = str(rng.choice(KINDS[1:]))
         wrap = ("div", str(rng.choice(CONTAINERS[kind].split())))
         copied = [texts[int(i)] for i in rng.integers(0, len(texts), int(rng.integers(1, 5)))]
         inside = rng.random() < 0.5
         at = int(rng.integers(0, len(out) + 1)) if not inside else out.index(copied[0]) + 1 if copied[0] in out else len(out)
-        added = [Block(b.text, ((*b.path[:-1], wrap, ("p",)) if inside else (("html",), ("body",), wrap, ("p",))), 0) for b in copied]
-        out[at:at] = added
+        alone = element(("html",), ("body",))
+        out[at:at] = [Block(b.text, element(wrap, ("p",), above=(b.at.above if b.at else None) if inside else alone), 0) for b in copied]
     return out
 
 
@@ -368,7 +447,9 @@ def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sampl
 def extract(pages: DataFrame, net: Net, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text and n_chars of every row; blocks are joined by one line feed.
 
-    Null and empty pages, and pages without main text, give an empty text. Rows may repeat.
+    Null and empty pages, and pages without main text, give an empty text. Rows may repeat. A head,
+    foreign content or media left open end where text or blocks begin that cannot stand in them. Work and memory
+    grow in proportion to a page's blocks and its nesting.
     """
     handed = pages.sparkSession.sparkContext.broadcast(net)
 
