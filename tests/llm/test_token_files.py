@@ -9,7 +9,7 @@ from tidemark.llm import token_files
 from tokenizers import Tokenizer
 
 TOKENIZER = Tokenizer.from_file(public_tokenizers.path(token_files.VOCABULARY))
-ODD = ["a<|endoftext|> b", "it's we'll I'D", "Σας ΣΑΣ É é ́", "ﬁ½Ⅳ 12345 a1b2", "x\u00a0y\u2028z\x85 \x1c", "...,,, (a) a.b. c., d,", "İstanbul ẞ", "\n\n\t", "日本語 текст"]
+ODD = ["a<|endoftext|> b", "it's we'll I'D", "Σας ΣΑΣ É é ́", "ﬁ½Ⅳ 12345 a1b2", "x\u00a0y\u2028z\x85 \x1c", "...,,, (a) a.b. c., d,", "İstanbul ẞ", "\n\n\t", "日本語 текст", "Ärger, GRÜẞE Straße. e\u0301té,", " ".join(chr(i) + chr(j) for i in range(0xC0, 0x100) for j in (0x61, 0xDF, 0xFC))]
 
 
 def ids_of(text):
@@ -19,7 +19,7 @@ def ids_of(text):
 def test_pieces_give_the_ids_of_whole_texts():
     rng = random.Random(1)
     encoder = token_files.Encoder()
-    alphabet = "abcXYZ é.,'!<|>09ß\n\t-"
+    alphabet = "abcXYZ éÀÿÞß×÷µ.,'!<|>09ß\n\t-"
     texts = ODD + ["".join(rng.choice(alphabet) for _ in range(200)) for _ in range(200)]
     for text in texts:
         assert np.frombuffer(encoder.text(text), "<u4").tolist() == ids_of(text)

@@ -9,6 +9,7 @@ the token column.
 
 from __future__ import annotations
 
+import re
 import uuid
 import zlib
 
@@ -36,13 +37,16 @@ WRITER_OPTIONS = {
 }
 #: Pieces a Python worker remembers before it starts anew; about 80 MB.
 FORM_LIMIT = 500_000
+#: Letters that are one character each in both cases and however they are composed.
+_LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
 
 
 class Encoder(dict):
     """Ids, as little-endian bytes, of pieces of text without white space.
 
     The vocabulary drops white space and never merges across it, so a text's ids are those of
-    its pieces in a row. Words of plain letters skip the normaliser, which would not change them.
+    its pieces in a row. Words of Latin letters skip the normaliser, which only makes them lower case,
+    and the split, which leaves them whole; their bytes go to the merges straight away.
     """
 
     def __init__(self, path: str | None = None) -> None:
@@ -54,16 +58,18 @@ class Encoder(dict):
             path = public_tokenizers.path(VOCABULARY)
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        split = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.as_bytes = {i: split(chr(i))[0][0] for i in range(0xC0, 0x100) if chr(i) not in "×÷"}
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= FORM_LIMIT:
             self.clear()
-        plain = piece.lower() if piece.isascii() and piece.isalpha() else None
-        if plain is not None and plain != piece:
-            return self._keep(piece, self[plain])
-        if plain is not None:
-            ids = [t.id for t in self.model.tokenize(plain)]
-        elif piece[-1:] in (".", ",") and piece[:-1].isascii() and piece[:-1].isalpha():
+        if _LATIN(piece):
+            plain = piece.lower()
+            if plain != piece:
+                return self._keep(piece, self[plain])
+            ids = [t.id for t in self.model.tokenize(plain if plain.isascii() else plain.translate(self.as_bytes))]
+        elif piece[-1:] in (".", ",") and _LATIN(piece[:-1]):
             return self._keep(piece, self[piece[:-1]] + self[piece[-1]])
         else:
             ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
