@@ -12,11 +12,13 @@ cover, most first: two sets that agree in ``t`` of ``n`` partitions share one am
 largest difference to any partner of its own size range, and empty partitions, which everyone
 shares, are the first to go.
 
-Groups of copies never become all pairs. Sets are compared inside a signature's group on
-512-bit parity sketches, which give a lower bound of the difference and so lose nothing. First
-each member is linked to its nearest neighbour in the group and the links found are checked
-on the texts; that joins families of near copies. Then only pairs that could still connect two
-different groups are checked. Exact copies take part once.
+Groups of copies never become all pairs. Of signatures with the same members one is enough. Sets
+are compared inside a signature's group on parity sketches, which give a lower bound of the
+difference and so lose nothing; their width follows the set's size, so that they still tell sets just
+under the threshold apart. First the pairs of small groups, and in large ones each member and
+its nearest neighbour, are checked on the texts; that joins families of near copies. Then only
+pairs of large groups that could still connect two different families are checked. Exact copies
+take part once.
 """
 
 from __future__ import annotations
@@ -28,15 +30,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.scale import skew_join
 from .common import map_batches, map_task, mix64, shared_table, shingle_hashes, text_bytes, word_ids
 from .components import components
 
 WORDS = 5
 #: Members of a signature's group that one comparison block holds.
 BLOCK = 1024
-#: One signature in this many is used to link nearest neighbours; small sets use all.
-NEIGHBOUR_SHARE, SMALL = 8, 64
-SKETCH_WORDS = 8
+#: Groups up to this size are compared whole in the first pass.
+SMALL = 16
+#: Bits of a sketch: at least four a shingle, a power of two between these.
+LEAST_BITS, MOST_BITS = 512, 65536
+#: Bytes of sketches compared at a time.
+PIECE = 32 << 20
 
 _U = np.uint64
 
@@ -90,9 +96,20 @@ def signatures(shingles: np.ndarray) -> np.ndarray:
 
 
 def sketch(shingles: np.ndarray) -> bytes:
-    """For each of 512 cells whether an odd number of shingles falls into it."""
-    cells = np.bincount((shingles >> _U(20)).astype(np.int64) & (64 * SKETCH_WORDS - 1), minlength=64 * SKETCH_WORDS)
-    return np.packbits((cells & 1).astype(np.uint8)).tobytes()
+    """For each of some cells whether an odd number of shingles falls into it."""
+    cells = LEAST_BITS
+    while cells < min(4 * len(shingles), MOST_BITS):
+        cells *= 2
+    odd = np.bincount((shingles >> _U(20)).astype(np.int64) & (cells - 1), minlength=cells)
+    return np.packbits((odd & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(sketches: list[bytes], width: int) -> np.ndarray:
+    """Sketches of ``width`` bytes each; of a wider one the parts that share a cell are joined."""
+    out = np.empty((len(sketches), width // 8), _U)
+    for row, one in zip(out, sketches):
+        row[:] = np.bitwise_xor.reduce(np.frombuffer(one, _U).reshape(-1, width // 8), axis=0)
+    return out
 
 
 def describe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -155,32 +172,53 @@ def _last_group(table: pa.Table) -> int:
 
 
 def _compare(table: pa.Table, nearest: bool) -> Iterator[pa.RecordBatch]:
+    """Pairs of whole groups, a bounded number of sketches at a time."""
     if table.num_rows < 2:
         return
     keys = np.stack([np.asarray(table.column(i)) for i in range(3)])
-    side, docs, labels, sizes = (np.asarray(table.column(i)) for i in range(3, 7))
-    bits = np.frombuffer(b"".join(table.column(7).to_pylist()), _U).reshape(-1, SKETCH_WORDS)
-    starts = np.concatenate([[0], np.flatnonzero((keys[:, :-1] != keys[:, 1:]).any(axis=0)) + 1, [len(docs)]])
-    lengths = np.diff(starts)
+    starts = np.concatenate([[0], np.flatnonzero((keys[:, :-1] != keys[:, 1:]).any(axis=0)) + 1, [table.num_rows]])
+    sketches = table.column(7).to_pylist()
+    widths = np.minimum.reduceat(np.array([len(x) for x in sketches]), starts[:-1])
+    # Groups whose narrowest sketches are equally wide are compared together.
+    for width in np.unique(widths).tolist():
+        part, size = [], 0
+        for g in np.flatnonzero(widths == width).tolist():
+            part.append(g)
+            size += int(starts[g + 1] - starts[g]) * width
+            if size >= PIECE:
+                yield from _compare_groups(table, keys, starts, part, sketches, width, nearest)
+                part, size = [], 0
+        if part:
+            yield from _compare_groups(table, keys, starts, part, sketches, width, nearest)
+
+
+def _compare_groups(table, keys, starts, part: list[int], sketches: list[bytes], width: int, nearest: bool) -> Iterator[pa.RecordBatch]:
+    rows = np.concatenate([np.arange(starts[g], starts[g + 1]) for g in part])
+    lengths = np.diff(starts)[part]
+    side, docs, labels, sizes = (np.asarray(table.column(i))[rows] for i in range(3, 7))
+    lo, hi = keys[1][rows], keys[2][rows]
+    bits = folded([sketches[i] for i in rows.tolist()], width)
+    first = np.concatenate([[0], np.cumsum(lengths)])
     group = np.repeat(np.arange(len(lengths)), lengths)
-    small = lengths <= 16
+    small = lengths <= SMALL
     lows, highs = [], []
 
     def keep(i: np.ndarray, j: np.ndarray) -> None:
-        crosses = (labels[i] != labels[j]) & ((keys[1][i] == keys[2][i]) | (side[i] != side[j]))
+        crosses = (labels[i] != labels[j]) & ((lo[i] == hi[i]) | (side[i] != side[j]))
         i, j = i[crosses], j[crosses]
         most = (sizes[i] + sizes[j]) // 9
-        near = (np.abs(sizes[i] - sizes[j]) <= most) & (np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1) <= most)
+        near = np.abs(sizes[i] - sizes[j]) <= most
+        near[near] = np.bitwise_count(bits[i[near]] ^ bits[j[near]]).sum(axis=1) <= most[near]
         near |= (sizes[i] < 0) | (sizes[j] < 0)
         lows.append(np.minimum(docs[i], docs[j])[near])
         highs.append(np.maximum(docs[i], docs[j])[near])
 
-    for step in range(1, 16):
+    for step in range(1, SMALL):
         i = np.flatnonzero((group[step:] == group[:-step]) & small[group[step:]]) if len(docs) > step else np.zeros(0, int)
         if len(i):
             keep(i, i + step)
     for g in np.flatnonzero(~small):
-        at = np.arange(starts[g], starts[g + 1])
+        at = np.arange(first[g], first[g + 1])
         for k in range(1, len(at)):
             if nearest:
                 apart = np.bitwise_count(bits[at[:k]] ^ bits[at[k]]).sum(axis=1)
@@ -220,12 +258,9 @@ def verify(pairs: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col:
     return map_batches(joined, make, "x bigint, y bigint").distinct()
 
 
-def _blocked(members: DataFrame, large: DataFrame, pairwise: bool) -> DataFrame:
-    """Members of signature groups dealt to comparison blocks, at most two blocks per group key.
-
-    ``large`` has the number of blocks of the groups that need more than one.
-    """
-    blocks = members.join(large, "sign", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+def _blocked(members: DataFrame, pairwise: bool) -> DataFrame:
+    """Members of signature groups of ``n`` dealt to comparison blocks, at most two blocks per group key."""
+    blocks = members.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
     side = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
     sided = blocks.withColumn("side", side)
     if pairwise:
@@ -237,12 +272,20 @@ def _blocked(members: DataFrame, large: DataFrame, pairwise: bool) -> DataFrame:
 
 
 def candidates(described: DataFrame) -> DataFrame:
-    """(sign, doc_id) of every signature that two sets or more share."""
+    """(sign, doc_id, n) of every signature that two sets or more share, n telling how many.
+
+    Signatures with the same members, told by their number and hashes, would only repeat pairs: the lowest one stays.
+    """
     from pyspark.sql import Window
 
     signs = described.select("doc_id", F.explode("signs").alias("sign"))
     counted = signs.withColumn("n", F.count("*").over(Window.partitionBy("sign")))
-    return counted.where("n > 1").select("sign", "doc_id")
+    shared = shared_table(counted.where("n > 1").select("sign", "doc_id", "n"), "join-shared")
+    hashed = F.xxhash64("doc_id")
+    lanes = [F.bit_xor(hashed), F.sum(hashed.bitwiseAND(F.lit(0x7FFFFFFF))), F.sum(F.shiftrightunsigned(hashed, 33))]
+    members = shared.groupBy("sign", "n").agg(*(lane.alias(f"h{i}") for i, lane in enumerate(lanes)))
+    one = members.groupBy("n", "h0", "h1", "h2").agg(F.min("sign").alias("sign")).select("sign")
+    return skew_join(shared, one, ["sign"], "left_semi")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -269,19 +312,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.when(one_text, F.max("n_shingles")).otherwise(-1).alias("n_shingles"), F.max("sketch").alias("sketch")
     )
 
-    sizes = grouped.groupBy("sign").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    large = shared_table(sizes.where("blocks > 1"), "join-large")
     chosen = grouped.join(traits, "doc_id").withColumn("label", F.col("doc_id"))
-    first = chosen.where(f"n_shingles < {SMALL} or pmod(sign, {NEIGHBOUR_SHARE}) = 0")
-    near = shared_table(_pairs_of_blocks(_blocked(first, large, False), True).distinct(), "join-near")
+    near = shared_table(_pairs_of_blocks(_blocked(chosen, False), True).distinct(), "join-near")
     links = shared_table(verify(near, docs, id_col, text_col).unionByName(same), "join-links")
     found = components(links)
 
-    labelled = grouped.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    labelled = labelled.select("sign", "doc_id", F.coalesce("component", "doc_id").alias("label"))
+    # Small groups are done; of the others, those whose members do not all belong together yet.
+    labelled = grouped.where(f"n > {SMALL}").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    labelled = labelled.select("sign", "doc_id", "n", F.coalesce("component", "doc_id").alias("label"))
     open_signs = labelled.groupBy("sign").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b").select("sign")
-    left = labelled.join(open_signs, "sign", "left_semi").join(traits, "doc_id")
-    crossing = _pairs_of_blocks(_blocked(left, large, True), False).distinct()
+    left = skew_join(labelled, open_signs, ["sign"], "left_semi").join(traits, "doc_id")
+    crossing = _pairs_of_blocks(_blocked(left, True), False).distinct()
     crossing = shared_table(crossing.join(near, ["x", "y"], "left_anti"), "join-crossing")
     more = verify(crossing, docs, id_col, text_col)
     joined = shared_table(links.unionByName(more), "join-all-links")
