@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -73,14 +74,14 @@ def _hashed(
 ) -> DataFrame:
     """Rows with their hash and the slice of the hash range it falls in.
 
-    There are as many slices as the rows, counted inside the query, ask for.
+    Rows and hashes are written once; counting slices, finding the cut and taking the rows read
+    what was written, so the input is read and hashed a single time. There are as many slices as
+    the written rows ask for.
     """
-    total = df.agg(F.count("*").alias("n"))
-    bits = F.expr(f"int(least({MOST_BITS}, ceil(log2(greatest(1.0, n / {rows_per_slice}.0)))))")
-    hashed = df.withColumn("_h", stable_hash(id_column, stratum, salt, method=method))
-    hashed = hashed.withColumn("_bits", total.select(bits.alias("bits")).scalar())
-    cut = F.expr(f"shiftright(_h, {HASH_BITS[method]} - _bits)")
-    return hashed.withColumn("_slice", cut).drop("_bits")
+    hashed = materialise(df.withColumn("_h", stable_hash(id_column, stratum, salt, method=method)), "hashed")
+    ask = max(1.0, hashed.count() / rows_per_slice)
+    bits = min(MOST_BITS, math.ceil(math.log2(ask)))
+    return hashed.withColumn("_slice", F.shiftright("_h", HASH_BITS[method] - bits))
 
 
 def _slice_offsets(hashed: DataFrame, stratum: str) -> DataFrame:
@@ -157,6 +158,8 @@ def select_fraction(
     taken = sized.where("_before < _keep").selectExpr(
         stratum, "_slice", "if(_before + _n > _keep, _keep - _before, NULL) AS _left"
     )
+    # One row per stratum and slice; written, so that both branches below read the counts, not the rows again.
+    taken = materialise(taken, "taken")
     # Joined by slice as well, so even a stratum with most of the rows is spread evenly.
     tagged = skew_join(hashed, taken, [stratum, "_slice"], null_safe=True)
     in_order = Window.partitionBy(stratum, "_slice").orderBy("_h", id_column)
