@@ -80,7 +80,7 @@ def test_a_hot_key_in_one_file_only_is_split(spark, uneven, settings, tmp_path):
     path = str(tmp_path / "facts")
     settings(spark__sql__files__maxPartitionBytes=64_000, spark__sql__files__openCostInBytes=64_000)
     for i in range(6):
-        n, key = (200_000, "0") if i == 3 else (3000, f"{i} * 1000 + id % 900")
+        n, key = (200_000, "0L") if i == 3 else (3000, f"{i} * 1000 + id % 900")
         rows = spark.range(n, numPartitions=1).selectExpr(f"{key} AS k", "xxhash64(id) AS v")
         rows.write.option("parquet.block.size", 32_000).mode("append").parquet(path)
     uneven()
