@@ -17,8 +17,9 @@ from ..functions.predicates import (
     source_priority,
 )
 from ..functions.timeops import earliest, ntz, sentinel, whole_hours, years_by_calendar_sql
+from .asof import neighbours, one_per_time
 from .rows import best_row, top_k
-from .scale import repeat_rows, skew_join
+from .scale import materialise, repeat_rows, skew_join
 
 KEYS = ("subject_id", "hadm_id")
 
@@ -138,21 +139,45 @@ def nearest_measurement(
     alias: str = "weight_kg",
     tie_break: Sequence[str] = (),
 ) -> DataFrame:
-    """Best plausible measurement for each anchor; ``anchors`` has one row per ``on`` key.
+    """Best plausible measurement for each anchor, found without pairing anchors and measurements.
 
     The unit source listed first in ``factors`` wins over the others whatever its
-    distance; then the distance in whole hours, then the earlier time. Values are
-    converted and checked against ``bounds`` before they reach the join.
+    distance; then the distance in whole hours, then the earlier time, then ``tie_break``.
+    Values are converted and checked against ``bounds`` first; measurements without a time do
+    not count. Anchors may repeat a key; per ``partition`` the best one is kept.
+
+    The last measurement before an anchor tells the distance on that side, and the first one
+    after the hour before it is the earliest of that distance; the next one after the anchor
+    stands for the other side. So two as-of lookups are enough, however many measurements a key has.
     """
+    on, names = list(on), [*tie_break, alias]
     plausible = (
-        events.where(code_in(code, list(factors)) & F.col(value).isNotNull())
+        events.where(code_in(code, list(factors)) & F.col(value).isNotNull() & F.col(event_ts).isNotNull())
         .withColumn(alias, normalise_units(code, value, factors))
         .where(between(alias, *bounds))
         .withColumn("_priority", source_priority(code, list(factors)))
         .select(*on, event_ts, alias, "_priority", *tie_break)
     )
-    paired = skew_join(plausible, anchors, on).withColumn(
-        "_distance", F.abs(whole_hours(anchor_ts, event_ts))
-    )
-    best = best_row(paired, partition, ["_priority", "_distance", event_ts, *tie_break])
-    return best.withColumn(alias, F.round(alias, 1)).drop("_priority", "_distance", *tie_break)
+    # Per key only the sources of the first rank it has count.
+    first = plausible.groupBy(*on).agg(F.min("_priority").alias("_first"))
+    ranked = skew_join(plausible, first, on).where("_priority = _first")
+    times = one_per_time(ranked, on, event_ts, ["_priority", *names])
+    times = materialise(times, "measurements")
+
+    anchors = anchors.dropna(subset=on)
+    beside = neighbours(anchors, times, on, anchor_ts)
+    hours = lambda side: F.abs(whole_hours(anchor_ts, F.col(f"{side}.ts")))
+    beside = beside.withColumns({"_back": hours("before"), "_ahead": hours("after")})
+    # On equal distances the earlier time wins, which is the one before.
+    beside = beside.withColumn("_use_after", F.expr("before IS NULL OR coalesce(_ahead < _back, false)"))
+    beside = materialise(beside.where("before IS NOT NULL OR after IS NOT NULL"), "neighbours")
+    wanted = beside.where("NOT _use_after").withColumn("_from", F.expr(f"timestampadd(HOUR, -(_back + 1), `{anchor_ts}`)"))
+    earliest_of = neighbours(wanted, times, on, "_from").select(*on, "_from", F.col("after").alias("_found"))
+    ahead = beside.where("_use_after").select(*on, anchor_ts, F.col("after").alias("_found"), F.col("_ahead").alias("_distance"))
+    back = skew_join(wanted, earliest_of, [*on, "_from"]).select(*on, anchor_ts, "_found", F.col("_back").alias("_distance"))
+
+    chosen = skew_join(anchors, ahead.unionByName(back), [*on, anchor_ts], null_safe=True)
+    chosen = chosen.withColumns({event_ts: F.col("_found.ts"), "_priority": F.col("_found._priority"), **{n: F.col(f"_found.`{n}`") for n in names}})
+    best = best_row(chosen, partition, ["_priority", "_distance", event_ts, *tie_break])
+    others = [c for c in anchors.columns if c not in on]
+    return best.select(*on, event_ts, F.round(alias, 1).alias(alias), *others)
