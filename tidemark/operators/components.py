@@ -14,9 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.predicates import in_sql, like_any_sql, or_zero, quoted, sql_literal
-from ..functions.timeops import HOUR_US, after_sql
+from ..functions.timeops import HOUR_US, after_sql, sentinel
+from ..sources.layout import Stored
 from .cohort import KEYS
-from .scale import skew_join
+from .scale import materialise, skew_join
 
 
 @dataclass(frozen=True)
@@ -145,12 +146,22 @@ def add_derived(df: DataFrame, derived: Sequence[Derived]) -> DataFrame:
 
 
 def event_parts(
-    tables: Mapping[str, DataFrame],
+    tables: Mapping[str, DataFrame | Stored],
     families: Sequence[EventFamily],
     keys: Sequence[str] = KEYS,
     value_tests: Mapping[str, Sequence[WindowFlag]] | None = None,
 ) -> list[DataFrame]:
-    """Events of the families as rows (keys, family, ts, value), one DataFrame per scan.
+    """Events of the families as rows (keys, family, ts, value), one DataFrame per scan."""
+    return [rows for rows, _ in event_scans(tables, families, keys, value_tests)]
+
+
+def event_scans(
+    tables: Mapping[str, DataFrame | Stored],
+    families: Sequence[EventFamily],
+    keys: Sequence[str] = KEYS,
+    value_tests: Mapping[str, Sequence[WindowFlag]] | None = None,
+) -> list[tuple[DataFrame, bool]]:
+    """Events of the families, one DataFrame per scan, and whether it is stored by ``keys``.
 
     Families that share a table and use separate codes are read in one scan;
     their filters, value limits included, go down to the scan.
@@ -177,16 +188,19 @@ def event_parts(
         name = sql_literal(head.name)
         for f in others:
             name = f"if({f.where()}, {sql_literal(f.name)}, {name})"
-        rows = tables[head.table].where(" OR ".join(chosen(f) for f in part))
-        rows = rows.selectExpr(
-            *keys, f"{name} AS family", f"{head.time()} AS ts", f"{head.value()} AS value"
-        )
-        scans.append(rows)
+        table = tables[head.table]
+        sources = [(table, False)]
+        if isinstance(table, Stored):
+            sources = [(table.even, table.keys == tuple(keys)), (table.uneven, False)]
+        for source, dealt in sources:
+            rows = source.where(" OR ".join(chosen(f) for f in part))
+            rows = rows.selectExpr(*keys, f"{name} AS family", f"{head.time()} AS ts", f"{head.value()} AS value")
+            scans.append((rows, dealt))
     return scans
 
 
 def event_relation(
-    tables: Mapping[str, DataFrame],
+    tables: Mapping[str, DataFrame | Stored],
     families: Sequence[EventFamily],
     keys: Sequence[str] = KEYS,
     value_tests: Mapping[str, Sequence[WindowFlag]] | None = None,
@@ -225,6 +239,7 @@ def window_components(
     components: Sequence[Component],
     anchor: str,
     keys: Sequence[str] = KEYS,
+    dealt: Sequence[DataFrame] = (),
 ) -> DataFrame:
     """All components per key, for keys that have at least one event.
 
@@ -232,16 +247,19 @@ def window_components(
     always with the same anchor time. The window limits are computed once per
     anchor, so an event row costs plain time comparisons. Hot keys are split by
     the join; the aggregate that follows merges inside each task before anything is
-    shuffled again.
+    shuffled again. Parts in ``dealt`` are stored by the keys: they meet the limits where they lie.
     """
     parts = [events] if isinstance(events, DataFrame) else list(events)
     bounds = [c.span.bounds_us() for c in components]
     marks = sorted({m for pair in bounds for m in pair if m is not None})
     zero = anchors.groupBy(*keys).agg(F.max(anchor).alias(anchor))
-    limits = zero.selectExpr(
-        *keys, *[f"{after_sql(anchor, m)} AS {_bound_name(m)}" for m in marks]
-    )
-    joined = skew_join(reduce(DataFrame.unionByName, parts), limits, keys)
+    limits = zero.selectExpr(*keys, anchor, *[f"{after_sql(anchor, m)} AS {_bound_name(m)}" for m in marks])
+    # A written table behind a comparison: from such a side Spark makes a Bloom filter of the keys, which drops
+    # the events of all other keys in their scans. Keys without an anchor time have no window and go here.
+    limits = materialise(limits, "limits").where(F.col(anchor) <= sentinel()).drop(anchor)
+    met = [part.join(limits, list(keys)) for part in dealt]
+    met += [skew_join(reduce(DataFrame.unionByName, parts), limits, keys).select(*met[0].columns)] if met and parts else []
+    joined = reduce(DataFrame.unionByName, met) if met else skew_join(reduce(DataFrame.unionByName, parts), limits, keys)
 
     aggregates = []
     for c, (start, to) in zip(components, bounds):

@@ -15,6 +15,10 @@ CLUSTER_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Let a small cohort filter event scans before their shuffle.
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # A filter of 8 MB, good for four million admissions, whatever the size of the table it is made from.
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g",
+    "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "4000000",
+    "spark.sql.optimizer.runtime.bloomFilter.numBits": "67108864",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.session.timeZone": "UTC",
 }
