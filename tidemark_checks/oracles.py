@@ -445,6 +445,10 @@ WITH {_CLINICAL}
 SELECT subject_id, hadm_id, ts AS charttime, item::INT AS itemid, v AS valuenum, 'mmol/L' AS valueuom
 FROM labs UNION ALL
 SELECT subject_id, hadm_id, ts, [226512, 226531][1 + event_id % 2]::INT, v, NULL FROM wt""",
+    "bucketed_flags": _BASELINE,
+    "refreshed_flags": _BASELINE,
+    "registered_ids": """
+SELECT c_custkey, 100 + row_number() OVER (ORDER BY c_custkey % 2 = 0, c_custkey) AS id FROM customer""",
     "update_from_join": """
 SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'O' AND s IS NOT NULL
   THEN s + INTERVAL 1 DAY ELSE o_orderdate END AS o_orderdate, o_totalprice
@@ -514,3 +518,6 @@ w AS (SELECT subject_id, hadm_id, max(v) AS kg FROM wt
 SELECT subject_id, hadm_id, total_dose, coalesce(total_dose / kg >= 30, false)::INT AS dose_reached
 FROM d JOIN w USING (hadm_id)""",
 }
+# Stored tables end as the tables of the plain operators do, however often a change is repeated.
+ORACLES["stored_update"] = ORACLES["update_from_join"]
+ORACLES["stored_append"] = ORACLES["append_absent"]

@@ -28,10 +28,12 @@ from tidemark.sources.tables import (
     publish_view,
     read_snapshot,
 )
+from tidemark.operators import stored
 from tidemark.operators.scale import materialise, shared_folder
-from tidemark.plans import baseline, bundles, codes, explore, final
+from tidemark.plans import baseline, bundles, codes, explore, final, refresh
 from tidemark.plans.groups import Group, choose_groups, mark_groups
 from tidemark.plans.spec import SEPSIS, MeasureSpec
+from tidemark.sources import layout, versions
 
 from .encounters import clinical_tables
 
@@ -287,7 +289,7 @@ def window_values(spark, sf_dir):
         WindowValue("max_lactate", "lactate", Span(3)),
         WindowValue("first_lactate", "lactate", Span(3), agg="first"),
     ]
-    anchored = baseline.anchored_cohort(tables).select(*KEYS, "sepsis_time_zero")
+    anchored = materialise(baseline.anchored_cohort(tables).select(*KEYS, "sepsis_time_zero"), "anchored")
     events = components.event_relation(tables, [SEPSIS.family("lactate")])
     found = components.window_components(events, anchored, wanted, "sepsis_time_zero")
     return components.attach_components(anchored, found, wanted).drop("sepsis_time_zero")
@@ -296,7 +298,7 @@ def window_values(spark, sf_dir):
 @query
 def half_open_flags(spark, sf_dir):
     tables = clinical_tables(spark, sf_dir)
-    anchored = baseline.anchored_cohort(tables).select(*KEYS, "sepsis_time_zero")
+    anchored = materialise(baseline.anchored_cohort(tables).select(*KEYS, "sepsis_time_zero"), "anchored")
     found = final.antibiotic_within_3h(anchored, tables["prescriptions"], "sepsis_time_zero", "startts")
     step = WindowFlag("antibiotics_3h", "antibiotic", Span(3, lo=0, mode="half_open"))
     return components.attach_components(anchored, found, [step]).drop("sepsis_time_zero")
@@ -852,3 +854,68 @@ def dose_per_kg(spark, sf_dir):
     doses = fluids.withColumn("ml", (F.col("valuenum") * 100).cast("bigint"))
     found = extensions.dose_per_kg(doses, per_key, KEYS, "ml", "weight_kg", 30)
     return found.select(*KEYS, "total_dose", "dose_reached")
+
+
+# --- stored tables -------------------------------------------------------------
+
+
+def _place(spark) -> str:
+    return f"{shared_folder(spark)}/stored-{uuid.uuid4().hex}"
+
+
+@query
+def bucketed_flags(spark, sf_dir):
+    """The baseline on event tables stored by admission; keys of more than 30 events lie beside the buckets."""
+    tables = clinical_tables(spark, sf_dir)
+    name = f"bucketed_{uuid.uuid4().hex}"
+    events = ("microbiologyevents", "prescriptions", "labevents", "chartevents")
+    held = {n: layout.store(tables[n], f"{name}_{n}", KEYS, 8, uneven_rows=30) for n in events}
+    others = {n: tables[n] for n in ("admissions", "patients", "diagnoses_icd", "icustays")}
+    return without_sentinel(baseline.baseline_flags(held | others, BY_ADMISSION))
+
+
+@query
+def refreshed_flags(spark, sf_dir):
+    """Two thirds of all events first, the rest in two batches, the second one given twice."""
+    tables = clinical_tables(spark, sf_dir)
+    events = ("microbiologyevents", "prescriptions", "labevents", "chartevents")
+    third = lambda n, k: tables[n].where(F.pmod(F.xxhash64(*tables[n].columns), F.lit(6)).isin(k))
+    live = refresh.start({n: third(n, [0, 1, 2, 3]) if n in events else tables[n] for n in BY_ADMISSION.tables()}, _place(spark), BY_ADMISSION, 16)
+    for name, rest in (("a", [4]), ("b", [5]), ("b", [5])):
+        live = refresh.refresh(live, {n: third(n, rest) for n in events}, name)
+    return without_sentinel(live.flags.read())
+
+
+@query
+def stored_update(spark, sf_dir):
+    """The update of ``update_from_join`` on a stored table, run twice."""
+    orders, lineitem = _raw(spark, sf_dir, "orders", "lineitem")
+    firsts = rows.first_time(lineitem.withColumnRenamed("l_orderkey", "o_orderkey"), ["o_orderkey"], "l_shipdate", "first_ship")
+    table = versions.create(orders.select("o_orderkey", "o_orderstatus", "o_orderdate", "o_totalprice"), _place(spark), ["o_orderkey"], 16)
+    for _ in range(2):
+        table = stored.update_stored(table, firsts, ["o_orderkey"], {"o_orderdate": t.shift("first_ship", 1, "DAY")}, F.col("o_orderstatus") == "O")
+    return versions.open_table(spark, table.path).read()
+
+
+@query
+def stored_append(spark, sf_dir):
+    """The cultures of ``append_absent`` added to a stored table, run twice."""
+    tables = clinical_tables(spark, sf_dir)
+    time = t.shift("admittime", 12 + hash_mod(17, "hadm_id", 41), "MINUTE")
+    candidates = _coded_admissions(tables, codes.SEVERE_SEPSIS).select(
+        *KEYS, F.lit(codes.BLOOD_CULTURE).alias("spec_itemid"), time.alias("charttime"), time.cast("date").alias("chartdate")
+    )
+    table = versions.create(tables["microbiologyevents"], _place(spark), ["hadm_id"], 16)
+    for _ in range(2):
+        table = stored.append_absent_stored(table, candidates, ["hadm_id"])
+    return versions.open_table(spark, table.path).read()
+
+
+@query
+def registered_ids(spark, sf_dir):
+    """Ids of customers in three rounds: odd ones, all, all again; known ids stay."""
+    (customer,) = _raw(spark, sf_dir, "customer")
+    table = versions.create(spark.createDataFrame([], "c_custkey long, id long"), _place(spark), ["c_custkey"], 16)
+    for some in (customer.where("c_custkey % 2 = 1"), customer, customer):
+        table = stored.register(table, some, start=100)
+    return table.read()
