@@ -49,7 +49,7 @@ def labelled_urls():
 def test_mined_rules_equal_counting(spark):
     rows = labelled_urls()
     frame = spark.createDataFrame([*rows, (None, True), ("http://x.org/", None)], "url string, bad boolean")
-    rules = url_rules.mine(frame, support=0.01, confidence=0.7, lift=1.5).collect()
+    rules = url_rules.mine(frame, support=30, confidence=0.7, lift=1.5).collect()
     baskets = [(set(r["t"]), r["bad"]) for r in frame.where("url is not null and bad is not null").select(url_rules.tokens(frame["url"]).alias("t"), "bad").collect()]
     total, bad_rows = Counter(), Counter()
     for tokens, bad in baskets:
@@ -58,7 +58,7 @@ def test_mined_rules_equal_counting(spark):
                 total[c] += 1
                 bad_rows[c] += bad
     share = sum(b for _, b in baskets) / len(baskets)
-    strong = {c: bad_rows[c] / total[c] for c in total if bad_rows[c] >= 0.01 * len(baskets) and bad_rows[c] >= 0.7 * total[c] and bad_rows[c] / total[c] / share >= 1.5}
+    strong = {c: bad_rows[c] / total[c] for c in total if bad_rows[c] >= 30 and bad_rows[c] >= 0.7 * total[c] and bad_rows[c] / total[c] / share >= 1.5}
     least = {c for c in strong if not any(set(d) < set(c) and strong[d] >= strong[c] for d in strong)}
     assert {tuple(r["antecedent"]) for r in rules} == least and ("folder=a", "host=win") in least
 
@@ -66,7 +66,7 @@ def test_mined_rules_equal_counting(spark):
 def test_matches_equal_testing_every_rule(spark):
     rows = labelled_urls()
     frame = spark.createDataFrame(rows, "url string, bad boolean")
-    mined = url_rules.mine(frame, support=0.01, confidence=0.7)
+    mined = url_rules.mine(frame, support=30, confidence=0.7)
     rules = {r["rule_id"]: set(r["antecedent"]) for r in mined.collect()}
     pages = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(rows)] + [(9999, rows[0][0]), (None, None)], "page_id bigint, url string")
     tokens = {r["url"]: set(r["t"]) for r in frame.select("url", url_rules.tokens(frame["url"]).alias("t")).collect()}
@@ -77,3 +77,14 @@ def test_matches_equal_testing_every_rule(spark):
         n = sum(a <= tokens[url[r["page_id"]]] for a in rules.values()) if r["page_id"] is not None else 0
         assert (r["n_mined"], r["verdict"]) == (n, "block" if n else "allow")
     assert sum(r["verdict"] == "block" for r in got) > 100
+
+
+def test_a_bad_host_is_found_in_a_table_of_any_size(spark):
+    """4,000 URLs of one host, all bad, among a million; and 40 of them among a thousand."""
+    for n, bad in ((1_000_000, 4_000), (1_000, 40)):
+        spoilt = f"id < {bad}"
+        url = f"if({spoilt}, concat('http://bad.org/', id, '.html'), concat('http://h', id % 50, '.info/', id % 7, '/', id))"
+        labelled = spark.range(n).selectExpr(f"{url} AS url", f"{spoilt} OR id % 25 = 0 AS bad")
+        index = url_rules.inverted_index(url_rules.mine(labelled), labelled)
+        pages = spark.createDataFrame([(1, "http://bad.org/new.html"), (2, "http://h3.info/2/5")], "page_id bigint, url string")
+        assert {r["page_id"]: r["verdict"] for r in url_rules.judge(pages, index).collect()} == {1: "block", 2: "allow"}

@@ -37,8 +37,9 @@ HOST_RULES = (
     HostRule("net", "/es/", "block"),
     HostRule("net", "/fr/", "block"),
 )
-#: Least share of labelled URLs, least confidence and least lift of a mined rule.
-SUPPORT, CONFIDENCE, LIFT = 0.005, 0.8, 1.5
+#: Least number of bad labelled URLs, least confidence and least lift of a mined rule. A number and not a
+#: share: what is bad often enough to be sure of is so in a table of any size.
+SUPPORT, CONFIDENCE, LIFT = 30, 0.8, 1.5
 BAD = "label=bad"
 
 
@@ -79,11 +80,11 @@ def tokens(url: Column) -> Column:
     return F.array_distinct(F.filter(listed, lambda t: t.isNotNull()))
 
 
-def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, lift: float = LIFT) -> DataFrame:
+def mine(labelled: DataFrame, support: int = SUPPORT, confidence: float = CONFIDENCE, lift: float = LIFT) -> DataFrame:
     """Rules (rule_id, antecedent, confidence, support, lift) from rows (url, bad).
 
-    FP-growth counts itemsets on the executors; what it gathers is bounded by the support.
-    Rows with a null label or url are left out; without rows there are no rules.
+    ``support`` counts bad URLs with all tokens of the rule. FP-growth counts itemsets on the executors; the
+    driver gets the tokens that occur ``support`` times, at most tokens / ``support`` many. Rows with a null label or url are left out; without rows there are no rules.
     """
     from pyspark.ml.fpm import FPGrowth
 
@@ -92,16 +93,20 @@ def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONF
     rows = labelled.where("url is not null and bad is not null").select("url", "bad")
     with_label = F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>"))
     baskets = shared_table(rows.select(F.concat(tokens(F.col("url")), with_label).alias("items")), "url-baskets")
-    if baskets.isEmpty():
+    total = baskets.count()
+    if not total:
         return spark.createDataFrame([], schema)
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
+    # Half a row less, so that rounding never asks for one more.
+    model = FPGrowth(itemsCol="items", minSupport=max(0.0, support - 0.5) / total, minConfidence=confidence).fit(baskets)
     found = model.associationRules.where((F.size("consequent") == 1) & (F.col("consequent")[0] == BAD) & (F.col("lift") >= lift))
     rules = found.select(F.sort_array("antecedent").alias("antecedent"), "confidence", "support", "lift")
     rules = shared_table(rules, "url-rules")
-    # A rule says no more than a shorter one inside it with at least its confidence.
-    shorter = rules.select(F.col("antecedent").alias("a"), F.col("confidence").alias("c"), F.explode("antecedent").alias("token"))
-    inside = rules.select("antecedent", "confidence", F.explode("antecedent").alias("token")).join(shorter, "token")
-    implied = inside.where((F.size("a") < F.size("antecedent")) & (F.col("c") >= F.col("confidence")) & (F.size(F.array_except("a", "antecedent")) == 0))
+    # A rule says no more than a shorter one inside it with at least its confidence. Each rule lists the parts of
+    # its antecedent, and a part meets the one rule that is equal to it.
+    parts = "aggregate(antecedent, array(cast(array() AS array<string>)), (done, t) -> concat(done, transform(done, p -> concat(p, array(t)))))"
+    inside = rules.select("antecedent", "confidence", F.explode(F.expr(parts)).alias("part")).where("size(part) between 1 and size(antecedent) - 1")
+    shorter = rules.select(F.col("antecedent").alias("part"), F.col("confidence").alias("c"))
+    implied = inside.join(shorter, "part").where("c >= confidence")
     kept = rules.join(implied.select("antecedent").distinct(), "antecedent", "left_anti")
     return kept.select(F.xxhash64("antecedent").alias("rule_id"), "antecedent", "confidence", "support", "lift")
 
