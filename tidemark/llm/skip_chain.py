@@ -29,8 +29,10 @@ KINDS = ("email", "ip", "card", "phone")
 #: Documents with active words that training may read, and its length.
 TRAINING_DOCS = 2000
 ROUNDS, STEP, DECAY, DROPPED = 300, 0.5, 1e-3, 0.3
-#: Passes of messages, and the marginal from which a label counts.
-PASSES, SURE = 6, 0.9
+#: The marginal from which a label counts.
+SURE = 0.9
+#: Messages are passed until none changes by more; the limit is far beyond what a chain through all words needs.
+TOLERANCE = 1e-4
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -187,7 +189,11 @@ class Field:
     agree: np.ndarray
 
     def marginals(self, g: Graph) -> np.ndarray:
-        """Label probabilities of the nodes after loopy sum-product message passing."""
+        """Label probabilities of the nodes after loopy sum-product message passing.
+
+        Passes go on until no message changes by more than ``TOLERANCE``, so that a sure mention reaches
+        every later one; loops that never settle end after four passes a word.
+        """
         n_labels = self.nodes.shape[1]
         equal = np.eye(n_labels)
         edges = np.concatenate([g.chain, g.same, g.alike])
@@ -199,12 +205,15 @@ class Field:
         back = np.concatenate([np.arange(len(edges)) + len(edges), np.arange(len(edges))])
         local = g.features @ self.nodes
         messages = np.zeros((len(source), n_labels))
-        for _ in range(PASSES if len(edges) else 0):
+        for _ in range(50 + 4 * len(local) if len(edges) else 0):
             belief = local.copy()
             np.add.at(belief, target, messages)
             out = belief[source] - messages[back]
             new = np.logaddexp.reduce(out[:, :, None] + pair, axis=1)
-            messages = 0.5 * messages + 0.5 * (new - new.max(axis=1, keepdims=True))
+            step = 0.5 * (new - new.max(axis=1, keepdims=True) - messages)
+            messages += step
+            if np.abs(step).max() < TOLERANCE:
+                break
         belief = local
         np.add.at(belief, target, messages)
         belief = np.exp(belief - belief.max(axis=1, keepdims=True))
