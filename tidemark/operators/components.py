@@ -6,7 +6,7 @@ components of a measure are computed together, in one pass over the events.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -47,15 +47,16 @@ class EventFamily:
         return like_any_sql(self.text_columns, self.patterns)
 
     def time(self) -> str:
-        moment = f"cast({quoted(self.time_column)} AS timestamp_ntz)"
+        """Time of an event; text that is no time counts as missing, so that one dirty row does not end a job."""
+        moment = f"try_cast({quoted(self.time_column)} AS timestamp_ntz)"
         if self.fallback_column:
-            moment = f"coalesce({moment}, cast({quoted(self.fallback_column)} AS timestamp_ntz))"
+            moment = f"coalesce({moment}, try_cast({quoted(self.fallback_column)} AS timestamp_ntz))"
         if self.noon_hours:
             moment += f" + make_dt_interval(0, {self.noon_hours})"
         return moment
 
     def value(self) -> str:
-        return f"cast({quoted(self.value_column) if self.value_column else 'NULL'} AS double)"
+        return f"try_cast({quoted(self.value_column) if self.value_column else 'NULL'} AS double)"
 
     def source(self) -> tuple:
         """Families with the same source can be read in one scan."""
@@ -166,6 +167,31 @@ def event_scans(
     Families that share a table and use separate codes are read in one scan;
     their filters, value limits included, go down to the scan.
     """
+    scans = []
+    for scan in scan_texts(families, value_tests):
+        table = tables[scan.table]
+        sources = [(table, False)]
+        if isinstance(table, Stored):
+            sources = [(table.even, table.keys == tuple(keys)), (table.uneven, False)]
+        for source, dealt in sources:
+            rows = source.where(scan.where).selectExpr(*keys, f"{scan.family} AS family", f"{scan.time} AS ts", f"{scan.value} AS value")
+            scans.append((rows, dealt))
+    return scans
+
+
+@dataclass(frozen=True)
+class ScanText:
+    """One scan of an event table as SQL text: which rows, and their family, time and value."""
+
+    table: str
+    where: str
+    family: str
+    time: str
+    value: str
+
+
+def scan_texts(families: Sequence[EventFamily], value_tests: Mapping[str, Sequence[WindowFlag]] | None = None) -> list[ScanText]:
+    """The scans that give the events of the families; families of one table with separate codes share one."""
     value_tests = value_tests or {}
 
     def chosen(f: EventFamily) -> str:
@@ -182,21 +208,14 @@ def event_scans(
         else:
             parts.append([f])
 
-    scans = []
+    texts = []
     for part in parts:
         head, *others = part
         name = sql_literal(head.name)
         for f in others:
             name = f"if({f.where()}, {sql_literal(f.name)}, {name})"
-        table = tables[head.table]
-        sources = [(table, False)]
-        if isinstance(table, Stored):
-            sources = [(table.even, table.keys == tuple(keys)), (table.uneven, False)]
-        for source, dealt in sources:
-            rows = source.where(" OR ".join(chosen(f) for f in part))
-            rows = rows.selectExpr(*keys, f"{name} AS family", f"{head.time()} AS ts", f"{head.value()} AS value")
-            scans.append((rows, dealt))
-    return scans
+        texts.append(ScanText(head.table, " OR ".join(chosen(f) for f in part), name, head.time(), head.value()))
+    return texts
 
 
 def event_relation(
@@ -233,6 +252,23 @@ def from_first_times(components: Sequence[WindowFlag], anchor: str) -> dict[str,
     return out
 
 
+def component_sql(c: Component, limit: Callable[[int], str]) -> str:
+    """Aggregate over (family, ts, value) that gives the component, as SQL text; ``limit`` names a time by its microseconds."""
+    start, to = c.span.bounds_us()
+    inside = f"family = '{c.family}' AND ts < {limit(to)}"
+    if start is not None:
+        inside += f" AND ts >= {limit(start)}"
+    if isinstance(c, WindowFlag):
+        if c.value_test() is not None:
+            inside += f" AND {c.value_test()}"
+        return f"max(if({inside}, 1, 0))"
+    if c.agg in ("max", "sum"):
+        return f"{c.agg}(value) FILTER (WHERE {inside})"
+    if c.agg == "first":
+        return f"min_by(value, struct(ts, value)) FILTER (WHERE {inside} AND value IS NOT NULL)"
+    raise ValueError(f"unknown aggregate {c.agg!r}")
+
+
 def window_components(
     events: DataFrame | Sequence[DataFrame],
     anchors: DataFrame,
@@ -261,22 +297,7 @@ def window_components(
     met += [skew_join(reduce(DataFrame.unionByName, parts), limits, keys).select(*met[0].columns)] if met and parts else []
     joined = reduce(DataFrame.unionByName, met) if met else skew_join(reduce(DataFrame.unionByName, parts), limits, keys)
 
-    aggregates = []
-    for c, (start, to) in zip(components, bounds):
-        inside = f"family = '{c.family}' AND ts < {_bound_name(to)}"
-        if start is not None:
-            inside += f" AND ts >= {_bound_name(start)}"
-        if isinstance(c, WindowFlag):
-            if c.value_test() is not None:
-                inside += f" AND {c.value_test()}"
-            found = f"max(if({inside}, 1, 0))"
-        elif c.agg in ("max", "sum"):
-            found = f"{c.agg}(value) FILTER (WHERE {inside})"
-        elif c.agg == "first":
-            found = f"min_by(value, struct(ts, value)) FILTER (WHERE {inside} AND value IS NOT NULL)"
-        else:
-            raise ValueError(f"unknown aggregate {c.agg!r}")
-        aggregates.append(F.expr(found).alias(c.name))
+    aggregates = [F.expr(component_sql(c, _bound_name)).alias(c.name) for c in components]
     return joined.groupBy(*keys).agg(*aggregates)
 
 

@@ -124,6 +124,13 @@ def shared_folder(spark: SparkSession) -> str:
 _WRITTEN: dict[str, list[str]] = {}
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder name in the shared folder; what is written there goes with ``remove_intermediates``."""
+    path = f"{shared_folder(spark)}/tidemark-{name}-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 def materialise(df: DataFrame, name: str = "table") -> DataFrame:
     """Write an intermediate that is read several times and return the written table.
 
@@ -132,14 +139,13 @@ def materialise(df: DataFrame, name: str = "table") -> DataFrame:
     ``remove_intermediates`` is called.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/tidemark-{name}-{uuid.uuid4().hex}"
-    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    path = scratch(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def remove_intermediates(spark: SparkSession) -> int:
-    """Delete what ``materialise`` wrote in this application; returns how many folders were there.
+    """Delete what was written under ``scratch`` names in this application; returns how many folders were there.
 
     To be called when no DataFrame that reads them is needed any more.
     """

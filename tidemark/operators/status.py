@@ -17,14 +17,18 @@ def all_done(*steps: str) -> str:
     return " AND ".join(f"coalesce({s}, 0) = 1" for s in steps)
 
 
-def by_path(rules: Sequence[tuple[str | None, str]]) -> Column:
-    """1 if the rule of the first path that applies holds; 0 if it fails or no path applies.
+def by_path_sql(rules: Sequence[tuple[str | None, str]]) -> str:
+    """1 if the rule of the first path that applies holds; 0 if it fails or no path applies; as SQL text.
 
     Rules are pairs of a path column and a SQL condition.
     """
     applies = lambda path: "true" if path is None else f"{path} = 1"
     branches = " ".join(f"WHEN {applies(path)} THEN if({rule}, 1, 0)" for path, rule in rules)
-    return F.expr(f"CASE {branches} ELSE 0 END")
+    return f"CASE {branches} ELSE 0 END"
+
+
+def by_path(rules: Sequence[tuple[str | None, str]]) -> Column:
+    return F.expr(by_path_sql(rules))
 
 
 @dataclass(frozen=True)
@@ -38,9 +42,12 @@ class Composite:
     rules: tuple[tuple[str | None, str], ...]
     gate: str | None = None
 
+    def sql(self) -> str:
+        complete = by_path_sql(self.rules)
+        return complete if self.gate is None else f"if({all_done(self.gate)}, {complete}, 0)"
+
     def column(self) -> Column:
-        complete = by_path(self.rules)
-        return complete if self.gate is None else F.when(F.expr(all_done(self.gate)), complete).otherwise(0)
+        return F.expr(self.sql())
 
 
 def add_composites(df: DataFrame, composites: Sequence[Composite]) -> DataFrame:
@@ -55,6 +62,15 @@ def mask_components(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     return df.withColumns({step: mask(step, path) for step, path in rules.items()})
 
 
+def reconciled_sql(severe: str, shock: str, code_any: str, code_shock: str) -> tuple[str, str]:
+    """What flags and codes say together about severe sepsis and about shock, as SQL text."""
+    says = {k: f"coalesce({c}, 0) = 1" for k, c in
+            {"severe": severe, "shock": shock, "any": code_any, "code_shock": code_shock}.items()}
+    by_base = "{severe} AND NOT {shock}"
+    by_code = "NOT {severe} AND {any} AND NOT {code_shock}"
+    return f"if({by_base} OR {by_code}, 1, 0)".format(**says), "if({shock} OR {code_shock}, 1, 0)".format(**says)
+
+
 def reconcile_status(
     base: DataFrame,
     status: DataFrame,
@@ -69,12 +85,7 @@ def reconcile_status(
     Shock is set if either source says so. Severe without shock is set by the
     base flags, or, where the base has no severe flag, by codes without shock.
     """
-    says = {k: f"coalesce({c}, 0) = 1" for k, c in
-            {"severe": severe, "shock": shock, "any": code_any, "code_shock": code_shock}.items()}
-    by_base = "{severe} AND NOT {shock}"
-    by_code = "NOT {severe} AND {any} AND NOT {code_shock}"
-    new_severe = F.expr(f"if({by_base} OR {by_code}, 1, 0)".format(**says))
-    new_shock = F.expr("if({shock} OR {code_shock}, 1, 0)".format(**says))
+    new_severe, new_shock = map(F.expr, reconciled_sql(severe, shock, code_any, code_shock))
     joined = skew_join(base, status.select(*on, code_any, code_shock), on, "left")
     return joined.withColumns({severe: new_severe, shock: new_shock}).drop(code_any, code_shock)
 

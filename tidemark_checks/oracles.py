@@ -447,6 +447,14 @@ FROM labs UNION ALL
 SELECT subject_id, hadm_id, ts, [226512, 226531][1 + event_id % 2]::INT, v, NULL FROM wt""",
     "bucketed_flags": _BASELINE,
     "refreshed_flags": _BASELINE,
+    "stored_view": _FINAL,
+    "refused_rows": """
+SELECT event_id, concat_ws(', ', CASE WHEN event_id % 97 = 5 THEN 'wrong ts' END, CASE WHEN event_id % 97 IN (6, 7) THEN 'missing ts' END,
+                           CASE WHEN event_id % 89 = 3 THEN 'wrong value' END) AS reasons
+FROM events WHERE event_id % 97 IN (5, 6, 7) OR event_id % 89 = 3""",
+    "accepted_rows": """
+SELECT event_type, count(*) AS n, sum(event_id % 1000)::BIGINT AS total, min(date_trunc('second', ts)) AS first_ts
+FROM events WHERE event_id % 97 NOT IN (5, 6, 7) AND event_id % 89 <> 3 GROUP BY event_type""",
     "registered_ids": """
 SELECT c_custkey, 100 + row_number() OVER (ORDER BY c_custkey % 2 = 0, c_custkey) AS id FROM customer""",
     "update_from_join": """

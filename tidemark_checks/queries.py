@@ -29,11 +29,11 @@ from tidemark.sources.tables import (
     read_snapshot,
 )
 from tidemark.operators import stored
-from tidemark.operators.scale import materialise, shared_folder
-from tidemark.plans import baseline, bundles, codes, explore, final, refresh
+from tidemark.operators.scale import materialise, scratch
+from tidemark.plans import baseline, bundles, codes, explore, final, refresh, view
 from tidemark.plans.groups import Group, choose_groups, mark_groups
 from tidemark.plans.spec import SEPSIS, MeasureSpec
-from tidemark.sources import layout, versions
+from tidemark.sources import checked, layout, versions
 
 from .encounters import clinical_tables
 
@@ -779,7 +779,7 @@ def published_view(spark, sf_dir):
 
 def _snapshot(spark, sf_dir, fmt):
     table = without_sentinel(_final(spark, sf_dir))
-    path = f"{shared_folder(spark)}/tidemark-snapshot-{uuid.uuid4().hex}"
+    path = scratch(spark, "snapshot")
     export_snapshot(table, path, fmt)
     return read_snapshot(spark, path, table.schema, fmt)
 
@@ -860,7 +860,7 @@ def dose_per_kg(spark, sf_dir):
 
 
 def _place(spark) -> str:
-    return f"{shared_folder(spark)}/stored-{uuid.uuid4().hex}"
+    return scratch(spark, "stored")
 
 
 @query
@@ -919,3 +919,42 @@ def registered_ids(spark, sf_dir):
     for some in (customer.where("c_custkey % 2 = 1"), customer, customer):
         table = stored.register(table, some, start=100)
     return table.read()
+
+
+@query
+def stored_view(spark, sf_dir):
+    """The final table as a view in the catalog, read by another session; no copy of its rows."""
+    tables = clinical_tables(spark, sf_dir)
+    schema = f"view_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {schema}")
+    for name in BY_ADMISSION.tables():
+        tables[name].write.saveAsTable(f"{schema}.{name}")
+    view.create_view(spark, f"{schema}.bundle_flags_final", schema, BY_ADMISSION, time_column="startts")
+    return without_sentinel(spark.newSession().table(f"{schema}.bundle_flags_final"))
+
+
+def _dirty_events(spark, sf_dir):
+    """Events as text, some times and values spoilt."""
+    (events,) = _raw(spark, sf_dir, "events")
+    return events.selectExpr(
+        "event_id",
+        "CASE WHEN event_id % 97 = 5 THEN 'no time' WHEN event_id % 97 = 6 THEN '' WHEN event_id % 97 = 7 THEN NULL ELSE concat(' ', date_format(ts, 'yyyy-MM-dd HH:mm:ss')) END AS ts",
+        "if(event_id % 89 = 3, 'n/a', cast(event_id % 1000 AS string)) AS value",
+        "event_type",
+    )
+
+
+_EVENT_TYPES = {"ts": "timestamp_ntz", "value": "int"}
+
+
+@query
+def refused_rows(spark, sf_dir):
+    found = checked.checked(_dirty_events(spark, sf_dir), _EVENT_TYPES, ["ts"]).refused
+    return found.select("event_id", F.array_join("reasons", ", ").alias("reasons"))
+
+
+@query
+def accepted_rows(spark, sf_dir):
+    """Rows that passed, typed, counted and added up per event type."""
+    good = checked.checked(_dirty_events(spark, sf_dir), _EVENT_TYPES, ["ts"]).good
+    return good.groupBy("event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"), F.min("ts").alias("first_ts"))
