@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.timeops import HOUR_US, ntz_literal, slot_start
 from .scale import skew_join
@@ -30,17 +31,21 @@ def _running(value: str | Column, window) -> Column:
     return F.last(value, ignorenulls=True).over(window)
 
 
-def neighbours(probes: DataFrame, events: DataFrame, on: Sequence[str], probe_ts: str, slot_us: int = HOUR_US) -> DataFrame:
-    """Distinct (on, probe_ts) with ``before`` (last event at or before it) and ``after`` (first event later).
+def neighbours(
+    probes: DataFrame, events: DataFrame, on: Sequence[str], probe_ts: str, carry: Sequence[str] = (), slot_us: int = HOUR_US
+) -> DataFrame:
+    """Rows (on, probe_ts, carry) with ``before`` (last event at or before) and ``after`` (first event later).
 
     ``events`` comes from ``one_per_time``. Either is NULL where there is no such event. Keys
     that are NULL have no neighbours.
     """
-    on = list(on)
-    start = ntz_literal(_START)
-    asked = probes.dropna(subset=on).select(*on, F.col(probe_ts).alias("_asked")).distinct()
-    asked = asked.select(*on, F.coalesce("_asked", start).alias("ts"), F.lit(None).cast(events.schema["found"].dataType).alias("found"), F.lit(1).alias("_kind"), "_asked")
-    given = events.select(*on, "ts", "found", F.lit(0).alias("_kind"), F.lit(None).cast("timestamp_ntz").alias("_asked"))
+    on, own = list(on), [probe_ts, *carry]
+    start, kinds = ntz_literal(_START), probes.schema
+    asked = probes.dropna(subset=on).select(
+        *on, F.coalesce(probe_ts, start).alias("ts"), F.lit(None).cast(events.schema["found"].dataType).alias("found"), F.lit(1).alias("_kind"), F.struct(*own).alias("_own")
+    )
+    none = F.lit(None).cast(T.StructType([T.StructField(c, kinds[c].dataType) for c in own]))
+    given = events.select(*on, "ts", "found", F.lit(0).alias("_kind"), none.alias("_own"))
     # Dealt by key and slot once; the windows and the count of slots below use the same shuffle.
     rows = asked.unionByName(given).withColumn("_slot", slot_start("ts", slot_us)).repartition(*on, "_slot")
 
@@ -51,11 +56,9 @@ def neighbours(probes: DataFrame, events: DataFrame, on: Sequence[str], probe_ts
     carried = slots.select(*on, "_slot", _running("_last", earlier).alias("_carried"), _running("_first", later).alias("_coming"))
 
     inside = Window.partitionBy(*on, "_slot")
-    # Events of the probe's own time come before it: they count as "at or before".
+    # Events of the probe's own time come before it: they count as "at or before". Probes of one time stand side by side.
     forward = inside.orderBy(F.asc("ts"), F.asc("_kind")).rowsBetween(Window.unboundedPreceding, 0)
     backward = inside.orderBy(F.desc("ts"), F.desc("_kind")).rowsBetween(Window.unboundedPreceding, -1)
     seen = rows.withColumns({"before": _running("found", forward), "after": _running("found", backward)}).where("_kind = 1")
     joined = skew_join(seen, carried, [*on, "_slot"], "left")
-    return joined.select(
-        *on, F.col("_asked").alias(probe_ts), F.coalesce("before", "_carried").alias("before"), F.coalesce("after", "_coming").alias("after")
-    )
+    return joined.select(*on, "_own.*", F.coalesce("before", "_carried").alias("before"), F.coalesce("after", "_coming").alias("after"))

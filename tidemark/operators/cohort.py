@@ -165,18 +165,21 @@ def nearest_measurement(
     times = materialise(times, "measurements")
 
     anchors = anchors.dropna(subset=on)
-    beside = neighbours(anchors, times, on, anchor_ts)
+    beside = neighbours(anchors.select(*on, anchor_ts).distinct(), times, on, anchor_ts)
     hours = lambda side: F.abs(whole_hours(anchor_ts, F.col(f"{side}.ts")))
-    beside = beside.withColumns({"_back": hours("before"), "_ahead": hours("after")})
-    # On equal distances the earlier time wins, which is the one before.
+    beside = beside.where("before IS NOT NULL OR after IS NOT NULL").withColumns({"_back": hours("before"), "_ahead": hours("after")})
+    # On equal distances the earlier time wins, which is the one before. The second lookup starts where the
+    # hours of that distance begin, or at the anchor itself when the next measurement is the nearest.
     beside = beside.withColumn("_use_after", F.expr("before IS NULL OR coalesce(_ahead < _back, false)"))
-    beside = materialise(beside.where("before IS NOT NULL OR after IS NOT NULL"), "neighbours")
-    wanted = beside.where("NOT _use_after").withColumn("_from", F.expr(f"timestampadd(HOUR, -(_back + 1), `{anchor_ts}`)"))
-    earliest_of = neighbours(wanted, times, on, "_from").select(*on, "_from", F.col("after").alias("_found"))
-    ahead = beside.where("_use_after").select(*on, anchor_ts, F.col("after").alias("_found"), F.col("_ahead").alias("_distance"))
-    back = skew_join(wanted, earliest_of, [*on, "_from"]).select(*on, anchor_ts, "_found", F.col("_back").alias("_distance"))
+    wanted = beside.select(
+        *on,
+        anchor_ts,
+        F.expr(f"if(_use_after, `{anchor_ts}`, timestampadd(HOUR, -(_back + 1), `{anchor_ts}`))").alias("_from"),
+        F.expr("if(_use_after, _ahead, _back)").alias("_distance"),
+    )
+    found = neighbours(wanted, times, on, "_from", [anchor_ts, "_distance"]).select(*on, anchor_ts, "_distance", F.col("after").alias("_found"))
 
-    chosen = skew_join(anchors, ahead.unionByName(back), [*on, anchor_ts], null_safe=True)
+    chosen = skew_join(anchors, found, [*on, anchor_ts], null_safe=True)
     chosen = chosen.withColumns({event_ts: F.col("_found.ts"), "_priority": F.col("_found._priority"), **{n: F.col(f"_found.`{n}`") for n in names}})
     best = best_row(chosen, partition, ["_priority", "_distance", event_ts, *tie_break])
     others = [c for c in anchors.columns if c not in on]

@@ -6,7 +6,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import HASH_BITS, hash_mod, stable_hash
@@ -78,8 +78,10 @@ def _hashed(
     what was written, so the input is read and hashed a single time. There are as many slices as
     the written rows ask for.
     """
-    hashed = materialise(df.withColumn("_h", stable_hash(id_column, stratum, salt, method=method)), "hashed")
-    ask = max(1.0, hashed.count() / rows_per_slice)
+    counted = Observation("hashed rows")
+    hashed = df.withColumn("_h", stable_hash(id_column, stratum, salt, method=method)).observe(counted, F.count(F.lit(1)).alias("n"))
+    hashed = materialise(hashed, "hashed")
+    ask = max(1.0, counted.get["n"] / rows_per_slice)
     bits = min(MOST_BITS, math.ceil(math.log2(ask)))
     return hashed.withColumn("_slice", F.shiftright("_h", HASH_BITS[method] - bits))
 
