@@ -6,13 +6,11 @@ the last return the columns of ``docs``; the last returns one row per encoded do
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import decontaminate, mixing, ngram_join, rule_ledger, token_files
 from tidemark.llm.common import read
-from tidemark.operators.scale import shared_folder
+from tidemark.operators.scale import scratch
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +55,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written to the shared folder and read again."""
     docs = read(spark, sf_dir, "documents")
-    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    folder = scratch(spark, "pipeline")
     for number, (name, stage) in enumerate(STAGES):
         out = stage(spark, docs, sf_dir)
         if number + 1 == len(STAGES):
