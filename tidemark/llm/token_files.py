@@ -10,7 +10,6 @@ the token column.
 from __future__ import annotations
 
 import re
-import uuid
 import zlib
 
 import numpy as np
@@ -19,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.scale import shared_folder
+from ..operators.scale import scratch
 from .common import forget_words, map_batches
 
 END_ID = 2
@@ -35,8 +34,8 @@ WRITER_OPTIONS = {
     "parquet.enable.dictionary": "false",
     "parquet.enable.dictionary#ids.list.element": "true",
 }
-#: Pieces a Python worker remembers before it starts anew; about 80 MB.
-FORM_LIMIT = 500_000
+#: Pieces a Python worker remembers before it starts anew; about 180 MB.
+FORM_LIMIT = 800_000
 #: Letters that are one character each in both cases and however they are composed.
 _LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
 
@@ -58,6 +57,7 @@ class Encoder(dict):
             path = public_tokenizers.path(VOCABULARY)
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        self.forms = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         split = self.tokenizer.pre_tokenizer.pre_tokenize_str
         self.as_bytes = {i: split(chr(i))[0][0] for i in range(0xC0, 0x100) if chr(i) not in "×÷"}
 
@@ -73,7 +73,7 @@ class Encoder(dict):
             return self._keep(piece, self[piece[:-1]] + self[piece[-1]])
         else:
             ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-        return self._keep(piece, np.array(ids, "<u4").tobytes())
+        return self._keep(piece, b"".join(map(self.forms.__getitem__, ids)))
 
     def _keep(self, piece: str, value: bytes) -> bytes:
         if len(piece) <= 64:
@@ -155,7 +155,8 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def new_folder(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/tidemark-token-files-{uuid.uuid4().hex}"
+    """A new folder in the shared one, removed with the other intermediates."""
+    return scratch(spark, "token-files")
 
 
 def checksums(tokens: DataFrame) -> DataFrame:
