@@ -18,20 +18,28 @@ with the word counts.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_task, shared_table, text_bytes, word_ids
+from .common import map_task, mix64, shared_table, text_bytes
 
 #: Bytes of text per batch.
 BATCH_BYTES = 16 << 20
-#: The end of a document, as a word no text can contain (it holds a space).
-END = b" end"
+#: The end of a document, as the hash of a word.
+END = np.uint64(0x5851F42D4C957F2D)
+#: Bytes of text whose words are hashed together, and what a word's hash is made of.
+WORD_BYTES = 1 << 18
+_DRAWN = np.random.default_rng(20240229).integers(1, 1 << 63, 256, np.uint64)
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
+_BETWEEN = re.compile(rb"[\x20\x09-\x0D]")
 #: Words of a batch a task gathers before it states the distinct ones.
 BATCH_WORDS = 4_000_000
 #: Grams of a batch a task gathers before it states the distinct ones.
@@ -48,15 +56,60 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 5 == 1
 
 
+def _hash_words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and first byte of every word: sums of drawn numbers per byte times powers of its place, A-Z in lower case."""
+    text = np.frombuffer(data.lower(), np.uint8)
+    inside = np.concatenate([[False], ~_SPACE[text], [False]])
+    starts, ends = np.flatnonzero(inside[1:-1] & ~inside[:-2]), np.flatnonzero(inside[1:-1] & ~inside[2:]) + 1
+    sizes = ends - starts
+    if not len(starts):
+        return np.zeros(0, np.uint64), starts
+    at = np.cumsum(sizes) - sizes
+    place = np.arange(int(sizes.sum())) - np.repeat(at, sizes)
+    powers = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(int(sizes.max()) - 1, _BASE)]), dtype=np.uint64)
+    drawn = _DRAWN[text[inside[1:-1]]] * powers[place]
+    return mix64(np.add.reduceat(drawn, at) + sizes.astype(np.uint64) * _BASE), starts
+
+
+def _pieces(text: bytes) -> Iterator[bytes]:
+    """A long text in pieces that end between words."""
+    at = 0
+    while at < len(text):
+        cut = _BETWEEN.search(text, at + WORD_BYTES)
+        end = cut.end() if cut else len(text)
+        yield text[at:end]
+        at = end
+
+
 def _with_ends(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all texts, each text followed by its end, and the length of each."""
-    listed, sizes = [], []
+    hashes, sizes, group, held = [], [], [], 0
+
+    def together() -> None:
+        found, starts = _hash_words(b"\n".join(group))
+        bounds = np.searchsorted(starts, np.cumsum([len(t) + 1 for t in group]))
+        n = np.diff(np.concatenate([[0], bounds])) + 1
+        out, word = np.full(int(n.sum()), END), np.ones(int(n.sum()), bool)
+        word[np.cumsum(n) - 1] = False
+        out[word] = found
+        hashes.append(out)
+        sizes.append(n)
+
     for text in texts:
-        found = text.lower().split()
-        listed += found
-        listed.append(END)
-        sizes.append(len(found) + 1)
-    return word_ids(listed).view(np.int64), np.array(sizes, np.int64)
+        if group and held + len(text) > WORD_BYTES:
+            together()
+            group, held = [], 0
+        if len(text) > WORD_BYTES:
+            parts = [_hash_words(p)[0] for p in _pieces(text)]
+            hashes += [*parts, np.array([END])]
+            sizes.append(np.array([sum(map(len, parts)) + 1]))
+        else:
+            group.append(text)
+            held += len(text)
+    if group:
+        together()
+    none = np.zeros(0, np.uint64)
+    return np.concatenate([none, *hashes]).view(np.int64), np.concatenate([np.zeros(0, np.int64), *sizes])
 
 
 def _grams(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -149,6 +202,7 @@ def _statements(batched: DataFrame, depth: int) -> DataFrame:
             yield from piles.pop(b).state(b)
             if words[b]:
                 yield _words(b, words.pop(b))
+        _free()
 
     dealt = batched.repartition("batch").select("doc_id", "text", "held_out", "batch")
     return map_task(dealt, run, "gram boolean, batch int, word bigint, n bigint")
@@ -301,6 +355,11 @@ def _dealt(grams: DataFrame, depth: int) -> DataFrame:
     return grams.repartition(F.col("word").bitwiseAND(F.lit((1 << (8 * min(depth, 3) + 8)) - 256)))
 
 
+def _free() -> None:
+    """Give memory that Arrow keeps back; a worker stays for the tasks that follow."""
+    pa.default_memory_pool().release_unused()
+
+
 def _whole(batches: Iterator[pa.RecordBatch]) -> pa.Table | None:
     listed = [b for b in batches if b.num_rows]
     return pa.Table.from_batches(listed).combine_chunks() if listed else None
@@ -320,6 +379,7 @@ def _gram_logs(stated: DataFrame, depth: int) -> DataFrame:
         sides = [(False, cells, n)] + [(True, nodes, below) for nodes, below, _ in trees.levels()]
         for side, word, value in sides:
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(word), side)), pa.array(word), pa.array(value)], ["node", "word", "value"])
+        _free()
 
     weighed = map_task(_dealt(counted.select("word", "c"), depth), weigh, "node boolean, word bigint, value double")
     top = weighed.groupBy("node", "word").agg(F.sum("value").alias("value")).toArrow()
@@ -338,6 +398,7 @@ def _gram_logs(stated: DataFrame, depth: int) -> DataFrame:
             of, batch = np.asarray(pa.compute.list_parent_indices(part)), pa.compute.list_flatten(part)
             columns = [pa.array(np.full(len(of), True)), batch, pa.array(grams[at : at + 100_000][of]), pa.array(logs[at : at + 100_000][of])]
             yield pa.RecordBatch.from_arrays(columns, ["gram", "batch", "word", "value"])
+        _free()
 
     return map_task(_dealt(counted, depth), say, "gram boolean, batch int, word bigint, value double")
 
@@ -367,10 +428,10 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth
     def run(texts: pa.Table, needed: pa.Table) -> pa.Table:
         of_gram = np.asarray(needed.column("gram").to_numpy(), bool)
 
-        def ordered(chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            word, value = needed.column("word").to_numpy()[chosen], needed.column("value").to_numpy()[chosen]
-            order = np.argsort(word, kind="stable")
-            return word[order], value[order]
+        def ordered(chosen: np.ndarray) -> tuple[pd.Index, np.ndarray]:
+            # A batch that is stated in parts may ask for a word more than once.
+            word, first = np.unique(needed.column("word").to_numpy()[chosen], return_index=True)
+            return pd.Index(word), needed.column("value").to_numpy()[chosen][first]
 
         known, counts = ordered(~of_gram)
         grams, said = ordered(of_gram)
@@ -380,12 +441,12 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth
             piece = texts.slice(at, 512).combine_chunks()
             listed = text_bytes(piece.column("text").combine_chunks())
             hashes, sizes = _with_ends(listed)
-            place = np.searchsorted(known, hashes)
+            place = known.get_indexer(hashes)
             starts = np.concatenate([[0], np.cumsum(sizes)])[:-1]
             base = np.add.reduceat(logs[place], starts)
             n_known = np.add.reduceat((counts[place] > 0).astype(np.int64), starts)
             cell, ends = _grams(listed, depth)
-            sums = np.concatenate([[0.0], np.cumsum(said[np.searchsorted(grams, cell)] if len(cell) else [])])
+            sums = np.concatenate([[0.0], np.cumsum(said[grams.get_indexer(cell)] if len(cell) else [])])
             found = sums[ends[1:]] - sums[ends[:-1]]
             n_bytes = np.array([len(t) for t in listed])
             bits = -found / math.log10(2) / np.maximum(n_bytes, 1)
@@ -395,6 +456,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth
                     names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"],
                 )
             )
+        _free()
         return pa.concat_tables(out)
 
     id_type = batched.schema["doc_id"].dataType.simpleString()
